@@ -22,6 +22,7 @@ URL_PATTERN = (
 URL_ACCEPT = (
     r"(?i)^(?:https?://|www\.|(?:[a-z0-9-]+\.)+(?:" + "|".join(BARE_TLDS) + r")(?:[/?#:]|$))"
 )
+URL_BREAKS = r"[\s<>\"'()\[\]{}]+"
 URL_TRAILING = r"[.,;:!?]+$"
 
 _BLANKS = " \t\n\r\f\x0b"
@@ -33,8 +34,17 @@ def extract_mentions(c: Column) -> Column:
 
 
 def extract_urls(c: Column) -> Column:
-    """Links in free text, in order; addresses with ``@`` are mail and left out."""
-    found = F.regexp_extract_all(c, F.lit(URL_PATTERN), F.lit(0))
+    """Links in free text, in order; addresses with ``@`` are mail and left out.
+
+    A link never spans blanks, quotes or brackets, so only the pieces between them that hold a dot
+    or ``://`` meet the long expression.
+    """
+    pieces = F.filter(
+        F.split(c, URL_BREAKS), lambda t: t.contains(".") | t.contains("://")
+    )
+    found = F.flatten(
+        F.transform(pieces, lambda t: F.regexp_extract_all(t, F.lit(URL_PATTERN), F.lit(0)))
+    )
     trimmed = F.transform(found, lambda u: F.regexp_replace(u, URL_TRAILING, ""))
     return F.filter(trimmed, lambda u: u.rlike(URL_ACCEPT))
 

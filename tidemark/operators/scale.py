@@ -67,7 +67,7 @@ def salted_join(
     """
     keys = [on] if isinstance(on, str) else list(on)
     counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
-    total = facts.agg(F.count("*").alias("_n")).scalar()
+    total = counts.agg(F.sum("_n").alias("_n")).scalar()
     hot = counts.where(F.col("_n") > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)
     no_key = F.lit(False)

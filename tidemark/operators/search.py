@@ -28,10 +28,14 @@ def _phrase_regex(phrase: str) -> str:
 
 
 def match_any_phrase(c: Column, phrases: Sequence[str]) -> Column:
-    """True where any phrase occurs, whatever its case. One regular expression for all."""
+    """True where any phrase occurs, whatever its case. Plain substring tests come first, so that
+    the one regular expression for all phrases only sees texts that can match."""
     if not phrases:
         return F.lit(False)
-    return F.lower(c).rlike("|".join(_phrase_regex(p) for p in phrases))
+    lowered, possible = F.lower(c), F.lit(False)
+    for p in phrases:
+        possible = possible | lowered.contains(p.lower())
+    return possible & lowered.rlike("|".join(_phrase_regex(p) for p in phrases))
 
 
 def tag_topics(df: DataFrame, key: str, text: str, topics: DataFrame) -> DataFrame:

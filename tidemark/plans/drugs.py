@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import last_wins_map, terms_union_all, union_by_name_fill
 from ..operators.linking import word_boundary_link
 from ..operators.scale import lookup_join
+from ..session import checkpoint_root
 from ..operators.trials import drug_synonym_edges, flatten_trials, split_synonyms, study_url_edges
 
 
@@ -41,7 +42,9 @@ def build_drug_graph(
     words = last_wins_map(
         split_synonyms(vocab.select(name, synonyms, order_col), name, synonyms), "name", order_col
     ).drop(order_col)
-    studies = all_studies(trials, intl)
+    # Every branch below reads both tables again; flattening them once is cheaper.
+    checkpoint_root(vocab.sparkSession)
+    studies, words = all_studies(trials, intl).checkpoint(), words.checkpoint()
 
     known_as = drug_synonym_edges(words)
     drugs = words.select(F.lit("Drug").alias("label"), "name")

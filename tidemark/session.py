@@ -37,6 +37,11 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the run-time settings to a session somebody else created."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    # Listing many hourly folders takes a job; one task per core is enough for it.
+    spark.conf.set(
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism",
+        str(spark.sparkContext.defaultParallelism),
+    )
     return spark
 
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,20 +17,26 @@ def scan_id_file(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def scan_hourly_partition(
-    spark: SparkSession, dirs: str | list[str], hour: str, layout: str = "partition",
+    spark: SparkSession, dirs: str | Sequence[str], hour: str, layout: str = "partition",
     schema: str = "id BIGINT",
 ) -> DataFrame:
-    """The rows of one hour, ``hour`` as ``YYYY-MM-DD-HH``.
+    """The rows of one hour, ``hour`` as ``YYYY-MM-DD-HH``, from any number of folders.
 
-    ``partition``: a text dataset with ``hour=`` folders, pruned to one. ``files``: plain id files
-    whose names end in ``<hour>.txt``; no such file gives no rows.
+    ``partition``: datasets with ``hour=`` folders; only the wanted folder is ever listed.
+    ``files``: plain id files whose names end in ``<hour>.txt``. A missing hour gives no rows.
     """
+    roots = [dirs] if isinstance(dirs, str) else list(dirs)
+    reader = spark.read.schema(schema)
     if layout == "files":
-        return spark.read.schema(schema).option("pathGlobFilter", f"*{hour}.txt").csv(dirs)
-    return (
-        spark.read.schema(f"{schema}, hour STRING").csv(dirs)
-        .where(F.col("hour") == hour).drop("hour")
-    )
+        return reader.option("pathGlobFilter", f"*{hour}.txt").csv(roots)
+    found = spark.createDataFrame([], schema)
+    for root in roots:
+        try:
+            found = found.unionAll(reader.csv(f"{root.rstrip('/')}/hour={hour}"))
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+    return found
 
 
 def scan_status_archive(spark: SparkSession, path: str | list[str]) -> DataFrame:

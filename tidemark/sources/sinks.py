@@ -34,6 +34,10 @@ def sink_parquet_hourly(
     out = df.withColumn("job_name", F.lit(file_name(job_name)))
     if ingest_hour is not None:
         out = out.withColumn("ingest_hour", F.lit(ingest_hour))
+    else:
+        # Rows of an hour meet before the write, or every task would open a file per hour; the
+        # rebalance splits hours that are too large for one task.
+        out = out.hint("rebalance", F.col("ingest_hour"))
     out.write.mode("append").partitionBy("job_name", "ingest_hour").option(
         "compression", codec
     ).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
