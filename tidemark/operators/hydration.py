@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .cleaning import project_properties
+from .cleaning import project_properties, quoted
 from .dedupe import dedupe_keep_first
 from .scale import number_rows
 
@@ -43,7 +43,7 @@ def needs_hydration(
     """First row per id, without ids stored as FULL; unknown ids stay."""
     _require_id(df, key)
     once = dedupe_keep_first(df.withColumn(key, F.col(key).cast("bigint")), [key], order_cols)
-    return once.join(full_ids(store, key), key, "left_anti")
+    return once.join(full_ids(store, key), key, "left_anti").select(*[quoted(c) for c in df.columns])
 
 
 def missing_ids_batched(
@@ -75,7 +75,7 @@ def get_by_ids(
     """Stored rows whose id is requested."""
     _require_id(ids, key)
     wanted = ids.select(F.col(key).cast("bigint").alias(key))
-    return project_properties(store.join(wanted, key, "left_semi"), cols)
+    return project_properties(store.join(wanted, key, "left_semi"), cols or store.columns)
 
 
 def read_limited(df: DataFrame, order_cols: Sequence[str], limit: int | None = 1000) -> DataFrame:
@@ -89,4 +89,5 @@ def unseen_users(
 ) -> DataFrame:
     """Profiles of the users in ``posts`` that were not enriched before, one per id."""
     names = posts.select(user).distinct().join(enriched.select(user), user, "left_anti")
-    return dedupe_keep_first(profiles.join(names, user, "left_semi"), [key], order_cols)
+    known = profiles.join(names, user, "left_semi").select(*[quoted(c) for c in profiles.columns])
+    return dedupe_keep_first(known, [key], order_cols)

@@ -66,7 +66,11 @@ def sink_batch(
     kind_of = "parquet" if fmt == "parquet_s3" else fmt
     writer = make_serializable(df, kind_of).write.mode("overwrite")
     if kind_of == "csv":
-        writer.csv(target, header=True, quote='"', escape='"')
+        # Blanks at either end of a text belong to it.
+        writer.csv(
+            target, header=True, quote='"', escape='"',
+            ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
+        )
     elif kind_of == "json":
         writer.json(target, ignoreNullFields=False)
     else:
