@@ -204,22 +204,22 @@ def _(v: Views) -> DataFrame:
 
 
 @query("flatten_entities", """
-    SELECT l_orderkey, CAST(count(*) AS BIGINT) AS n_urls,
-           string_agg(l_returnflag, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS tags,
-           CAST(sum(l_suppkey) AS BIGINT) AS mentioned
-    FROM lineitem GROUP BY l_orderkey""")
+    SELECT l_orderkey, l_linenumber, 'http://p/' || l_partkey || ' http://s/' || l_suppkey AS links,
+           CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag || ',' || l_linestatus END AS tags,
+           l_suppkey AS first_account, '@p' || l_partkey AS last_account
+    FROM lineitem""")
 def _(v: Views) -> DataFrame:
     packed = F.to_json(F.struct(
-        F.transform("lines", lambda x: F.struct(
-            F.concat(F.lit("http://p/"), x["l_partkey"]).alias("expanded_url"))).alias("urls"),
-        F.transform("lines", lambda x: F.struct(x["l_returnflag"].alias("text"))).alias("hashtags"),
-        F.transform("lines", lambda x: F.struct(x["l_suppkey"].alias("id"))).alias("user_mentions"),
+        F.transform("links", lambda u: F.struct(u.alias("expanded_url"))).alias("urls"),
+        F.transform("tags", lambda t: F.struct(t.alias("text"))).alias("hashtags"), "user_mentions",
     ))
-    flat = op.flatten_entities(v.order_items().select("l_orderkey", packed.alias("entities")))
+    flat = op.flatten_entities(v.items().select("l_orderkey", "l_linenumber", packed.alias("entities")))
     return flat.select(
-        "l_orderkey", F.size("urls").cast("bigint").alias("n_urls"),
+        "l_orderkey", "l_linenumber",
+        F.array_join(F.transform("urls", lambda u: u["expanded_url"]), " ").alias("links"),
         F.array_join(F.transform("hashtags", lambda h: h["text"]), ",").alias("tags"),
-        F.aggregate("user_mentions", F.lit(0).cast("bigint"), lambda a, m: a + m["id"]).alias("mentioned"),
+        F.col("user_mentions")[0]["id"].alias("first_account"),
+        F.col("user_mentions")[1]["screen_name"].alias("last_account"),
     )
 
 

@@ -81,32 +81,23 @@ def _(v: Views) -> DataFrame:
     return rows.select("doc_id", F.array_join(fn.extract_urls(text), " ").alias("found"))
 
 
-_TAGS_SQL = """
-    SELECT o_orderkey, tags FROM orders LEFT JOIN (
-        SELECT l_orderkey, string_agg(l_returnflag, ',' ORDER BY l_linenumber, l_partkey, l_suppkey) AS tags
-        FROM lineitem GROUP BY l_orderkey) ON o_orderkey = l_orderkey"""
-
-
-def _order_flags(v: Views) -> DataFrame:
-    return v.table("orders").select("o_orderkey").join(
-        v.order_items().withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left"
-    ).select("o_orderkey", F.transform("lines", lambda x: x["l_returnflag"]).alias("flags"))
-
-
-@query("normalize_hashtags", _TAGS_SQL)
+@query("normalize_hashtags", """
+    SELECT l_orderkey, l_linenumber,
+           CASE WHEN l_returnflag <> 'N' THEN l_returnflag || ',' || l_linestatus END AS tags
+    FROM lineitem""")
 def _(v: Views) -> DataFrame:
-    tags = fn.wrap_hashtags(F.coalesce("flags", F.array().cast("array<string>")))
-    return _order_flags(v).select("o_orderkey", fn.normalize_hashtags(tags).alias("tags"))
+    tags = fn.normalize_hashtags(fn.wrap_hashtags(F.col("tags")))
+    return v.items().select("l_orderkey", "l_linenumber", tags.alias("tags"))
 
 
 @query("wrap_hashtags", """
-    SELECT l_orderkey AS o_orderkey, '[' || string_agg('{"text":"' || l_returnflag || '"}', ','
-             ORDER BY l_linenumber, l_partkey, l_suppkey) || ']' AS tags
-    FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_orderkey
-    UNION ALL
-    SELECT o_orderkey, NULL FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem)""")
+    SELECT l_orderkey, l_linenumber, CASE WHEN l_returnflag = 'N' THEN '[]' ELSE
+             '[{"text":"' || l_returnflag || '"},{"text":"' || l_linestatus || '"}]' END AS tags
+    FROM lineitem""")
 def _(v: Views) -> DataFrame:
-    return _order_flags(v).select("o_orderkey", F.to_json(fn.wrap_hashtags(F.col("flags"))).alias("tags"))
+    return v.items().select(
+        "l_orderkey", "l_linenumber", F.to_json(fn.wrap_hashtags(F.col("tags"))).alias("tags")
+    )
 
 
 @query("parse_url_parts", with_views("page_parts", """

@@ -159,17 +159,11 @@ def _(v: Views) -> DataFrame:
 
 
 @query("explode_mentions", """
-    SELECT l_orderkey AS tweet_id, l_suppkey AS user_id, 's' || l_suppkey AS user_name,
-           '@s' || l_suppkey AS user_screen_name, 'job' AS job_name, CAST(NULL AS VARCHAR) AS job_id
-    FROM lineitem""")
-def _(v: Views) -> DataFrame:
-    lists = v.order_items().select(
-        F.col("l_orderkey").alias("status_id"),
-        F.transform("lines", lambda x: F.struct(
-            x["l_suppkey"].alias("id"), F.concat(F.lit("s"), x["l_suppkey"]).alias("name"),
-            F.concat(F.lit("@s"), x["l_suppkey"]).alias("screen_name"))).alias("user_mentions"),
-    )
-    return op.explode_mentions(lists, "job")
+    SELECT l_orderkey AS tweet_id, m.id AS user_id, m.k || m.id AS user_name, '@' || m.k || m.id AS user_screen_name,
+           'job' AS job_name, CAST(NULL AS VARCHAR) AS job_id
+    FROM (SELECT l_orderkey, unnest([{'k': 's', 'id': l_suppkey}, {'k': 'p', 'id': l_partkey}]) AS m FROM lineitem)""")
+def _(v: Views) -> DataFrame:
+    return op.explode_mentions(v.items(), "job")
 
 
 @query("scraped_mentions", with_views("mentions", """

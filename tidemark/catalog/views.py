@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import snowflake_id
+from ..functions import extract_mentions, snowflake_id
 from ..session import work_dir
 
 AS_OF = "2024-02-01 00:00:00"
@@ -110,7 +110,6 @@ class Views:
         )
 
     def mentions(self) -> DataFrame:
-        from ..functions import extract_mentions
         return self.table("documents").select(
             F.col("doc_id").alias("status_id"), extract_mentions(F.col("text")).alias("user_mentions")
         )
@@ -129,44 +128,54 @@ class Views:
             F.col("page_id").alias("status_id"), F.array("url").alias("urls")
         )
 
-    def order_items(self) -> DataFrame:
-        """Per order its lines in a fixed order (an order has a handful of lines)."""
-        line = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus")
-        return self.table("lineitem").groupBy("l_orderkey").agg(
-            F.array_sort(F.collect_list(line)).alias("lines")
+    def items(self) -> DataFrame:
+        """Order lines as posts with short lists: two tags (none for flag N), two links, two accounts."""
+        tags = F.array("l_returnflag", "l_linestatus")
+        account = [
+            F.struct(F.col(c).alias("id"), F.concat(F.lit(c[2]), c).alias("name"),
+                     F.concat(F.lit("@" + c[2]), c).alias("screen_name"))
+            for c in ("l_suppkey", "l_partkey")
+        ]
+        return self.table("lineitem").select(
+            "l_orderkey", "l_linenumber", F.col("l_orderkey").alias("status_id"),
+            F.when(F.col("l_returnflag") == "N", F.array().cast("array<string>")).otherwise(tags).alias("tags"),
+            F.array(F.concat(F.lit("http://p/"), "l_partkey"), F.concat(F.lit("http://s/"), "l_suppkey"))
+            .alias("links"),
+            F.array(*account).alias("user_mentions"),
         )
 
     def trials(self) -> DataFrame:
-        """Orders as studies in result pages of up to 100: the arms are the order's parts, and every
-        third study lacks an official title."""
-        names = self.table("lineitem").select("l_orderkey", "l_linenumber", "l_suppkey", "l_partkey").join(
-            self.table("part").select(F.col("p_partkey").alias("l_partkey"), "p_name", "p_brand"), "l_partkey"
-        ).groupBy("l_orderkey").agg(F.array_sort(F.collect_list(F.struct(
-            "l_linenumber", "l_partkey", "l_suppkey", F.concat_ws(", ", "p_name", "p_brand").alias("n")
-        ))).alias("lines"))
-        arm = F.transform("lines", lambda x: F.struct(
-            F.struct(F.array(x["n"]).alias("ArmGroupInterventionName")).alias("ArmGroupInterventionList")
-        ))
-        study = F.struct(F.struct(
-            F.struct(
-                F.concat(F.lit("NCT"), "o_orderkey").alias("NCTId"),
-                F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("Official "), "o_orderpriority"))
-                .alias("OfficialTitle"),
-                F.concat(F.lit("Brief "), "o_orderpriority").alias("BriefTitle"),
-            ).alias("IdentificationModule"),
-            F.struct(F.struct(arm.alias("ArmGroup")).alias("ArmGroupList")).alias("ArmsInterventionsModule"),
-            F.struct(
-                F.col("o_orderstatus").alias("StudyType"),
-                F.struct(F.col("o_custkey").cast("string").alias("EnrollmentCount")).alias("EnrollmentInfo"),
-            ).alias("DesignModule"),
-        ).alias("ProtocolSection")).alias("Study")
-        rows = self.table("orders").join(
-            names.withColumnRenamed("l_orderkey", "o_orderkey"), "o_orderkey", "left"
-        ).select(F.floor(F.col("o_orderkey") / 100).alias("page"), F.struct(study).alias("full"))
-        return rows.groupBy("page").agg(
-            F.count("*").alias("n"), F.collect_list("full").alias("studies")
-        ).select(F.struct(
-            F.col("n").alias("NStudiesFound"), F.col("studies").alias("FullStudies")
+        """Orders as result pages of two studies each: one in full, whose arms are a part (missing for
+        every fifth order), and one with little more than its id."""
+        arm = [
+            F.struct(F.struct(F.array(n).alias("ArmGroupInterventionName")).alias("ArmGroupInterventionList"))
+            for n in (F.concat_ws(", ", "p_name", "p_brand"), F.col("p_type"))
+        ]
+        arms = F.when(F.col("p_name").isNotNull() & (F.col("o_orderkey") % 5 != 0), F.struct(
+            F.struct(F.array(*arm).alias("ArmGroup")).alias("ArmGroupList")))
+
+        def study(prefix: str, official: Column, arms: Column, design: Column) -> Column:
+            return F.struct(F.struct(F.struct(
+                F.struct(
+                    F.concat(F.lit(prefix), "o_orderkey").alias("NCTId"),
+                    official.alias("OfficialTitle"),
+                    F.concat(F.lit("Brief "), "o_orderpriority").alias("BriefTitle"),
+                ).alias("IdentificationModule"),
+                arms.alias("ArmsInterventionsModule"), design.alias("DesignModule"),
+            ).alias("ProtocolSection")).alias("Study"))
+
+        design = F.struct(
+            F.col("o_orderstatus").alias("StudyType"),
+            F.struct(F.col("o_custkey").cast("string").alias("EnrollmentCount")).alias("EnrollmentInfo"),
+        )
+        title = F.when(F.col("o_orderkey") % 3 != 0, F.concat(F.lit("Official "), "o_orderpriority"))
+        parts = self.table("part").select(F.col("p_partkey").alias("o_custkey"), "p_name", "p_brand", "p_type")
+        both = F.array(
+            study("NCT", title, arms, design),
+            study("NCX", F.lit(None).cast("string"), F.when(F.lit(False), arms), F.when(F.lit(False), design)),
+        )
+        return self.table("orders").join(parts, "o_custkey", "left").select(F.struct(
+            F.lit(2).cast("bigint").alias("NStudiesFound"), both.alias("FullStudies")
         ).alias("FullStudiesResponse"))
 
     def drug_words(self) -> DataFrame:
@@ -224,19 +233,16 @@ CTE = {
         SELECT doc_id AS status_id, regexp_extract_all(text, '@[\p{L}\p{N}_]+') AS user_mentions
         FROM documents)""",
     "studies": """studies AS (
-        SELECT 'NCT' || o.o_orderkey AS trial_id,
-               'https://clinicaltrials.gov/show/NCT' || o.o_orderkey AS study_url,
-               COALESCE(f.n, '') AS intervention, o.o_orderstatus AS study_type,
-               CAST(o.o_custkey AS VARCHAR) AS target_size,
-               CASE WHEN o.o_orderkey % 3 <> 0 THEN 'Official ' ELSE 'Brief ' END || o.o_orderpriority
+        SELECT 'NCT' || o_orderkey AS trial_id, 'https://clinicaltrials.gov/show/NCT' || o_orderkey AS study_url,
+               CASE WHEN p_name IS NULL OR o_orderkey % 5 = 0 THEN '' ELSE p_name || ', ' || p_brand END
+                 AS intervention,
+               o_orderstatus AS study_type, CAST(o_custkey AS VARCHAR) AS target_size,
+               CASE WHEN o_orderkey % 3 <> 0 THEN 'Official ' ELSE 'Brief ' END || o_orderpriority
                  AS public_title
-        FROM orders o LEFT JOIN (
-          SELECT l_orderkey, n FROM (
-            SELECT l_orderkey, p_name || ', ' || p_brand AS n,
-                   row_number() OVER (PARTITION BY l_orderkey
-                                      ORDER BY l_linenumber, l_partkey, l_suppkey) AS r
-            FROM lineitem JOIN part ON l_partkey = p_partkey) WHERE r = 1) f
-        ON o.o_orderkey = f.l_orderkey)""",
+        FROM orders LEFT JOIN part ON o_custkey = p_partkey
+        UNION ALL
+        SELECT 'NCX' || o_orderkey, 'https://clinicaltrials.gov/show/NCX' || o_orderkey, '', '', '',
+               'Brief ' || o_orderpriority FROM orders)""",
     "page_parts": r"""page_parts AS (
         SELECT *, regexp_extract(netloc, '^(.*)@', 1) AS userinfo,
                regexp_replace(netloc, '^.*@', '') AS address
