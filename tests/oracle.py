@@ -94,7 +94,7 @@ def main() -> int:
                 print(f"rows  {name}: {got.num_rows} ({took:.1f}s)", flush=True)
                 continue
             start = time.time()
-            want = con.execute(sql[name]).to_arrow_table()
+            want = con.sql(sql[name]).to_arrow_table()
             sql_took = time.time() - start
             problem = compare(got, want)
         except Exception as e:  # noqa: BLE001 - reported

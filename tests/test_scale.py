@@ -85,7 +85,14 @@ def test_dedupe_picks_by_order(spark, rows):
     assert rows(op.dedupe_keep_last(df, ["k"], ["seq"])) == [("a", 2, "x"), ("b", 3, "w"), (None, 1, "n")]
 
 
+def test_numbering_keeps_odd_column_names(spark):
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "`row no` INT, `a,b;(c)=` STRING")
+    assert sorted((r[2], r[0], r[1]) for r in op.number_rows(df, [F.col("`row no`")]).collect()) == [
+        (0, 1, "a"), (1, 2, "b")]
+
+
 def test_dedupe_aggregates_before_the_shuffle(spark):
     df = spark.range(10).select((F.col("id") % 2).alias("k"), "id")
     plan = op.dedupe_keep_first(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and "Window" not in plan
+    before = plan.index("Exchange hashpartitioning")
+    assert "WindowGroupLimit" in plan[:before] and "Partial" in plan[before:]

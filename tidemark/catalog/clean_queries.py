@@ -315,6 +315,7 @@ def _(v: Views) -> DataFrame:
     return op.classify_graph_type(rows).select("event_id", "tweet_type")
 
 
-@query("sample_rows")
+@query("sample_rows", """
+    SELECT doc_id, lang, n_chars FROM documents ORDER BY md5('7:' || doc_id), doc_id LIMIT 20""")
 def _(v: Views) -> DataFrame:
     return op.sample_rows(v.table("documents"), "doc_id", 20, seed=7).select("doc_id", "lang", "n_chars")

@@ -56,7 +56,9 @@ def _literal_to_json(text: str | None) -> str:
 
 @F.pandas_udf(T.StringType())
 def _repr_to_json(texts: pd.Series) -> pd.Series:
-    return texts.map(_literal_to_json)
+    # Shared posts repeat the same text, so each text of a batch is read once.
+    codes, distinct = pd.factorize(texts, use_na_sentinel=False)
+    return pd.Series([_literal_to_json(t) for t in distinct], dtype=object).take(codes).reset_index(drop=True)
 
 
 def parse_repr_struct(c: Column, schema: T.StructType) -> Column:

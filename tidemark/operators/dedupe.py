@@ -2,34 +2,34 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .cleaning import fill_blank, quoted
 
 
-def _one_per_key(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], pick) -> DataFrame:
-    """Partial aggregation leaves one row per key and task before the shuffle, so the number of
-    copies of a key does not matter."""
+def _one_per_key(
+    df: DataFrame, keys: Sequence[str], order_cols: Sequence[str], towards: Callable[[Column], Column]
+) -> DataFrame:
+    """The first row per key of a window, asked for as ``row_number() = 1``: the optimizer then keeps
+    one row per key and task before the shuffle, so the number of copies of a key does not matter."""
     rest = [c for c in df.columns if c not in keys]
     if not rest:
         return df.distinct()
-    order = F.struct(*[quoted(c) for c in (order_cols or rest)])
-    row = pick(F.struct(*[quoted(c) for c in rest]), order).alias("_row")
-    return df.groupBy(*[quoted(k) for k in keys]).agg(row).select(
-        *[quoted(c) if c in keys else F.col("_row").getField(c).alias(c) for c in df.columns]
-    )
+    order = [towards(quoted(c)) for c in (order_cols or rest)]
+    window = Window.partitionBy(*[quoted(k) for k in keys]).orderBy(*order)
+    return df.withColumn("_place", F.row_number().over(window)).where(F.col("_place") == 1).drop("_place")
 
 
 def dedupe_keep_first(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    """The first row of each key in the given order."""
-    return _one_per_key(df, keys, order_cols, F.min_by)
+    """The first row of each key in the given order, nulls before values."""
+    return _one_per_key(df, keys, order_cols, Column.asc_nulls_first)
 
 
 def dedupe_keep_last(df: DataFrame, keys: Sequence[str], order_cols: Sequence[str]) -> DataFrame:
-    return _one_per_key(df, keys, order_cols, F.max_by)
+    return _one_per_key(df, keys, order_cols, Column.desc_nulls_last)
 
 
 def last_wins_map(df: DataFrame, key: str, order_col: str) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpoint_root
+from ..session import materialize
 
 # A key is hot when it holds more than this share of the rows, so there are at most 1,000 of them.
 HOT_SHARE = 0.001
@@ -24,24 +24,21 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], name: str = "
     """Number the rows 0, 1, 2, ... in a total order without a one-task window.
 
     Rows are range-partitioned and sorted, get their position inside the partition, and are
-    checkpointed so that the positions can never change on recomputation. Only one row count per
-    partition is then summed up and broadcast (bounded by the number of partitions).
+    written to the shared folder so that the positions can never change on recomputation. Only one
+    row count per partition is then summed up and broadcast (bounded by the number of partitions).
     ``order_cols`` must identify a row.
     """
-    checkpoint_root(df.sparkSession)
     order = _columns(order_cols)
     placed = (
         df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_place", F.monotonically_increasing_id())
-        .checkpoint()
     )
     # The id holds the partition in its upper bits and the position in its lower 33 bits.
-    placed = placed.select(
-        *df.columns,
-        F.shiftright("_place", 33).alias("_slice"),
-        F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)).alias("_pos"),
-    )
+    placed = materialize(placed.withColumns({
+        "_slice": F.shiftright("_place", 33),
+        "_pos": F.col("_place").bitwiseAND(F.lit((1 << 33) - 1)),
+    }).drop("_place"), "numbered")
     before = Window.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
         placed.groupBy("_slice").agg(F.count("*").alias("_rows"))
@@ -100,6 +97,9 @@ def lookup_join(
     for c in lookup.columns:
         width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
     size = lookup.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    if size == 0:
+        # Nothing to look up: the plan below is known to be empty and reads no facts.
+        return facts.where(F.lit(False)).join(lookup, on)
     if size <= BROADCAST_BYTES:
         return facts.join(F.broadcast(lookup), on)
     salted = lookup.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))

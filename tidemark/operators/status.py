@@ -157,5 +157,5 @@ def classify_graph_type(df: DataFrame) -> DataFrame:
 
 
 def sample_rows(df: DataFrame, key: str, n: int, seed: int = 0) -> DataFrame:
-    """``n`` pseudo-random rows, the same ones for the same seed."""
-    return df.orderBy(F.xxhash64(F.lit(seed), F.col(key)), F.col(key)).limit(n)
+    """``n`` pseudo-random rows, the same ones for the same seed: a top-n by a hash of the key."""
+    return df.orderBy(F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(key).cast("string"))), key).limit(n)

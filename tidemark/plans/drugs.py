@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from ..operators.dedupe import last_wins_map, terms_union_all, union_by_name_fill
 from ..operators.linking import word_boundary_link
 from ..operators.scale import lookup_join
-from ..session import checkpoint_root
 from ..operators.trials import drug_synonym_edges, flatten_trials, split_synonyms, study_url_edges
+from ..session import materialize
 
 
 def all_studies(trials: DataFrame, intl: DataFrame | None, order_col: str = "trial_id") -> DataFrame:
@@ -43,8 +43,8 @@ def build_drug_graph(
         split_synonyms(vocab.select(name, synonyms, order_col), name, synonyms), "name", order_col
     ).drop(order_col)
     # Every branch below reads both tables again; flattening them once is cheaper.
-    checkpoint_root(vocab.sparkSession)
-    studies, words = all_studies(trials, intl).checkpoint(), words.checkpoint()
+    studies = materialize(all_studies(trials, intl), "studies")
+    words = materialize(words, "vocabulary")
 
     known_as = drug_synonym_edges(words)
     drugs = words.select(F.lit("Drug").alias("label"), "name")

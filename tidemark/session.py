@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Run-time settings every plan in this package relies on.
 RUNTIME_CONF = {
@@ -65,6 +65,17 @@ def checkpoint_root(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """Write a table below the shared folder and read it back.
+
+    Cuts the lineage like a checkpoint, but computes the rows once, keeps them columnar, and lets
+    later reads skip columns. The rows can no longer change when an executor is lost.
+    """
+    path = work_dir(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh path below the shared folder."""
     return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
