@@ -50,6 +50,15 @@ def test_random_texts(spark, monkeypatch, limit):
     assert link(spark, terms, texts) == brute(terms, texts)
 
 
+def test_single_words_only(spark):
+    words = ["ring", "Red", "é", "_u", "12", "the", "absent"]
+    assert link(spark, words, TEXTS) == brute(words, TEXTS)
+
+
+def test_no_terms(spark):
+    assert link(spark, [], TEXTS) == link(spark, [""], TEXTS) == set()
+
+
 def test_phrases(spark):
     x = spark.createDataFrame(
         [(1, "Say The End."), (2, "the ending"), (3, "c++ (now)"), (4, None), (5, "anathe end")],

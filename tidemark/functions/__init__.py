@@ -7,7 +7,7 @@ from .ids import (
 from .markup import embed_img, link_urls, menu_anchor
 from .text import (
     clean_file_name, default_job_name, default_list_job_name, extract_mentions, extract_urls,
-    lower_trim, normalize_hashtags, study_url_from_id, word_runs, wrap_hashtags,
+    lower_trim, normalize_hashtags, study_url_from_id, wrap_hashtags,
 )
 from .urls import parse_url_blank, parse_url_parts
 from .values import (

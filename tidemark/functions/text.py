@@ -80,15 +80,6 @@ def lower_trim(c: Column) -> Column:
     return F.btrim(F.lower(c), F.lit(_BLANKS))
 
 
-def word_runs(c: Column) -> Column:
-    """The text cut at every change between word and non-word characters.
-
-    Blanks and punctuation at either end are left out: a whole-word match never touches them.
-    """
-    inner = F.regexp_replace(c, rf"^{NON_WORD_CHAR}+|{NON_WORD_CHAR}+$", "")
-    return F.regexp_extract_all(inner, F.lit(rf"{WORD_CHAR}+|{NON_WORD_CHAR}+"), F.lit(0))
-
-
 def study_url_from_id(c: Column) -> Column:
     # Fixed value: public registry page of a trial.
     return F.concat(F.lit("https://clinicaltrials.gov/show/"), c)

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.text import NON_WORD_CHAR, WORD_CHAR, word_runs
+from ..functions.text import NON_WORD_CHAR, WORD_CHAR
+from ..session import materialize
 from .scale import lookup_join
 
+_RUN = rf"{WORD_CHAR}+|{NON_WORD_CHAR}+"
 _CUT = "\u0001"
+# Terms are looked up by up to this many neighbouring runs: word, gap, word.
+MAX_KEY_RUNS = 3
+
+
+def _runs(c: Column) -> Column:
+    """The text cut at every change between word and non-word characters."""
+    return F.regexp_extract_all(c, F.lit(_RUN), F.lit(0))
 
 
 def _joined(runs: Column) -> Column:
@@ -16,16 +27,41 @@ def _joined(runs: Column) -> Column:
     return F.concat(F.lit(_CUT), F.array_join(runs, _CUT), F.lit(_CUT))
 
 
-def _lookup_runs(terms: DataFrame, term: str) -> DataFrame:
-    """For each term of several runs the run it is looked up by: the one fewest terms share
-    (words before punctuation, then the longest), so that common words do not pull in every term."""
-    runs = terms.select(term, F.explode(F.array_distinct("_runs")).alias("_run"))
-    shared = runs.groupBy("_run").agg(F.count("*").alias("_shared"))
-    rank = F.struct(
-        (~F.col("_run").rlike(f"^{WORD_CHAR}")).alias("punctuation"),
-        F.col("_shared"), -F.length("_run"), F.col("_run"),
+def _keys(runs: Column, n: int) -> Column:
+    """All sequences of ``n`` neighbouring runs."""
+    if n == 1:
+        return runs
+    joined = F.transform(
+        runs, lambda r, i: F.concat_ws(_CUT, r, *[F.get(runs, i + k) for k in range(1, n)])
+    )
+    # The last n - 1 runs have no full sequence after them.
+    return F.slice(joined, F.lit(1), F.greatest(F.size(runs) - F.lit(n - 1), F.lit(0)))
+
+
+def _lookup(terms: DataFrame, term: str, sizes: Sequence[int]) -> DataFrame:
+    """One key per term: all its runs if they are few, otherwise the sequence fewest terms share, so
+    that common words do not pull in every term. Longer terms carry their whole run sequence."""
+    keys = F.lit(None).cast("array<string>")
+    for n in sizes:
+        fits = F.size("_runs") == n if n < MAX_KEY_RUNS else F.size("_runs") >= n
+        keys = F.when(fits, _keys(F.col("_runs"), n)).otherwise(keys)
+    pieces = terms.select(term, F.explode(keys).alias("_key"))
+    shared = pieces.groupBy("_key").agg(F.count("*").alias("_shared"))
+    chosen = pieces.join(shared, "_key").groupBy(term).agg(
+        F.min_by("_key", F.struct("_shared", "_key")).alias("_key")
     )
-    return runs.join(shared, "_run").groupBy(term).agg(F.min_by("_run", rank).alias("_run"))
+    needle = F.when(F.size("_runs") > MAX_KEY_RUNS, _joined(F.col("_runs")))
+    return terms.select(term, needle.alias("_needle")).join(chosen, term)
+
+
+def _inner_runs(texts: DataFrame, key: str, text: str) -> DataFrame:
+    """Runs of each text, without blanks and punctuation at either end: no whole-word match touches
+    those, because a boundary needs a word character on one side."""
+    runs, edge = F.col("_all"), f"^{NON_WORD_CHAR}"
+    first = F.when(F.get(runs, F.lit(0)).rlike(edge), 1).otherwise(0)
+    last = F.when(F.try_element_at(runs, F.lit(-1)).rlike(edge), 1).otherwise(0)
+    inner = F.slice(runs, first + 1, F.greatest(F.size(runs) - first - last, F.lit(0)))
+    return texts.select(key, _runs(F.lower(F.col(text))).alias("_all")).select(key, inner.alias("_runs"))
 
 
 def word_boundary_link(
@@ -34,28 +70,48 @@ def word_boundary_link(
     """Distinct ``(term, key)`` where the lower-cased term occurs between word boundaries.
 
     A whole-word match means that the term's runs of word and non-word characters appear next to
-    each other among the runs of the text. So each term is looked up by one of its runs: an
-    equi-join of exploded runs, with no pairwise comparison. Terms of several runs are then
-    checked against the whole text of their candidates only. ``key`` identifies a text.
+    each other among the runs of the text. So terms are looked up by one to three neighbouring
+    runs: an equi-join of exploded runs, with no pairwise comparison. That is exact for terms of up
+    to three runs (such as two words); longer ones are then checked against the whole text of
+    their few candidates. ``key`` identifies a text.
     """
-    cut = rf"{WORD_CHAR}+|{NON_WORD_CHAR}+"
-    t = (
+    t = materialize(
         terms.select(F.lower(F.col(term)).alias(term)).where(F.length(term) > 0).distinct()
-        .withColumn("_runs", F.regexp_extract_all(F.col(term), F.lit(cut), F.lit(0)))
-    )
-    runs = texts.select(
-        key, F.explode(F.array_distinct(word_runs(F.lower(F.col(text))))).alias("_run")
+        .withColumn("_runs", _runs(F.col(term))),
+        "terms",
     )
+    # At most eight rows: which key lengths occur, with words or punctuation first.
+    shape = t.select(
+        F.least(F.size("_runs"), F.lit(MAX_KEY_RUNS + 1)).alias("n"), F.col(term).rlike(f"^{WORD_CHAR}").alias("word")
+    ).distinct().collect()
+    if not shape:
+        return t.select(term).join(texts.select(key).where(F.lit(False)), F.lit(False))
 
-    single = t.where(F.size("_runs") == 1).select(term, F.col(term).alias("_run"))
-    exact = lookup_join(runs, single, "_run", spread=[key]).select(term, key)
+    if {(r.n, r.word) for r in shape} == {(1, True)}:
+        # Single words: the gaps between the words of a text are of no use.
+        words = F.split(F.lower(F.col(text)), f"{NON_WORD_CHAR}+")
+        pieces = texts.select(key, F.explode(F.array_distinct(words)).alias("_key"))
+        return lookup_join(pieces, t.select(term, F.col(term).alias("_key")), "_key", spread=[key]).select(term, key)
 
-    longer = t.where(F.size("_runs") > 1)
-    needles = longer.join(_lookup_runs(longer, term), term).select(
-        term, "_run", _joined(F.col("_runs")).alias("_needle")
-    )
-    candidates = lookup_join(runs, needles, "_run", spread=[key]).select(key, term, "_needle")
-    whole = texts.select(key, _joined(word_runs(F.lower(F.col(text)))).alias("_text"))
-    checked = candidates.join(whole, key).where(F.col("_text").contains(F.col("_needle")))
-    # Both branches are free of repeats: one row per text and run, one run per term.
-    return exact.unionByName(checked.select(term, key))
+    lengths = {r.n for r in shape}
+    lookup = materialize(_lookup(t, term, sorted({min(n, MAX_KEY_RUNS) for n in lengths})), "lookup")
+    inner = _inner_runs(texts, key, text)
+
+    def hits(table: DataFrame, sizes: Sequence[int]) -> DataFrame:
+        """Texts that hold a key; only sequences of the lengths in the table are built."""
+        keys = F.concat(*[_keys(F.col("_runs"), n) for n in sizes])
+        pieces = inner.select(key, F.explode(F.array_distinct(keys)).alias("_key"))
+        return lookup_join(pieces, table, "_key", spread=[key])
+
+    # One key per term and each key once per text, so no branch repeats a pair.
+    links = []
+    few = sorted(n for n in lengths if n <= MAX_KEY_RUNS)
+    if few:
+        links.append(hits(lookup.where(F.col("_needle").isNull()), few).select(term, key))
+    if max(lengths) > MAX_KEY_RUNS:
+        candidates = hits(lookup.where(F.col("_needle").isNotNull()), [MAX_KEY_RUNS])
+        whole = inner.select(key, _joined(F.col("_runs")).alias("_text"))
+        links.append(
+            candidates.join(whole, key).where(F.col("_text").contains(F.col("_needle"))).select(term, key)
+        )
+    return links[0] if len(links) == 1 else links[0].unionByName(links[1])
