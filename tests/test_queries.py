@@ -3,10 +3,11 @@
 import pytest
 
 import __spark_entry__ as entry
+from tidemark.catalog import QUERIES, SQL as CATALOG_SQL
 from tests.oracle import compare, connect
 
 SF_DIR = "/root/testdata/sf0.001"
-SQL = entry.oracle_sql()
+SQL = CATALOG_SQL
 # Collections bounded by the number of topics, labels, or phrases in a chunk.
 ALLOWED = {n: ("ObjectHashAggregate",) for n in ("tag_topics", "build_drug_graph", "phrase_query")}
 
@@ -27,7 +28,8 @@ def test_same_as_sql(spark, con, name):
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(entry.queries()) and set(SQL) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
