@@ -4,10 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat_layout, template_leaks, url_alias
+from ..session import work_dir
+from . import chat_layout, piece_offsets, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -58,3 +60,25 @@ def op10_template_leaks(spark, sf_dir):
     found = template_leaks.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.groupBy("doc_id", "item_id").agg(
         F.max("n_windows").alias("n_windows"), F.max("n_consistent").alias("n_consistent"))
+
+
+@query
+def op6_piece_offsets(spark, sf_dir):
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = piece_offsets.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    listed = encoded.select(
+        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        # Spans follow each other, so the last end is the number of bytes they cover.
+        F.element_at("ends", -1).cast("long").alias("covered_bytes"))
+    decoded = piece_offsets.decode(listed, model)
+    return decoded.select(
+        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), "covered_bytes")
+
+
+@query
+def op9_token_frames(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    folder = work_dir(spark, "token-files")
+    index = token_frames.write_documents(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return token_frames.read_documents(index, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
