@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, piece_offsets, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, piece_offsets, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,3 +82,16 @@ def op9_token_frames(spark, sf_dir):
     folder = work_dir(spark, "token-files")
     index = token_frames.write_documents(docs, folder, public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
     return token_frames.read_documents(index, ids=False).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def _held_out(modulus: int, remainder: int):
+    """Whether crc32 of doc_id as text leaves the remainder; false for a null doc_id."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % modulus == remainder, F.lit(False))
+
+
+@query
+def op3_context_trees(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", _held_out(3, 1))
+    trees = context_trees.learn(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
+    found = context_trees.identify(docs.select("doc_id", "held_out", "text"), trees)
+    return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
