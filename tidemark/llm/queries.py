@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, piece_offsets, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, ordinal_quality, piece_offsets, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -95,3 +95,12 @@ def op3_context_trees(spark, sf_dir):
     trees = context_trees.learn(docs.where(~F.col("held_out") & F.col("doc_id").isNotNull()))
     found = context_trees.identify(docs.select("doc_id", "held_out", "text"), trees)
     return found.select("doc_id", "held_out", "lang_pred", "score", "bits_per_byte")
+
+
+@query
+def op8_ordinal_quality(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    model = ordinal_quality.fit(ordinal_quality.rated_documents(docs, labels), n_grades=3)
+    graded = ordinal_quality.grade_documents(docs.select("doc_id", "text"), model)
+    return graded.select(
+        "doc_id", "expected_grade", "tail", (F.col("tail") >= ordinal_quality.LEAST_TAIL).alias("selected"))
