@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .shared import fresh
 
 SPACE = "▁"
-CACHE = 400_000
+CACHE = 200_000
 OUTPUTS = ("ids", "starts", "ends")
 
 

@@ -5,11 +5,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize, prepare
+from ..session import materialize
+from ..session import prepare as prepare_session
 
 __all__ = ["components", "materialize", "prepare", "fresh", "table"]
 
 
+# Rows and bytes of text that Spark hands to a Python task at once.
+BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """The package's session settings, and small Arrow batches: rows here hold whole texts."""
+    prepare_session(spark)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return spark
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
