@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, cover_tree, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,8 @@ def op5_simhash_trie(spark, sf_dir):
     groups = simhash_trie.group_near_copies(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return groups.select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+@query
+def op7_cover_tree(spark, sf_dir):
+    return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
