@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, cover_tree, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, cover_tree, gated_lm, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -116,3 +116,11 @@ def op5_simhash_trie(spark, sf_dir):
 @query
 def op7_cover_tree(spark, sf_dir):
     return cover_tree.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op1_gated_lm(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", _held_out(7, 2))
+    scored = gated_lm.learn_and_score(docs.withColumn("lesson", ~F.col("held_out")), "lesson")
+    return scored.select(
+        "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
