@@ -37,10 +37,10 @@ def test_learns_an_order():
 
 def test_held_out_grades(spark):
     base = "/root/testdata/sf0.1/"
-    rated = oq.rated_documents(spark.read.parquet(base + "documents.parquet"), spark.read.parquet(base + "labels.parquet"))
+    docs, graded = spark.read.parquet(base + "documents.parquet"), oq.ratings(spark.read.parquet(base + "labels.parquet"))
     held = F.xxhash64("doc_id") % 5 == 0
-    model = oq.fit(rated.where(~held), 3)
-    got = oq.grade_documents(rated.where(held), model).toPandas()
+    model = oq.fit(docs, graded.where(~held), 3)
+    got = oq.grade_documents(docs.join(graded.where(held), "doc_id"), model).toPandas()
     chosen = got["tail"] >= oq.LEAST_TAIL
     assert chosen[got["grade"] == 2].mean() > 0.98
     assert chosen[got["grade"] == 0].mean() < 0.3
@@ -50,18 +50,20 @@ def test_held_out_grades(spark):
 def test_tables(spark):
     rows = [(1, None, 0, "x"), (2, "", 1, "x"), (3, "good text", 2, "x"), (3, "good text", 2, "x"), (None, "word", None, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, grade int, tail string")
-    model = oq.fit(df, 3)
+    model = oq.fit(df.drop("grade"), df.select("doc_id", "grade"), 3)
     got = oq.grade_documents(df, model)
     assert got.columns == ["doc_id", "text", "grade", "expected_grade", "tail"] and got.count() == 5
     assert got.where("tail between 0 and 1 and expected_grade between 0 and 2").count() == 5
     assert oq.grade_documents(df.limit(0), model).count() == 0
-    none = oq.fit(df.limit(0), 3)
+    none = oq.fit(df, df.select("doc_id", "grade").limit(0), 3)
     assert oq.grade_documents(df, none).where("tail > 0.999999").count() == 5
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 0), (4, None, None), (5, 0, 1)], "doc_id long, quality int, toxic int")
+    assert sorted(map(tuple, oq.ratings(labels).collect())) == [(1, 0), (2, 1), (3, 2), (5, 0)]
 
 
 def test_sample_is_bounded_and_independent_of_partitions(spark):
     rows = [(i, f"word{i % 7} text{i}", i % 3) for i in range(300)]
     df = spark.createDataFrame(rows, "doc_id long, text string, grade int")
-    a, b = (oq.fit(df.repartition(n), 3, max_rows=100) for n in (2, 7))
+    a, b = (oq.fit(df.repartition(n).drop("grade"), df.select("doc_id", "grade").repartition(n), 3, max_rows=100) for n in (2, 7))
     np.testing.assert_array_equal(a.weights, b.weights)
     assert a.thresholds.tolist() == pytest.approx(b.thresholds.tolist())

@@ -64,7 +64,8 @@ def test_links(spark, budget, group_rows):
     for k in range(64):
         prints |= {base[20] ^ (1 << k), base[20] ^ (3 << k) % (1 << 64), base[21] ^ ((1 << k) - 1)}
     signed = [p - (1 << 64) if p >= 1 << 63 else p for p in prints]
-    links = st.link_fingerprints(spark.createDataFrame([(p,) for p in signed], "print long"), budget, group_rows).collect()
+    rows = [(p, p, p) for p in signed]
+    links = st.link_fingerprints(spark.createDataFrame(rows, "print long, check long, node long"), budget, 64, group_rows).collect()
     label = {p: p for p in prints}
 
     def root(p):
@@ -81,6 +82,41 @@ def test_links(spark, budget, group_rows):
     assert sorted(map(sorted, groups.values())) == slow_components(prints, budget)
 
 
+def test_the_check_decides(spark):
+    rows = [(0, 0, 1), (1, 0, 2), (3, 255, 3), (3, 0, 4), (1 << 62, 7, 5)]
+    df = spark.createDataFrame(rows, "print long, check long, node long")
+    links = {tuple(sorted(r)) for r in st.link_fingerprints(df, 2, 3).collect()}
+    assert {n for link in links for n in link} == {1, 2, 4, 5}
+
+
+def test_near_copies_by_shingles(spark):
+    draw = np.random.default_rng(5)
+    words = [f"w{k}" for k in range(4000)]
+    rows = []
+    for base in range(40):
+        text = [words[k] for k in draw.integers(0, 4000, 400)]
+        rows.append((100 * base, " ".join(text)))
+        for copy in range(3):
+            changed = list(text)
+            for k in draw.integers(0, 400, 5):
+                changed[k] = words[int(draw.integers(0, 4000))]
+            rows.append((100 * base + 1 + copy, " ".join(changed)))
+    kept = {r["doc_id"] for r in st.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept >= {100 * b for b in range(40)} and len(kept) <= 42
+
+
+def test_given_documents(spark):
+    """All documents of the smallest tables against comparing all fingerprints."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    prints = {r["doc_id"]: slow_print(r["text"] or "") for r in docs.collect()}
+    least = {}
+    for group in slow_components(set(prints.values()), 4):
+        ids = [d for d, p in prints.items() if p in group]
+        least.update(dict.fromkeys(ids, min(ids)))
+    got = {r["doc_id"]: (r["print"] % (1 << 64), r["component_id"]) for r in st.group_near_copies(docs).collect()}
+    assert got == {d: (prints[d], least[d]) for d in prints}
+
+
 def test_tables(spark):
     text = " ".join(f"w{i}" for i in range(300))
     rows = [(5, text, "a"), (3, text.upper(), "b"), (9, text + " tail", "c"), (1, None, "d"), (2, "", "e"), (None, text, "f"), (7, "other", "g"),

@@ -10,8 +10,7 @@ letters, of signs, of repeated words, of words equal to the one before). Names a
 ``2 ** BITS`` places.
 
 Weights are fitted by follow-the-regularised-leader steps with an L1 term, which keeps rare noise
-at zero, on a bounded sample of rated rows (``max_rows``, the rows of smallest hash of key, a
-parameter). Only feature numbers of those rows come to the driver. Scoring covers every row and
+at zero, on a bounded sample of ratings (``max_rows``, those of smallest hash of key, a parameter). Only feature numbers of those rows come to the driver. Scoring covers every row and
 reads whole texts; words' weights are kept in a bounded cache.
 
 Defined results: a null or empty text has no features, so its grade follows from the thresholds
@@ -130,15 +129,13 @@ def fit_rows(
 
 
 def fit(
-    rated: DataFrame, n_grades: int, key: str = "doc_id", text: str = "text", grade: str = "grade", max_rows: int = MAX_ROWS,
+    docs: DataFrame, graded: DataFrame, n_grades: int, key: str = "doc_id", text: str = "text", max_rows: int = MAX_ROWS,
 ) -> Ordinal:
-    """A model of ``rated`` rows (key, text, grade from 0 to ``n_grades`` - 1)."""
-    usable = rated.where(F.col(grade).between(0, n_grades - 1)).select(key, text, F.col(grade).cast("int").alias("grade"))
-    order = [F.xxhash64(F.col(key)), F.xxhash64(F.col(text)), F.col("grade")]
-    # The bound of the sample is found on hashes alone, so that no text is sorted.
-    edge = usable.select(order[0].alias("h")).orderBy("h").limit(max_rows).agg(F.max("h").alias("h")).first()["h"]
-    if edge is None:
-        return fit_rows([], np.zeros(0, np.int64), n_grades)
+    """A model of the documents that ``graded`` (key, grade from 0 to ``n_grades`` - 1) rates."""
+    usable = graded.where(F.col("grade").between(0, n_grades - 1) & F.col(key).isNotNull()).select(
+        F.col(key).alias("rated_key"), F.col("grade").cast("int").alias("rated_grade"))
+    # At most ``max_rows`` ratings, so they may go to every task; no text is shuffled.
+    sample = F.broadcast(usable.orderBy(F.xxhash64("rated_key"), "rated_key", "rated_grade").limit(max_rows))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -146,8 +143,8 @@ def fit(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int32())), batch.column(2)], names=["h", "places", "grade"])
 
-    sample = usable.where(order[0] <= edge).select(order[0].alias("h"), text, "grade")
-    got = sample.mapInArrow(run, "h long, places array<int>, grade int").toArrow()
+    chosen = docs.join(sample, docs[key] == F.col("rated_key")).select(F.xxhash64("rated_key").alias("h"), docs[text], "rated_grade")
+    got = chosen.mapInArrow(run, "h long, places array<int>, grade int").toArrow()
     rows = [r.values.to_numpy(zero_copy_only=False) for r in got.column("places").combine_chunks()] if len(got) else []
     grades = got.column("grade").to_numpy()
     # The same order whatever the partitions were.
@@ -199,8 +196,7 @@ def grade_documents(df: DataFrame, model: Ordinal, text: str = "text", cut: int
     return df.select(*kept, df[text].alias(fresh(df, "text_in"))).mapInArrow(run, schema)
 
 
-def rated_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """(doc_id, text, grade): 0 toxic, 1 poor, 2 good; unlabelled documents are left out."""
+def ratings(labels: DataFrame) -> DataFrame:
+    """(doc_id, grade) from quality and toxicity labels: 0 toxic, 1 poor, 2 good."""
     grade = F.when(F.col("toxic") == 1, 0).when(F.col("quality") == 0, 1).when(F.col("quality") == 1, 2)
-    return docs.select("doc_id", "text").join(
-        labels.select("doc_id", grade.alias("grade")).where(F.col("grade").isNotNull()), "doc_id")
+    return labels.select("doc_id", grade.alias("grade")).where(F.col("grade").isNotNull())

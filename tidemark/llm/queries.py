@@ -100,7 +100,7 @@ def op3_context_trees(spark, sf_dir):
 @query
 def op8_ordinal_quality(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
-    model = ordinal_quality.fit(ordinal_quality.rated_documents(docs, labels), n_grades=3)
+    model = ordinal_quality.fit(docs, ordinal_quality.ratings(labels), n_grades=3)
     graded = ordinal_quality.grade_documents(docs.select("doc_id", "text"), model)
     return graded.select(
         "doc_id", "expected_grade", "tail", (F.col("tail") >= ordinal_quality.LEAST_TAIL).alias("selected"))
