@@ -46,7 +46,7 @@ def unescape(text: Column) -> Column:
 
 def field_paths(record: Column) -> Column:
     """Names and nesting of a variant's fields in sorted order, without leaf types."""
-    leaf = r": (?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|DATE|TIMESTAMP(?:_NTZ)?|BINARY|UUID|DECIMAL\([0-9,]+\))(?=[,>])"
+    leaf = r": (?:STRING|BIGINT|DOUBLE|FLOAT|BOOLEAN|VOID|DATE|TIMESTAMP(?:_NTZ)?|BINARY|UUID|VARIANT|DECIMAL\([0-9,]+\))(?=[,>])"
     return F.regexp_replace(F.schema_of_variant(record), leaf, "")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, cover_tree, gated_lm, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, cover_tree, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -124,3 +124,9 @@ def op1_gated_lm(spark, sf_dir):
     scored = gated_lm.learn_and_score(docs.withColumn("lesson", ~F.col("held_out")), "lesson")
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
+SQL["op2_url_aliases"] = oracle.url_sql(URL_RULES)
+SQL["op4_chat_layouts"] = oracle.chat_sql()
+SQL["op7_cover_tree"] = oracle.near_vectors_sql(cover_tree.COSINE)
+SQL["op10_template_leaks"] = oracle.leaks_sql(template_leaks.WINDOW, template_leaks.MIN_WINDOWS)

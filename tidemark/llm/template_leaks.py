@@ -43,7 +43,7 @@ UNITS = (
 )
 NUMBER_TEXT = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 NAME_RUN = r"([\p{Ll},;:]) (\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
-NUMBER_UNIT = rf"({NUMBER_TEXT}) ?((?:{UNITS})\b|[%€$£])"
+NUMBER_UNIT = rf"({NUMBER_TEXT}) ?({UNITS}|[%€$£])([^\p{{L}}\p{{Nd}}]|$)"
 NUMBER_ONLY = rf"(^|[^{NUMBER}\p{{Nd}}.,])({NUMBER_TEXT})"
 GAP = rf"[^\p{{L}}\p{{Nd}}{NAME}-{UNIT}]+"
 VALUED = rf"[{NAME}-{UNIT}][^{CLOSE}]*{CLOSE}|[\p{{L}}\p{{Nd}}]+"
@@ -59,7 +59,7 @@ def _clean(text: Column) -> Column:
 
 def _marked(text: Column, name: str, number: str, unit: str) -> Column:
     t = F.lower(F.regexp_replace(text, NAME_RUN, f"$1 {name} "))
-    t = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} ")
+    t = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
     return F.regexp_replace(t, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
 
 
