@@ -57,7 +57,7 @@ def test_url_parts(spark):
     assert odd.hostname is None
     assert value(spark, fn.parse_url_parts(F.col("u")), u=None) is None
     v6 = value(spark, fn.parse_url_parts(F.col("u")), u="http://[::1]:99/")
-    assert (v6.hostname, v6.port) == ("[::1]", 99)
+    assert (v6.hostname, v6.port) == ("::1", 99)
 
 
 @pytest.mark.parametrize(("text", "want"), [
@@ -99,3 +99,27 @@ def test_small_texts(spark):
     assert value(spark, empty, t="x") is None
     two = fn.normalize_hashtags(fn.wrap_hashtags(F.array(F.lit("a"), F.lit("b"))))
     assert value(spark, two, t="x") == "a,b"
+
+
+def test_links_by_country_code_and_listed_domain(spark):
+    text = "see bit.ly/abc, youtu.be/xyz and cbc.ca; https://a.ly/1 ex.com/q www.x.y me@b.co name.Surname v1.2 a.museum/x"
+    got = spark.range(1).select(F.lit(text).alias("t")).select(fn.extract_urls(F.col("t"))).first()[0]
+    assert got == ["bit.ly/abc", "youtu.be/xyz", "cbc.ca", "https://a.ly/1", "ex.com/q", "www.x.y", "a.museum/x"]
+    few = spark.range(1).select(fn.extract_urls(F.lit("a.museum b.com"), ["com"])).first()[0]
+    assert few == ["b.com"]
+
+
+def test_urls_are_split_once(spark):
+    urls = spark.createDataFrame([("HTTPS://u:p@[::1]:80/A;x?q#f",), (None,)], "u STRING")
+    both = urls.select(fn.parse_url_parts(F.col("u")).alias("p"), fn.parse_url_blank(F.col("u")).alias("b"))
+    r = both.first()
+    assert (r.p.schema, r.p.hostname, r.p.port, r.b.schema, r.b.hostname, r.b.params) == ("https", "::1", 80, "https", "::1", "x")
+    plan = urls.select(fn.parse_url_parts(F.col("u")).alias("p")).where("p.port > 1").select("p.*")
+    assert plan._jdf.queryExecution().optimizedPlan().toString().count("[^:/?#]+") <= 2
+
+
+def test_empty_phrase(spark):
+    from tidemark import operators as op
+
+    with pytest.raises(ValueError):
+        op.match_any_phrase(F.lit("x"), ["a", ""])

@@ -19,8 +19,10 @@ def test_number_rows_is_total_and_dense(spark):
     assert sorted(r.row_no for r in got) == list(range(5000))
 
 
+@pytest.mark.parametrize("limit", [64 << 20, -1])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_join(spark, rows, how):
+def test_salted_join_equals_join(spark, rows, how, limit, monkeypatch):
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", limit)
     hot = [(i, 7) for i in range(3000)]
     rest = [(3000 + i, i) for i in range(3000)] + [(9000 + i, None) for i in range(500)]
     facts = spark.createDataFrame(hot + rest, "id LONG, k LONG")
@@ -29,7 +31,8 @@ def test_salted_join_equals_join(spark, rows, how):
     assert rows(got) == rows(facts.join(keyed, "k", how))
 
 
-def test_salted_join_spreads_the_hot_key(spark):
+def test_salted_join_spreads_the_hot_key(spark, monkeypatch):
+    monkeypatch.setattr(scale, "BROADCAST_BYTES", -1)
     facts = spark.range(20000).select("id", F.lit(1).alias("k"))
     keyed = spark.createDataFrame([(1, "a")], "k INT, v STRING")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
@@ -96,3 +99,10 @@ def test_dedupe_aggregates_before_the_shuffle(spark):
     plan = op.dedupe_keep_first(df, ["k"], ["id"])._jdf.queryExecution().executedPlan().toString()
     before = plan.index("Exchange hashpartitioning")
     assert "WindowGroupLimit" in plan[:before] and "Partial" in plan[before:]
+
+
+def test_salted_join_reads_facts_once_when_the_keys_are_few(spark):
+    facts = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    keyed = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    plan = scale.salted_join(facts, keyed, "o_custkey")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("orders.parquet") == 1 and "BroadcastHashJoin" in plan

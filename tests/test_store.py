@@ -99,7 +99,7 @@ def posts(spark, *given):
 def test_upsert_and_stubs(spark):
     first = op.graph_rows(posts(spark, (1, "one", 0, 0, 0, 7), (2, "two", 99, 0, 0, 7), (3, "q", 0, 1, 0, 8)), "job")
     empty = empty_store(TWEETS, spark)
-    nodes = op.stub_tweets(op.upsert_tweets(empty, first, NOW), first, NOW)
+    nodes = op.stub_tweets(op.upsert_tweets(empty, first, NOW, ["tweet_id"]), first, NOW)
     got = {r.id: r for r in nodes.collect()}
     assert set(got) == {1, 2, 3, 99}
     assert (got[99].hydrated, got[99].text, got[1].hydrated, got[2].type) == ("PARTIAL", None, "FULL", "REPLY")
@@ -107,20 +107,20 @@ def test_upsert_and_stubs(spark):
 
     second = op.graph_rows(posts(spark, (1, "one again", 0, 0, 0, 7), (99, "was a stub", 0, 0, 0, 5)), "next")
     second = second.withColumn("tweet_created_at", F.lit("2024-03-03 00:00:00").cast("timestamp"))
-    later = {r.id: r for r in op.upsert_tweets(nodes, second, LATER).collect()}
+    later = {r.id: r for r in op.upsert_tweets(nodes, second, LATER, ["tweet_id"]).collect()}
     assert set(later) == {1, 2, 3, 99}
     assert (later[1].text, str(later[1].created_at)[:4], str(later[1].created_at)[5:7]) == ("one again", "2024", "01")
     assert str(later[1].record_updated_at) == LATER and str(later[1].record_created_at) == NOW
     assert (later[99].hydrated, str(later[99].created_at)[5:7], later[99].text) == ("FULL", "03", "was a stub")
     assert later[2].record_updated_at is None
-    stubs = op.stub_tweets(op.upsert_tweets(nodes, second, LATER), first, LATER)
+    stubs = op.stub_tweets(op.upsert_tweets(nodes, second, LATER, ["tweet_id"]), first, LATER)
     assert stubs.count() == 4 and stubs.where("hydrated = 'PARTIAL'").count() == 0
 
 
 def test_repeating_an_upsert_changes_only_the_stamp(spark, rows):
     batch = op.graph_rows(posts(spark, (1, "one", 0, 0, 0, 7), (2, "two", 1, 0, 0, 7)), "job")
-    once = op.upsert_tweets(empty_store(TWEETS, spark), batch, NOW)
-    twice = op.upsert_tweets(once, batch, NOW)
+    once = op.upsert_tweets(empty_store(TWEETS, spark), batch, NOW, ["tweet_id"])
+    twice = op.upsert_tweets(once, batch, NOW, ["tweet_id"])
     assert rows(once.drop("record_updated_at")) == rows(twice.drop("record_updated_at"))
 
 
@@ -241,3 +241,23 @@ def test_unions(spark, rows):
     assert rows(op.terms_union_all(a.select("a"), a.select("a"))) == [("x",), ("x",)]
     assert rows(op.page_ranges(spark.createDataFrame([(0,), (1,), (101,), (200,)], "n LONG"), "n")) == [
         (1, 1, 100), (101, 1, 100), (101, 101, 200), (200, 1, 100), (200, 101, 200)]
+
+
+def test_stub_takes_name_and_id_of_one_job(spark):
+    rows = [(1, 9, "a", "z"), (2, 9, "b", "y")]
+    batch = spark.createDataFrame(rows, "tweet_id LONG, reply_tweet_id LONG, job_name STRING, job_id STRING").selectExpr(
+        "*", "'REPLY' AS tweet_type", "CAST(NULL AS BIGINT) AS quoted_status_id", "CAST(NULL AS BIGINT) AS retweet_id")
+    stub = op.stub_tweets(empty_store(TWEETS, spark), batch, NOW).first()
+    assert (stub.id, stub.job_name, stub.job_id) == (9, "a", "z")
+
+
+def test_release_empties_the_working_folder(spark):
+    from tidemark.session import materialize, release, work_root
+
+    made = materialize(spark.range(5).toDF("n"), "scratch")
+    assert made.count() == 5
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    assert fs.exists(path)
+    release(spark)
+    assert not fs.exists(path)

@@ -45,7 +45,7 @@ def test_windows_match_batch(spark, feed, tmp_path, rows):
     add((1, 1, "2024-01-01 00:00:10", "a"), (2, 1, "2024-01-01 00:00:40", "a"))
     add((3, 2, "2024-01-01 00:01:05", "b"), (4, 2, "2024-01-01 00:00:20", "a"))
     out = str(tmp_path / "out")
-    drain(streaming.stream_backfill(stream(), "ts", "30 seconds", streaming.overwrite_table(out)))
+    drain(streaming.stream_backfill(stream(), "ts", "30 seconds", streaming.overwrite_table(out), str(tmp_path / "progress")))
     got = streaming.latest_batch(spark.read.parquet(out)).select("t0", "t1", "hits")
     assert rows(got) == rows(op.hits_per_window(batch(), "ts", 30))
 
@@ -61,7 +61,7 @@ def test_late_posts_are_lost_beyond_the_delay(spark, feed, tmp_path):
     add((6, 1, "2024-01-01 00:31:00", "b"))
     out = str(tmp_path / "out")
     hits = streaming.live_window_search(stream(), "ts", "kind", ["A"])
-    drain(streaming.micro_batch_flush(hits, lambda df, i: sources.write_batch_table(df, out, i)))
+    drain(streaming.micro_batch_flush(hits, lambda df, i: sources.write_batch_table(df, out, i), str(tmp_path / "progress")))
     got = {str(r.t0)[11:]: r.hits for r in spark.read.parquet(out).collect()}
     assert got == {"00:00:00": 1, "00:09:30": 1, "00:10:00": 1}
 
@@ -75,7 +75,7 @@ def test_dedupe_and_users(spark, feed, tmp_path, rows):
         ("users", streaming.stream_unseen_users(stream(), "user_id"), [(1,), (2,)]),
     ):
         out = str(tmp_path / name)
-        drain(streaming.micro_batch_flush(made, lambda df, i, o=out: sources.write_batch_table(df, o, i)))
+        drain(streaming.micro_batch_flush(made, lambda df, i, o=out: sources.write_batch_table(df, o, i), str(tmp_path / f"progress-{name}")))
         assert rows(spark.read.parquet(out).drop("batch_id")) == want
 
 
@@ -93,7 +93,7 @@ def test_hydration_filter_sees_own_writes(spark, feed, tmp_path, rows):
         return stored.unionByName(seen)
 
     handle = streaming.stream_hydration_filter(store, lambda df, i: sources.write_batch_table(df, out, i))
-    drain(streaming.micro_batch_flush(stream().select("id", "kind"), handle))
+    drain(streaming.micro_batch_flush(stream().select("id", "kind"), handle, str(tmp_path / "progress")))
     assert rows(spark.read.parquet(out).select("id", "kind")) == [(2, "a"), (3, "a")]
 
 
@@ -108,7 +108,7 @@ def test_graph_upsert_folds_batches_and_repeats(spark, feed, tmp_path):
         upsert(df, i)
         upsert(df, i)
 
-    drain(streaming.micro_batch_flush(stream().select("user_id", "id", "kind", F.col("ts").alias("created_at")), twice))
+    drain(streaming.micro_batch_flush(stream().select("user_id", "id", "kind", F.col("ts").alias("created_at")), twice, str(tmp_path / "progress")))
     got = {r.user_id: r for r in streaming.read_nodes(spark.read.parquet(out), "user_id").collect()}
     assert (got[1].kind, got[1].id, str(got[1].created_at)[17:]) == ("c", 4, "13")
     assert (str(got[1].record_created_at)[:10], str(got[1].record_updated_at)[:10]) == ("2024-02-01", "2024-02-02")

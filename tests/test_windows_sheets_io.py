@@ -172,3 +172,23 @@ def test_archive_scan_fills_missing_columns(spark, tmp_path):
     spark.createDataFrame([(5, "t")], "id LONG, full_text STRING").write.parquet(path)
     r = sources.scan_status_archive(spark, path).first()
     assert (r.id, r.full_text, r.lang, len(r)) == (5, "t", None, 34)
+
+
+def test_topics_over_several_lines_or_one_per_line(spark, tmp_path):
+    pretty, lines, broken = tmp_path / "pretty.json", tmp_path / "lines.json", tmp_path / "broken.json"
+    pretty.write_text('{\n  "a": ["x y", "é"],\n  "b": [\n    "z"\n  ]\n}\n')
+    lines.write_text('{"a": ["x y", "é"]}\n\n{"b": ["z"]}\n')
+    broken.write_text("[1, 2")
+    want = [("a", 0, "x y"), ("a", 1, "é"), ("b", 0, "z")]
+    for path in (pretty, lines):
+        assert sorted(map(tuple, sources.scan_topics(spark, str(path)).collect())) == want
+    with pytest.raises(Exception, match="not a JSON object"):
+        sources.scan_topics(spark, str(broken)).collect()
+
+
+def test_quarantine_is_written(spark, tmp_path):
+    schema = T.StructType([T.StructField("id", T.LongType())])
+    df = spark.createDataFrame([("1",), ("x",)], "id STRING")
+    sources.write_quarantine(df, schema, str(tmp_path / "v"), str(tmp_path / "r"))
+    assert [r.id for r in spark.read.parquet(str(tmp_path / "v")).collect()] == [1]
+    assert [(r.id, r.reason) for r in spark.read.json(str(tmp_path / "r")).collect()] == [("x", "id")]

@@ -85,7 +85,7 @@ def _(v: Views) -> DataFrame:
         none.cast("string").alias("user_profile_image_url"), none.cast("timestamp").alias("user_created_at"),
         F.lit("job").alias("job_name"), none.cast("string").alias("job_id"),
     )
-    return op.upsert_accounts(store, batch, AS_OF).select(
+    return op.upsert_accounts(store, batch, AS_OF, ["user_followers_count"]).select(
         "id", "name", "followers_count", "note", "hydrated", _us("record_updated_at")
     )
 
@@ -328,3 +328,76 @@ def social_graph(v: Views) -> DataFrame:
     return edges.select(
         F.lit("edge").alias("kind"), F.col("rel").alias("a"), F.col("src").alias("b"), F.col("dst").alias("c")
     ).unionAll(nodes.select(F.lit("node"), "label", "node_key", "hydrated"))
+
+
+_STAMPS = {"hydrated": "string", "record_created_at": "timestamp", "record_updated_at": "timestamp"}
+_STORES = {
+    "tweets": {
+        "id": "bigint", "text": "string", "created_at": "timestamp", "favorite_count": "bigint", "retweet_count": "bigint",
+        "job_name": "string", "job_id": "string", "hashtags": "string", "type": "string", "geo": "string",
+        "ingest_method": "string", **_STAMPS},
+    "accounts": {"id": "bigint", "name": "string", "screen_name": "string", "job_name": "string", "job_id": "string", **_STAMPS},
+    "urls": {"full_url": "string", "hostname": "string", "path": "string", "job_name": "string", **_STAMPS},
+    "edges": {"rel": "string", "src": "string", "dst": "string"},
+}
+
+
+@query("archive_to_graph", with_views("posts", f"""
+    , p AS (
+        SELECT *, (conversation_id // 1000) % 3 = 0 AS in_first, status_id % 2 = 0 AS in_second, length(user_name) AS author
+        FROM posts),
+    b AS (SELECT * FROM p WHERE in_first OR in_second),
+    stubs AS (SELECT DISTINCT reply_to AS id FROM b WHERE reply_to > 0 AND reply_to NOT IN (SELECT status_id FROM b)),
+    people AS (
+        SELECT author AS id, 'FULL' AS hydrated, user_name AS name, bool_or(in_first) AS early FROM b GROUP BY ALL
+        UNION ALL SELECT 100 + author, 'PARTIAL', 'm', bool_or(in_first) FROM b GROUP BY ALL),
+    made AS (
+        SELECT 'Tweet' AS kind, CAST(status_id AS VARCHAR) AS a, 'FULL' AS b, 'place ' || status_id AS c, in_first AS early,
+               in_first AND in_second AS again FROM b
+        UNION ALL SELECT 'Tweet', CAST(id AS VARCHAR), 'PARTIAL', NULL, FALSE, FALSE FROM stubs
+        UNION ALL SELECT 'Account', CAST(id AS VARCHAR), hydrated, name, early, NULL FROM people
+        UNION ALL SELECT 'Url', 'http://h/' || conversation_id, 'h', NULL, bool_or(in_first), NULL FROM b GROUP BY conversation_id)
+    SELECT kind, a, b, c, CASE WHEN early THEN epoch_us({_OLD}) ELSE epoch_us({AS_OF_SQL}) END AS created_us, again FROM made
+    UNION ALL SELECT 'TWEETED', CAST(author AS VARCHAR), CAST(status_id AS VARCHAR), NULL, NULL, NULL FROM b
+    UNION ALL SELECT 'REPLIED', CAST(status_id AS VARCHAR), CAST(reply_to AS VARCHAR), NULL, NULL, NULL FROM b WHERE reply_to > 0
+    UNION ALL SELECT 'MENTIONED', CAST(status_id AS VARCHAR), CAST(100 + author AS VARCHAR), NULL, NULL, NULL FROM b
+    UNION ALL SELECT 'INCLUDES', CAST(status_id AS VARCHAR), 'http://h/' || conversation_id, NULL, NULL, NULL FROM b"""))
+def archive_to_graph(v: Views) -> DataFrame:
+    """Two overlapping batches of posts, one after the other, into a graph with all properties."""
+    author = F.length("user_name").cast("bigint")
+    flat = v.posts().select(
+        "status_id", "conversation_id", "full_text", F.col("reply_to").alias("in_reply_to_status_id"), author.alias("user_id"),
+        "user_name", F.concat(F.lit("place "), F.col("status_id").cast("string")).alias("geo"),
+        F.array(F.struct((author + 100).alias("id"), F.lit("m").alias("name"), F.lit("@m").alias("screen_name"))).alias("user_mentions"),
+        F.array(F.concat(F.lit("http://h/"), F.col("conversation_id").cast("string"))).alias("urls"))
+    stores = {name: op.empty_store(columns, v.spark) for name, columns in _STORES.items()}
+    batches = (
+        (flat.where(F.floor(F.col("conversation_id") / 1000) % 3 == 0), "2023-01-01 00:00:00"),
+        (flat.where(F.col("status_id") % 2 == 0), AS_OF))
+    for rows, as_of in batches:
+        stores = plans.archive_to_graph(
+            stores, op.graph_rows(rows, "job", ingest_method="archive"), op.explode_mentions(rows, "job"),
+            op.explode_urls(rows, "job"), as_of, ["tweet_id"])
+    created, none = F.unix_micros("record_created_at").alias("created_us"), F.lit(None)
+    text = lambda c: F.col(c).cast("string").alias("a")
+    tweets = stores["tweets"].select(
+        F.lit("Tweet").alias("kind"), text("id"), F.col("hydrated").alias("b"), F.col("geo").alias("c"), created,
+        F.col("record_updated_at").isNotNull().alias("again"))
+    accounts = stores["accounts"].select(
+        F.lit("Account").alias("kind"), text("id"), F.col("hydrated").alias("b"), F.col("name").alias("c"), created,
+        none.cast("boolean").alias("again"))
+    urls = stores["urls"].select(
+        F.lit("Url").alias("kind"), text("full_url"), F.col("hostname").alias("b"), none.cast("string").alias("c"), created,
+        none.cast("boolean").alias("again"))
+    edges = stores["edges"].select(
+        F.col("rel").alias("kind"), text("src"), F.col("dst").alias("b"), none.cast("string").alias("c"),
+        none.cast("bigint").alias("created_us"), none.cast("boolean").alias("again"))
+    return tweets.unionByName(accounts).unionByName(urls).unionByName(edges)
+
+
+@query("rehydrate", with_views("posts", "SELECT status_id, full_text FROM posts WHERE status_id % 3 <> 0"))
+def rehydrate(v: Views) -> DataFrame:
+    """Posts of a request that are not stored in full, flattened."""
+    ids = v.posts().select(F.col("status_id").alias("id"))
+    store = ids.where("id % 3 < 2").withColumn("hydrated", F.when(F.col("id") % 3 == 0, "FULL").otherwise("PARTIAL"))
+    return plans.rehydrate(ids, store, v.raw_posts()).select("status_id", "full_text")

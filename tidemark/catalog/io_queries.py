@@ -121,7 +121,10 @@ def _(v: Views) -> DataFrame:
         "event_id", F.when(F.col("event_type") == "error", F.concat(F.lit("x"), k)).otherwise(k).alias("k")
     )
     schema = T.StructType([T.StructField("event_id", T.LongType()), T.StructField("k", T.LongType())])
-    valid, rejected = sources.sink_quarantine(rows, schema)
+    good, bad = v.new_path("valid"), v.new_path("rejected")
+    sources.write_quarantine(rows, schema, good, bad)
+    valid = v.spark.read.schema(schema).parquet(good)
+    rejected = v.spark.read.schema("event_id LONG, k STRING, reason STRING").json(bad)
     return valid.withColumn("reason", F.lit("")).unionByName(
         rejected.withColumn("k", F.lit(None).cast("bigint"))
     )
@@ -136,7 +139,7 @@ def _(v: Views) -> DataFrame:
         lambda df, i: sources.write_batch_table(df, archive, i),
         lambda df, i: sources.write_batch_table(df.select("event_id", "event_type"), graph, i),
     )
-    streaming.micro_batch_flush(v.ev_stream(), flush).awaitTermination()
+    streaming.micro_batch_flush(v.ev_stream(), flush, v.new_path("progress")).awaitTermination()
     tables = [
         v.spark.read.parquet(p).select(F.lit(s).alias("sink"), "event_type")
         for s, p in (("archive", archive), ("graph", graph))

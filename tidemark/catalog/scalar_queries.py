@@ -6,15 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..functions.text import URL_ACCEPT, URL_PATTERN, URL_TRAILING
 from .registry import query
 from .views import Views, with_views
 
 
-def _sql_text(s: str) -> str:
-    return "'" + s.replace("'", "''") + "'"
-
-
 @query("snowflake_time", with_views("ev_ids", """
     SELECT event_id, id, epoch_us(ts) // 1000 AS ms FROM ev_ids JOIN events USING (event_id)"""))
 def _(v: Views) -> DataFrame:
@@ -66,15 +61,28 @@ def _(v: Views) -> DataFrame:
     return v.mentions().select("status_id", F.array_join("user_mentions", " ").alias("found"))
 
 
-@query("extract_urls", f"""
-    SELECT doc_id, array_to_string(
-             [x FOR x IN [regexp_replace(u, {_sql_text(URL_TRAILING)}, '')
-                          FOR u IN regexp_extract_all(t, {_sql_text(URL_PATTERN)})]
-              IF regexp_matches(x, {_sql_text(URL_ACCEPT)})], ' ') AS found
-    FROM (SELECT d.doc_id, d.text || ' ' || COALESCE(p.url, '') AS t
-          FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id)""")
-def _(v: Views) -> DataFrame:
-    text = F.concat("text", F.lit(" "), F.coalesce("url", F.lit("")))
+# Written apart from the package: candidates are cut at blanks, quotes and brackets, stripped of
+# closing points, and judged by their start and the last label of their host. The hosts of these
+# tables end in com, net, org, or two letters.
+@query("extract_urls", r"""
+    WITH t AS (
+      SELECT d.doc_id, d.text || ' ' || COALESCE(p.url, '') || ' bit.ly/a' || doc_id || ' (youtu.be/x) cbc.ca a.b@c.de' AS t
+      FROM documents d LEFT JOIN pages p ON d.doc_id = p.page_id),
+    cut AS (SELECT doc_id, string_split_regex(t, '[[:space:]<>"''()\[\]{}]+') AS pieces FROM t),
+    found AS (
+      SELECT doc_id, flatten([regexp_extract_all(x, '(?i)(?:https?://|www[.]).+|(?:[a-z0-9._%+-]+@)?(?:[a-z0-9-]+[.])+[a-z]{2,}(?:[/?#:].*)?')
+                              FOR x IN pieces IF contains(x, '.') OR contains(x, '://')]) AS us FROM cut),
+    trimmed AS (SELECT doc_id, [rtrim(u, '.,;:!?') FOR u IN us] AS us FROM found)
+    SELECT doc_id, array_to_string([u FOR u IN us IF
+             lower(u) LIKE 'http://%' OR lower(u) LIKE 'https://%' OR lower(u) LIKE 'www.%'
+             OR (NOT contains(regexp_extract(u, '^[^/?#:]*'), '@')
+                 AND (length(regexp_extract(u, '^[^/?#:]*[.]([^/?#:.]*)', 1)) = 2
+                      OR lower(regexp_extract(u, '^[^/?#:]*[.]([^/?#:.]*)', 1)) IN ('com', 'net', 'org')))], ' ') AS found
+    FROM trimmed""")
+def _(v: Views) -> DataFrame:
+    text = F.concat(
+        "text", F.lit(" "), F.coalesce("url", F.lit("")), F.lit(" bit.ly/a"), F.col("doc_id").cast("string"),
+        F.lit(" (youtu.be/x) cbc.ca a.b@c.de"))
     rows = v.table("documents").join(
         v.table("pages").select(F.col("page_id").alias("doc_id"), "url"), "doc_id", "left"
     )

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import operators as op
 from .. import plans
 from .registry import query
-from .views import NON_WORD, Views, guard, with_views
+from .views import NON_WORD, Views, filled, whole, with_views
 
 PHRASES = ["the", "that", "avec", "de les", "Und", "privacy policy"]
 WORDS = ["license", "mail", "Ther"]
@@ -48,7 +48,8 @@ def _(v: Views) -> DataFrame:
 
 @query("tag_topics", with_views("posts vocab topics", f"""
     SELECT status_id, string_agg(DISTINCT topic, ',' ORDER BY topic) AS topics
-    FROM posts JOIN topics ON {guard('phrase', 'lower(full_text)')} GROUP BY status_id"""))
+    FROM (SELECT status_id, {filled('lower(full_text)')} AS t FROM posts) JOIN topics ON {whole('phrase', 't')}
+    GROUP BY status_id"""))
 def _(v: Views) -> DataFrame:
     tagged = op.tag_topics(v.posts(), "status_id", "full_text", v.topics())
     return tagged.select("status_id", F.array_join("topics", ",").alias("topics"))
@@ -212,6 +213,7 @@ def _(v: Views) -> DataFrame:
 
 
 @query("word_boundary_link", with_views("posts vocab", f"""
-    SELECT term, status_id FROM vocab JOIN posts ON {guard('term', 'lower(full_text)')}"""))
+    SELECT term, status_id FROM vocab JOIN (SELECT status_id, {filled('lower(full_text)')} AS t FROM posts)
+    ON {whole('term', 't')}"""))
 def _(v: Views) -> DataFrame:
     return op.word_boundary_link(v.vocab(), v.posts(), "term", "status_id", "full_text")

@@ -14,7 +14,7 @@ from .views import AS_OF, AS_OF_SQL, Views, with_views
 def _to_table(v: Views, stream: DataFrame, mode: str = "append") -> DataFrame:
     """Run a stream to its end into a table and read that."""
     path = v.new_path("table")
-    streaming.micro_batch_flush(stream, streaming.overwrite_table(path), None, mode).awaitTermination()
+    streaming.micro_batch_flush(stream, streaming.overwrite_table(path), v.new_path("progress"), None, mode).awaitTermination()
     table = v.spark.read.parquet(path)
     return streaming.latest_batch(table) if mode == "complete" else table.drop("batch_id")
 
@@ -54,7 +54,7 @@ def _(v: Views) -> DataFrame:
         v.stored, lambda df, i: sources.write_batch_table(df, path, i)
     )
     stream = v.ev_stream().select(F.col("event_id").alias("id"), "user_id")
-    streaming.micro_batch_flush(stream, handle).awaitTermination()
+    streaming.micro_batch_flush(stream, handle, v.new_path("progress")).awaitTermination()
     return v.spark.read.parquet(path).drop("batch_id")
 
 
@@ -62,7 +62,7 @@ def _(v: Views) -> DataFrame:
 def _(v: Views) -> DataFrame:
     path = v.new_path("history")
     streaming.stream_backfill(
-        v.ev_stream(), "ts", "8 hours", streaming.overwrite_table(path)
+        v.ev_stream(), "ts", "8 hours", streaming.overwrite_table(path), v.new_path("progress")
     ).awaitTermination()
     rows = streaming.latest_batch(v.spark.read.parquet(path))
     return rows.select(F.unix_micros("t0").alias("t0_us"), "hits")
@@ -76,7 +76,7 @@ def _(v: Views) -> DataFrame:
     path = v.new_path("nodes")
     upsert = streaming.stream_graph_upsert(path, lambda batch_id: AS_OF, "id", ["event_id"])
     stream = v.ev_stream().select(F.col("user_id").alias("id"), "event_id", F.col("event_type").alias("type"))
-    streaming.micro_batch_flush(stream, upsert).awaitTermination()
+    streaming.micro_batch_flush(stream, upsert, v.new_path("progress")).awaitTermination()
     nodes = streaming.read_nodes(v.spark.read.parquet(path))
     return nodes.select("id", "type", "hydrated", F.unix_micros("record_created_at").alias("record_created_us"))
 

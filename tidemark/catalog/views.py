@@ -12,6 +12,10 @@ AS_OF = "2024-02-01 00:00:00"
 AS_OF_SQL = f"TIMESTAMP '{AS_OF}'"
 
 
+# Single words, pairs and fours of the vocabulary view.
+TERMS = ("[a-z]{3,}", "[a-z]+ [a-z]+", "[a-z]+ [a-z]+ [a-z]+ [a-z]+")
+
+
 class Views:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
@@ -100,8 +104,10 @@ class Views:
         )
 
     def vocab(self) -> DataFrame:
-        word = F.lower(F.regexp_extract("text", "[A-Za-z]+", 0))
-        return self.table("benchmark").select(word.alias("term")).where(F.length("term") >= 3).distinct()
+        """Words, and terms of two and of four words, of whole texts."""
+        text = F.lower("text")
+        found = [F.regexp_extract_all(text, F.lit(p), F.lit(0)) for p in TERMS]
+        return self.table("benchmark").select(F.explode(F.concat(*found)).alias("term")).distinct()
 
     def topics(self) -> DataFrame:
         """Each term under the topic of its length."""
@@ -225,8 +231,10 @@ CTE = {
                ((epoch_us(ts) // 1000 - 1288834974657) << 22) | ((user_id % 1024) << 12) | (event_id % 4096) AS id
         FROM events)""",
     "vocab": """vocab AS (
-        SELECT DISTINCT lower(regexp_extract(text, '[A-Za-z]+')) AS term FROM benchmark
-        WHERE length(regexp_extract(text, '[A-Za-z]+')) >= 3)""",
+        SELECT DISTINCT unnest(
+          regexp_extract_all(lower(text), '[a-z]{3,}') || regexp_extract_all(lower(text), '[a-z]+ [a-z]+')
+          || regexp_extract_all(lower(text), '[a-z]+ [a-z]+ [a-z]+ [a-z]+')) AS term
+        FROM benchmark)""",
     "topics": """topics AS (
         SELECT 't' || (length(term) % 3) AS topic, term AS phrase FROM vocab)""",
     "mentions": r"""mentions AS (
@@ -244,10 +252,10 @@ CTE = {
         SELECT 'NCX' || o_orderkey, 'https://clinicaltrials.gov/show/NCX' || o_orderkey, '', '', '',
                'Brief ' || o_orderpriority FROM orders)""",
     "page_parts": r"""page_parts AS (
-        SELECT *, regexp_extract(netloc, '^(.*)@', 1) AS userinfo,
+        SELECT *, lower(raw_scheme) AS scheme, regexp_extract(netloc, '^(.*)@', 1) AS userinfo,
                regexp_replace(netloc, '^.*@', '') AS address
         FROM (SELECT page_id, url,
-          regexp_extract(url, '^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?', 2) AS scheme,
+          regexp_extract(url, '^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?', 2) AS raw_scheme,
           regexp_extract(url, '^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?', 4) AS netloc,
           regexp_extract(url, '^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?', 5) AS path,
           regexp_extract(url, '^(([^:/?#]+):)?(//([^/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?', 7) AS query,
@@ -261,6 +269,16 @@ def with_views(names: str, body: str) -> str:
     return "WITH " + ",\n".join(CTE[n] for n in names.split()) + "\n" + body.strip()
 
 
+def filled(text: str) -> str:
+    """SQL for a text with every sign that is neither a word character nor a blank as ``#``."""
+    return rf"'#' || regexp_replace({text}, '[^\p{{L}}\p{{N}}_ ]', '#', 'g') || '#'"
+
+
+def whole(term: str, text: str) -> str:
+    """SQL test for a whole-word occurrence of a term of words and blanks in a ``filled`` text."""
+    return "(" + " OR ".join(f"contains({text}, '{a}' || {term} || '{b}')" for a in " #" for b in " #") + ")"
+
+
 def guard(term: str, text: str) -> str:
     """SQL test for a whole-word occurrence; the plain test first spares most regular expressions."""
     return (

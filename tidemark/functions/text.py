@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -12,30 +14,48 @@ NON_WORD_CHAR = r"[^\p{L}\p{N}_]"
 
 MENTION_PATTERN = r"@[\p{L}\p{N}_]+"
 
-# Top-level domains that make a bare host name count as a link.
-BARE_TLDS = ("com", "org", "net", "edu", "gov", "io", "co", "uk", "de", "fr", "eu", "info")
+# Top-level domains of three letters and more that make a bare host name count as a link (fixed
+# values, public). Country codes need no list: every last label of two letters counts.
+GENERIC_TLDS = (
+    "academy", "aero", "agency", "app", "art", "asia", "audio", "bar", "bio", "biz", "blog", "cafe", "care",
+    "cat", "center", "chat", "city", "click", "clinic", "cloud", "club", "codes", "coffee", "com", "company",
+    "coop", "design", "dev", "digital", "doctor", "edu", "education", "email", "energy", "expert", "fm", "foundation",
+    "fun", "fund", "games", "global", "gov", "green", "group", "guide", "guru", "health", "help", "host", "hospital",
+    "info", "institute", "int", "international", "jobs", "land", "law", "legal", "life", "link", "live", "ltd",
+    "market", "media", "mil", "mobi", "money", "museum", "name", "net", "network", "news", "ngo", "one", "online",
+    "org", "page", "party", "photo", "photos", "plus", "post", "press", "pro", "pub", "report", "review", "reviews",
+    "rocks", "run", "school", "science", "services", "shop", "site", "social", "software", "solutions", "space",
+    "store", "stream", "studio", "support", "systems", "team", "tech", "tel", "tips", "today", "tools", "top",
+    "travel", "university", "video", "vip", "website", "wiki", "win", "work", "works", "world", "wtf", "xxx", "xyz",
+    "zone",
+)
 _TAIL = r"[^\s<>\"'()\[\]{}]"
 URL_PATTERN = (
     rf"(?i)(?:https?://|www\.){_TAIL}+"
     rf"|(?:[a-z0-9._%+-]+@)?(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:[/?#:]{_TAIL}*)?"
 )
-URL_ACCEPT = (
-    r"(?i)^(?:https?://|www\.|(?:[a-z0-9-]+\.)+(?:" + "|".join(BARE_TLDS) + r")(?:[/?#:]|$))"
-)
+
 URL_BREAKS = r"[\s<>\"'()\[\]{}]+"
 URL_TRAILING = r"[.,;:!?]+$"
 
 _BLANKS = " \t\n\r\f\x0b"
 
 
+def _accept(tlds: Sequence[str]) -> str:
+    """Links with a scheme or ``www.``, and hosts whose last label is a country code or listed."""
+    return r"(?i)^(?:https?://|www\.|(?:[a-z0-9-]+\.)+(?:[a-z]{2}|" + "|".join(tlds) + r")(?:[/?#:]|$))"
+
+
 def extract_mentions(c: Column) -> Column:
     """All ``@name`` tokens, in order."""
     return F.regexp_extract_all(c, F.lit(MENTION_PATTERN), F.lit(0))
 
 
-def extract_urls(c: Column) -> Column:
+def extract_urls(c: Column, tlds: Sequence[str] = GENERIC_TLDS) -> Column:
     """Links in free text, in order; addresses with ``@`` are mail and left out.
 
+    A bare host counts by its last label: any two letters, or one of ``tlds``.
+
     A link never spans blanks, quotes or brackets, so only the pieces between them that hold a dot
     or ``://`` meet the long expression.
     """
@@ -46,7 +66,7 @@ def extract_urls(c: Column) -> Column:
         F.transform(pieces, lambda t: F.regexp_extract_all(t, F.lit(URL_PATTERN), F.lit(0)))
     )
     trimmed = F.transform(found, lambda u: F.regexp_replace(u, URL_TRAILING, ""))
-    return F.filter(trimmed, lambda u: u.rlike(URL_ACCEPT))
+    return F.filter(trimmed, lambda u: u.rlike(_accept(tlds)))
 
 
 def normalize_hashtags(c: Column) -> Column:

@@ -41,11 +41,6 @@ def to_json_string(c: Column, nan_is_null: bool = False) -> Column:
     return F.when(value.isNotNull(), F.substring(boxed, F.lit(2), F.length(boxed) - 2))
 
 
-def null_if_placeholder(c: Column) -> Column:
-    """Null for the placeholder texts of legacy archives."""
-    return F.when(~c.isin(*NULL_TEXTS), c)
-
-
 def _literal_to_json(text: str | None) -> str:
     try:
         value = ast.literal_eval(text)

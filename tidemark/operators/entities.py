@@ -104,7 +104,9 @@ def account_columns(df: DataFrame, job_name: str, as_of: str | dt.datetime) -> D
     )
 
 
-def graph_rows(df: DataFrame, job_name: str, job_id: str | None = None) -> DataFrame:
+def graph_rows(
+    df: DataFrame, job_name: str, job_id: str | None = None, ingest_method: str | None = None
+) -> DataFrame:
     """Flat posts to the batch table the graph upserts take."""
     typed = classify_graph_type(df)
     hashtags = F.lit(None).cast("string")
@@ -121,6 +123,8 @@ def graph_rows(df: DataFrame, job_name: str, job_id: str | None = None) -> DataF
         F.lit(job_id).cast("string").alias("job_id"),
         F.lit(job_name).alias("job_name"),
         hashtags.alias("hashtags"),
+        _optional(df, "geo", "string").alias("geo"),
+        F.lit(ingest_method).cast("string").alias("ingest_method"),
         _optional(df, "user_id", "bigint").alias("user_id"),
         _optional(df, "user_name", "string").alias("user_name"),
         _optional(df, "user_location", "string").alias("user_location"),

@@ -27,6 +27,7 @@ TWEET_COLUMNS = {
     "id": "tweet_id", "text": "text", "created_at": "tweet_created_at",
     "favorite_count": "favorite_count", "retweet_count": "retweet_count",
     "job_name": "job_name", "job_id": "job_id", "hashtags": "hashtags", "type": "tweet_type",
+    "geo": "geo", "ingest_method": "ingest_method",
 }
 ACCOUNT_COLUMNS = {
     "id": "user_id", "name": "user_name", "screen_name": "user_screen_name",
@@ -97,17 +98,21 @@ def _create_missing(
 
 
 def upsert_tweets(
-    store: DataFrame, batch: DataFrame, as_of: str | dt.datetime, order_cols: Sequence[str] = ()
+    store: DataFrame, batch: DataFrame, as_of: str | dt.datetime, order_cols: Sequence[str]
 ) -> DataFrame:
-    """Posts of the batch become FULL; ``created_at`` of a known post is never overwritten."""
+    """Posts of the batch become FULL; ``created_at`` of a known post is never overwritten.
+
+    Of several rows of a post the last by ``order_cols`` counts.
+    """
     rows = dedupe_keep_last(batch, ["tweet_id"], order_cols)
-    return _upsert(store, pick(rows, TWEET_COLUMNS), "id", TWEET_PROPS, as_of, ["created_at"])
+    columns = {new: old for new, old in TWEET_COLUMNS.items() if old in rows.columns}
+    return _upsert(store, pick(rows, columns), "id", TWEET_PROPS, as_of, ["created_at"])
 
 
 def upsert_accounts(
-    store: DataFrame, batch: DataFrame, as_of: str | dt.datetime, order_cols: Sequence[str] = ()
+    store: DataFrame, batch: DataFrame, as_of: str | dt.datetime, order_cols: Sequence[str]
 ) -> DataFrame:
-    """Authors of the batch become FULL, with the properties of their last row."""
+    """Authors of the batch become FULL, with the properties of their last row by ``order_cols``."""
     rows = batch.where(F.col("user_id").isNotNull())
     rows = dedupe_keep_last(pick(rows, {**ACCOUNT_COLUMNS, **{c: c for c in order_cols}}), ["id"], order_cols)
     return _upsert(store, rows, "id", ACCOUNT_PROPS, as_of)
@@ -141,7 +146,9 @@ def stub_tweets(store: DataFrame, batch: DataFrame, as_of: str | dt.datetime) ->
     targets = (
         batch.select(target_id().alias("id"), "job_name", "job_id")
         .where(F.col("id").isNotNull())
-        .groupBy("id").agg(F.min("job_name").alias("job_name"), F.min("job_id").alias("job_id"))
+        # Name and id of one and the same job.
+        .groupBy("id").agg(F.min(F.struct("job_name", "job_id")).alias("job"))
+        .select("id", "job.job_name", "job.job_id")
     )
     return _create_missing(store, targets, "id", "PARTIAL", as_of)
 

@@ -51,18 +51,33 @@ def number_rows(df: DataFrame, order_cols: Sequence[str | Column], name: str = "
     )
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Size of a table's rows, counted; 0 without rows."""
+    width = F.lit(8 * len(df.columns))
+    for f in df.schema.fields:
+        if f.dataType.typeName() in ("long", "integer", "short", "byte", "double", "float", "boolean", "date", "timestamp"):
+            continue
+        text = F.col(f"`{f.name}`")
+        text = text if f.dataType.typeName() == "string" else F.to_json(F.array(text))
+        width = width + F.coalesce(F.octet_length(text), F.lit(0))
+    return df.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+
+
 def salted_join(
     facts: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "inner",
     spread: Sequence[str] = (),
 ) -> DataFrame:
     """Join many rows to a table with one row per key when a few keys dominate.
 
-    Hot keys are found by a pre-aggregated count. Their facts are spread over ``SALTS`` parts by a
+    A keyed table of up to ``BROADCAST_BYTES`` is broadcast, and the facts are read once. Otherwise
+    hot keys are found by a pre-aggregated count. Their facts are spread over ``SALTS`` parts by a
     hash of the ``spread`` columns and their keyed rows (at most 1,000, see ``HOT_SHARE``) are
     repeated once per part. Everything else joins as usual. Exact for any distribution; ``how`` is
     inner, left, left_semi or left_anti.
     """
     keys = [on] if isinstance(on, str) else list(on)
+    if measured_bytes(keyed) <= BROADCAST_BYTES:
+        return facts.join(F.broadcast(keyed), keys, how)
     counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_n")).scalar()
     hot = counts.where(F.col("_n") > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("_hot"))
@@ -93,10 +108,7 @@ def lookup_join(
     broadcast; beyond that every key is repeated ``SALTS`` times and the facts are spread over the
     copies, which needs no counting pass over ``facts``.
     """
-    width = F.lit(8 * len(lookup.columns))
-    for c in lookup.columns:
-        width = width + F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0))
-    size = lookup.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+    size = measured_bytes(lookup)
     if size == 0:
         # Nothing to look up: the plan below is known to be empty and reads no facts.
         return facts.where(F.lit(False)).join(lookup, on)

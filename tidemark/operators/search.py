@@ -13,9 +13,6 @@ from ..functions.text import NON_WORD_CHAR
 from .linking import word_boundary_link
 from .scale import lookup_join, running_before
 
-# More phrases than this are better served by ``tag_topics`` / ``word_boundary_link``.
-MAX_INLINE_PHRASES = 20
-
 _WORD = re.compile(r"\w")
 
 
@@ -32,6 +29,8 @@ def match_any_phrase(c: Column, phrases: Sequence[str]) -> Column:
     the one regular expression for all phrases only sees texts that can match."""
     if not phrases:
         return F.lit(False)
+    if not all(phrases):
+        raise ValueError("an empty phrase matches every text; leave it out")
     lowered, possible = F.lower(c), F.lit(False)
     for p in phrases:
         possible = possible | lowered.contains(p.lower())

@@ -1,9 +1,9 @@
 """Composed flows."""
 
-from .drugs import all_studies, appeared_in, build_drug_graph
-from .social import build_social_graph, rehydrate, search_time_range, to_archive
+from .drugs import all_studies, build_drug_graph
+from .social import archive_to_graph, build_social_graph, rehydrate, search_time_range, to_archive
 
 __all__ = [
-    "all_studies", "appeared_in", "build_drug_graph", "build_social_graph", "rehydrate",
+    "all_studies", "archive_to_graph", "build_drug_graph", "build_social_graph", "rehydrate",
     "search_time_range", "to_archive",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.dedupe import last_wins_map, terms_union_all, union_by_name_fill
+from ..operators.dedupe import last_wins_map, union_by_name_fill
 from ..operators.linking import word_boundary_link
 from ..operators.scale import lookup_join
 from ..operators.trials import drug_synonym_edges, flatten_trials, split_synonyms, study_url_edges
@@ -23,13 +23,6 @@ def all_studies(trials: DataFrame, intl: DataFrame | None, order_col: str = "tri
     return union_by_name_fill(flat, intl, "trial_id", order_col)
 
 
-def appeared_in(vocab: DataFrame, studies: DataFrame) -> DataFrame:
-    """``(term, trial_id)`` where a drug name or synonym occurs in the intervention."""
-    synonyms = drug_synonym_edges(vocab).select("synonym")
-    terms = terms_union_all(vocab.select("name"), synonyms)
-    return word_boundary_link(terms, studies, "term", "trial_id", "intervention")
-
-
 def build_drug_graph(
     vocab: DataFrame, trials: DataFrame, intl: DataFrame | None = None,
     order_col: str = "row_no", name: str = "Common name", synonyms: str = "Synonyms",

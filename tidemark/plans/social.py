@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,11 +12,15 @@ from ..operators.cleaning import (
     coerce_columns, drop_columns, enforce_schema, fill_expected_columns, sort_columns,
 )
 from ..operators.entities import as_timestamp
-from ..operators.graph import target_id, target_rel
+from ..operators.graph import (
+    edges_includes, edges_mentioned, resolve_relationships, stub_tweets, target_id, target_rel, upsert_accounts,
+    upsert_mentioned_accounts, upsert_tweets, upsert_urls,
+)
 from ..operators.hydration import needs_hydration, tweet_hydration_status
 from ..operators.search import match_any_phrase, stride_windows, stride_windows_limited
 from ..operators.status import classify_graph_type, normalize_status
 from ..schemas import STATUS_SCHEMA
+from ..session import materialize
 
 
 def search_time_range(
@@ -27,11 +31,12 @@ def search_time_range(
 ) -> DataFrame:
     """Posts that match a phrase, tagged with their stride window; with a store, only one row per
     id and none that is stored in full. One lazy plan: scan, filter, window, anti join."""
-    hits = df.where(match_any_phrase(F.col(text), terms)) if terms else df
+    matches = match_any_phrase(F.col(text), terms) if terms else F.lit(True)
     if limit is None:
-        hits = stride_windows(hits, ts, since, until, stride)
+        # The bounds of time stand below the phrases: they are cheap and reach the scan.
+        hits = stride_windows(df, ts, since, until, stride).where(matches)
     else:
-        hits = stride_windows_limited(hits, ts, since, until, stride, limit)
+        hits = stride_windows_limited(df.where(matches), ts, since, until, stride, limit)
     return hits if store is None else needs_hydration(hits, store, key, order_cols)
 
 
@@ -50,6 +55,37 @@ def rehydrate(ids: DataFrame, store: DataFrame, posts: DataFrame, key: str = "id
     return posts.join(missing, key, "left_semi").transform(to_archive).transform(normalize_status)
 
 
+def archive_to_graph(
+    stores: Mapping[str, DataFrame], posts: DataFrame, mentions: DataFrame, urls: DataFrame,
+    as_of: str | dt.datetime, order_cols: Sequence[str],
+) -> dict[str, DataFrame]:
+    """One batch written into an existing graph: node tables ``tweets``, ``accounts``, ``urls`` with all
+    properties, and ``edges`` (rel, src, dst).
+
+    ``posts`` are rows of ``graph_rows``; ``mentions`` and ``urls`` those of ``explode_mentions`` and
+    ``explode_urls``. The same batch may be written again: nodes are matched by key, edges are
+    distinct. Every step is stored before it is read again, so the batch is computed once and a
+    store is read once for its new version. As a ``foreachBatch`` function this is the streaming form.
+    """
+    batch = materialize(posts, "batch")
+    mentioned, linked = materialize(mentions, "mentions"), materialize(urls, "links")
+    full = materialize(upsert_tweets(stores["tweets"], batch, as_of, order_cols), "tweets")
+    tweets = materialize(stub_tweets(full, batch, as_of), "tweets")
+    authors = materialize(upsert_accounts(stores["accounts"], batch, as_of, order_cols), "accounts")
+    accounts = materialize(upsert_mentioned_accounts(authors, mentioned, full, as_of), "accounts")
+    links = upsert_urls(stores["urls"], linked, full, as_of)
+    made = [
+        resolve_relationships(batch, tweets, accounts).select(
+            "rel", F.col("src_id").cast("string").alias("src"), F.col("dst_id").cast("string").alias("dst")),
+        *(e.select("rel", F.col("src_id").cast("string").alias("src"), F.col("dst_key").alias("dst"))
+          for e in (edges_mentioned(mentioned, full), edges_includes(linked, full))),
+    ]
+    edges = stores["edges"].select("rel", "src", "dst")
+    for new in made:
+        edges = edges.unionByName(new)
+    return {"tweets": tweets, "accounts": accounts, "urls": links, "edges": edges.distinct()}
+
+
 def _keys_of(posts: DataFrame, col: str, fields: Sequence[str]) -> Column:
     """Keys held by a list column, as texts: of plain texts or of structs with one of ``fields``."""
     none = F.array().cast("array<string>")

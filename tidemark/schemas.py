@@ -87,13 +87,13 @@ TRIAL_SCHEMA = _struct(FullStudiesResponse=_struct(
     FullStudies=T.ArrayType(_struct(Study=_struct(ProtocolSection=_PROTOCOL))),
 ))
 
-# Graph labels, their keys, and relationship names.
+# Graph labels and their keys.
 NODE_KEYS = {"Tweet": "id", "Account": "id", "Url": "full_url"}
-RELATIONSHIPS = ("TWEETED", "MENTIONED", "QUOTED", "REPLIED", "RETWEETED", "INCLUDES")
 
 TWEET_PROPS = [
     "text", "created_at", "favorite_count", "retweet_count", "job_name", "job_id",
     "hashtags", "type",
+    "geo", "ingest_method",
 ]
 ACCOUNT_PROPS = [
     "name", "screen_name", "followers_count", "friends_count", "location",

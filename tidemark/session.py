@@ -13,6 +13,9 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Stream state on disk, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
 }
 
 
@@ -24,8 +27,6 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
     settings = {
         **RUNTIME_CONF,
         "spark.sql.execution.arrow.pyspark.enabled": "true",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **{k.replace("__", "."): v for k, v in conf.items()},
     }
     for key, value in settings.items():
@@ -76,6 +77,21 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def work_root(spark: SparkSession) -> str:
+    """The folder of this application below the shared one."""
+    return f"{checkpoint_root(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{checkpoint_root(spark).rstrip('/')}/{label}-{uuid.uuid4().hex}"
+    """A fresh path in the application's folder."""
+    return f"{work_root(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def release(spark: SparkSession) -> None:
+    """Remove everything this application put in its working folder.
+
+    To be called when no DataFrame made so far is needed any more, at the latest before the
+    session is stopped.
+    """
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_root(spark))
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)

@@ -56,11 +56,22 @@ def scan_trials_json(spark: SparkSession, path: str, multi_line: bool = False) -
 
 
 def scan_topics(spark: SparkSession, topics: Mapping[str, Sequence[str]] | str) -> DataFrame:
-    """``(topic, position, phrase)`` from a dictionary or from JSON objects, one per line."""
+    """``(topic, position, phrase)`` from a dictionary or from JSON files.
+
+    A file holds one object over any number of lines, or one object per line. Text that is neither
+    fails the job.
+    """
     if isinstance(topics, str):
-        lists = spark.read.text(topics).select(
-            F.explode(F.from_json("value", "map<string, array<string>>")).alias("topic", "phrases")
-        )
+        form = "map<string, array<string>>"
+        lines = F.filter(F.split("value", r"[\r\n]+"), lambda x: F.trim(x) != "")
+        by_line = F.forall(lines, lambda x: x.rlike(r"^\s*\{.*\}\s*$") & F.from_json(x, form).isNotNull())
+        objects = spark.read.text(topics, wholetext=True).where(F.trim("value") != "").select(
+            F.explode(F.when(by_line, lines).otherwise(F.array("value"))).alias("object"))
+        parsed = F.from_json("object", form)
+        lists = objects.select(F.explode(
+            F.when(parsed.isNotNull(), parsed).otherwise(
+                F.raise_error(F.concat(F.lit("not a JSON object of phrase lists: "), F.substring("object", 1, 80))).cast(form))
+        ).alias("topic", "phrases"))
     else:
         lists = spark.createDataFrame(
             [(t, list(p)) for t, p in topics.items()], "topic STRING, phrases ARRAY<STRING>"

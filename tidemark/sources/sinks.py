@@ -99,6 +99,13 @@ def sink_quarantine(df: DataFrame, schema: T.StructType) -> tuple[DataFrame, Dat
     return valid, checked.where(F.col("reason") != "")
 
 
+def write_quarantine(df: DataFrame, schema: T.StructType, valid_path: str, rejected_path: str) -> None:
+    """Append the valid rows as Parquet and the rejected ones, with their reason, as JSON lines."""
+    valid, rejected = sink_quarantine(df, schema)
+    valid.write.mode("append").parquet(valid_path)
+    rejected.write.mode("append").json(rejected_path, ignoreNullFields=False)
+
+
 def sink_dual_flush(
     archive_fn: Callable[[DataFrame, int], None], graph_fn: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:

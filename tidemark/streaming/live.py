@@ -11,7 +11,6 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedupe import dedupe_keep_last
 from ..operators.hydration import needs_hydration
 from ..operators.search import match_any_phrase
-from ..session import work_dir
 from ..sources.sinks import write_batch_table
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -39,27 +38,27 @@ def stream_dedupe(
 
 def stream_unseen_users(stream: DataFrame, user_col: str) -> DataFrame:
     """Each user the first time it is seen. The seen set lives in the query's state, sharded by
-    user, and survives restarts."""
+    user, and survives restarts with the same checkpoint. It grows with the number of users; with
+    a stored account table ``stream_hydration_filter`` does the same without state."""
     return stream.select(user_col).where(F.col(user_col).isNotNull()).dropDuplicates([user_col])
 
 
 def _start(
-    stream: DataFrame, fn: BatchFn, mode: str, trigger: dict, checkpoint: str | None
+    stream: DataFrame, fn: BatchFn, mode: str, trigger: dict, checkpoint: str
 ) -> StreamingQuery:
-    location = checkpoint or work_dir(stream.sparkSession, "stream")
     return (
         stream.writeStream.foreachBatch(fn).outputMode(mode)
-        .option("checkpointLocation", location).trigger(**trigger).start()
+        .option("checkpointLocation", checkpoint).trigger(**trigger).start()
     )
 
 
 def micro_batch_flush(
-    stream: DataFrame, sink: BatchFn, trigger: str | None = None, mode: str = "append",
-    checkpoint: str | None = None,
+    stream: DataFrame, sink: BatchFn, checkpoint: str, trigger: str | None = None, mode: str = "append",
 ) -> StreamingQuery:
     """Flush by batch: every ``trigger`` interval, or with ``None`` everything that is there, then
     stop. Batch size is set where the stream is read (``maxFilesPerTrigger``,
-    ``maxBytesPerTrigger``)."""
+    ``maxBytesPerTrigger``). ``checkpoint`` must be the same at every start of a query: batch ids,
+    state and the place in the input live there."""
     how = {"availableNow": True} if trigger is None else {"processingTime": trigger}
     return _start(stream, sink, mode, how, checkpoint)
 
@@ -78,7 +77,7 @@ def stream_hydration_filter(
 
 
 def stream_backfill(
-    stream: DataFrame, ts: str, stride: str, sink: BatchFn, checkpoint: str | None = None
+    stream: DataFrame, ts: str, stride: str, sink: BatchFn, checkpoint: str
 ) -> StreamingQuery:
     """Replay history through the live window count and stop. Complete mode: no window is late."""
     counted = live_window_search(stream, ts, None, (), "0 seconds", stride)
