@@ -3,7 +3,8 @@
 Every upsert is a function from the current node table and a batch to the next node table. The
 batch is reduced to one row per key first; both sides then have unique keys, so no join here can
 multiply rows. A small batch is broadcast by the optimizer on its real size, in which case the
-store is scanned but never shuffled.
+store is scanned but never shuffled. The reduced batch is stored first, because both the known and
+the new nodes need it and what leads up to it may be costly.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..schemas import ACCOUNT_PROPS, NODE_KEYS, TWEET_PROPS, URL_PROPS
+from ..session import materialize
 from .cleaning import quoted
 from .dedupe import dedupe_keep_first, dedupe_keep_last
 from .entities import as_timestamp, pick
@@ -50,7 +52,7 @@ def _upsert(
     create_only: Sequence[str] = (),
 ) -> DataFrame:
     """Create with all properties, or overwrite all but ``create_only``; both become FULL."""
-    now = as_timestamp(as_of)
+    now, batch = as_timestamp(as_of), materialize(batch, "upsert")
     news = batch.select(
         key, F.struct(*[F.col(p) for p in props if p in batch.columns]).alias("_new")
     )
@@ -94,6 +96,7 @@ def _created(rows: DataFrame, store: DataFrame, hydrated: str | None, now: Colum
 def _create_missing(
     store: DataFrame, rows: DataFrame, key: str, hydrated: str | None, as_of: str | dt.datetime
 ) -> DataFrame:
+    rows = materialize(rows, "create")
     return store.unionByName(_created(_fresh(rows, store, key), store, hydrated, as_timestamp(as_of)))
 
 
@@ -266,7 +269,7 @@ def enrich_nodes(
         raise ValueError(f"unknown properties: {', '.join(f.name for f in added)}")
     for f in added:
         store = store.withColumn(f.name, F.lit(None).cast(f.dataType))
-    rows = dedupe_keep_last(batch, [key], order_cols)
+    rows = materialize(dedupe_keep_last(batch, [key], order_cols), "enrich")
     values = [c for c in batch.columns if c != key]
     news = rows.select(quoted(key), F.struct(*[quoted(c) for c in values]).alias("_new"))
     hit = F.col("_new").isNotNull()
