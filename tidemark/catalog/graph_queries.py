@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as op
-from .. import plans
+from .. import plans, streaming
 from .registry import query
 from .views import AS_OF, AS_OF_SQL, Views, guard, with_views
 
@@ -342,7 +342,7 @@ _STORES = {
 }
 
 
-@query("archive_to_graph", with_views("posts", f"""
+_GRAPH_SQL = with_views("posts", f"""
     , p AS (
         SELECT *, (conversation_id // 1000) % 3 = 0 AS in_first, status_id % 2 = 0 AS in_second, length(user_name) AS author
         FROM posts),
@@ -361,23 +361,52 @@ _STORES = {
     UNION ALL SELECT 'TWEETED', CAST(author AS VARCHAR), CAST(status_id AS VARCHAR), NULL, NULL, NULL FROM b
     UNION ALL SELECT 'REPLIED', CAST(status_id AS VARCHAR), CAST(reply_to AS VARCHAR), NULL, NULL, NULL FROM b WHERE reply_to > 0
     UNION ALL SELECT 'MENTIONED', CAST(status_id AS VARCHAR), CAST(100 + author AS VARCHAR), NULL, NULL, NULL FROM b
-    UNION ALL SELECT 'INCLUDES', CAST(status_id AS VARCHAR), 'http://h/' || conversation_id, NULL, NULL, NULL FROM b"""))
-def archive_to_graph(v: Views) -> DataFrame:
-    """Two overlapping batches of posts, one after the other, into a graph with all properties."""
+    UNION ALL SELECT 'INCLUDES', CAST(status_id AS VARCHAR), 'http://h/' || conversation_id, NULL, NULL, NULL FROM b""")
+
+
+def _graph_posts(v: Views) -> DataFrame:
     author = F.length("user_name").cast("bigint")
-    flat = v.posts().select(
+    return v.posts().select(
         "status_id", "conversation_id", "full_text", F.col("reply_to").alias("in_reply_to_status_id"), author.alias("user_id"),
         "user_name", F.concat(F.lit("place "), F.col("status_id").cast("string")).alias("geo"),
         F.array(F.struct((author + 100).alias("id"), F.lit("m").alias("name"), F.lit("@m").alias("screen_name"))).alias("user_mentions"),
         F.array(F.concat(F.lit("http://h/"), F.col("conversation_id").cast("string"))).alias("urls"))
+
+
+# The second batch meets a third of the first one's posts again.
+_FIRST, _SECOND = "floor(conversation_id / 1000) % 3 = 0", "status_id % 2 = 0"
+_TIMES = ("2023-01-01 00:00:00", AS_OF)
+
+
+def _batch_rows(rows: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    return op.graph_rows(rows, "job", ingest_method="archive"), op.explode_mentions(rows, "job"), op.explode_urls(rows, "job")
+
+
+@query("archive_to_graph", _GRAPH_SQL)
+def archive_to_graph(v: Views) -> DataFrame:
+    """Two overlapping batches of posts, one after the other, into a graph with all properties."""
     stores = {name: op.empty_store(columns, v.spark) for name, columns in _STORES.items()}
-    batches = (
-        (flat.where(F.floor(F.col("conversation_id") / 1000) % 3 == 0), "2023-01-01 00:00:00"),
-        (flat.where(F.col("status_id") % 2 == 0), AS_OF))
-    for rows, as_of in batches:
-        stores = plans.archive_to_graph(
-            stores, op.graph_rows(rows, "job", ingest_method="archive"), op.explode_mentions(rows, "job"),
-            op.explode_urls(rows, "job"), as_of, ["tweet_id"])
+    flat = _graph_posts(v)
+    for rows, as_of in zip((flat.where(_FIRST), flat.where(_SECOND)), _TIMES, strict=True):
+        stores = plans.archive_to_graph(stores, *_batch_rows(rows), as_of, ["tweet_id"])
+    return _graph_table(stores)
+
+
+@query("stream_archive_to_graph", _GRAPH_SQL)
+def stream_archive_to_graph(v: Views) -> DataFrame:
+    """The same two batches as micro-batches of a stream."""
+    feed, root = v.new_path("feed"), v.new_path("graph")
+    flat = _graph_posts(v)
+    for rows in (flat.where(_FIRST), flat.where(_SECOND)):
+        rows.coalesce(1).write.mode("append").parquet(feed)
+    stream = v.spark.readStream.schema(flat.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    empty = {name: op.empty_store(columns, v.spark) for name, columns in _STORES.items()}
+    write = streaming.stream_archive_to_graph(root, empty, _batch_rows, lambda n: _TIMES[n], ["tweet_id"])
+    streaming.micro_batch_flush(stream, write, v.new_path("progress")).awaitTermination()
+    return _graph_table({n: v.spark.read.schema(t.schema).parquet(f"{root}/version=1/{n}") for n, t in empty.items()})
+
+
+def _graph_table(stores: dict[str, DataFrame]) -> DataFrame:
     created, none = F.unix_micros("record_created_at").alias("created_us"), F.lit(None)
     text = lambda c: F.col(c).cast("string").alias("a")
     tweets = stores["tweets"].select(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedupe import dedupe_keep_last
 from ..operators.hydration import needs_hydration
 from ..operators.search import match_any_phrase
+from ..plans.social import archive_to_graph
 from ..sources.sinks import write_batch_table
 
 BatchFn = Callable[[DataFrame, int], None]
@@ -119,6 +120,31 @@ def stream_graph_upsert(
     return upsert
 
 
+def stream_archive_to_graph(
+    root: str, empty: Mapping[str, DataFrame],
+    rows_of: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]],
+    as_of_fn: Callable[[int], str], order_cols: Sequence[str],
+) -> BatchFn:
+    """``foreachBatch`` function that writes each batch into a whole graph, as ``archive_to_graph``.
+
+    ``rows_of`` turns a batch into graph rows, mentions and links; ``empty`` gives the tables before
+    the first batch. Batch n reads ``version=n-1`` below ``root`` and writes ``version=n``, so a
+    repeated batch replaces its own version. Each version is a whole copy: meant for large, rare
+    batches; ``stream_graph_upsert`` is the form whose cost follows the batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        stores = dict(empty)
+        if batch_id > 0:
+            read = batch.sparkSession.read
+            stores = {n: read.schema(t.schema).parquet(f"{root}/version={batch_id - 1}/{n}") for n, t in empty.items()}
+        made = archive_to_graph(stores, *rows_of(batch), as_of_fn(batch_id), order_cols)
+        for name, rows in made.items():
+            rows.write.mode("overwrite").parquet(f"{root}/version={batch_id}/{name}")
+
+    return write
+
+
 def read_nodes(batches: DataFrame, key: str = "id", keep: Sequence[str] = ("created_at",)) -> DataFrame:
     """The node table after all batches: last values win, ``keep`` columns hold their first
     non-null value, and the stamps say when a node came and when it last changed."""
