@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,8 +19,15 @@ BATCH_ROWS, BATCH_BYTES = 1_000, 8 << 20
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """The package's session settings, and small Arrow batches: rows here hold whole texts."""
+    """The package's session settings, and small Arrow batches: rows here hold whole texts.
+
+    Python tasks get the package's folder on their path, where it exists on their machine.
+    """
     prepare_session(spark)
+    home = str(Path(__file__).resolve().parents[2])
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, given]))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark
