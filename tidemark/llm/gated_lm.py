@@ -32,6 +32,7 @@ import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,7 @@ EMBEDDING, HIDDEN = 16, 16
 LANES, WINDOW, ROUNDS, RATE = 384, 16, 3, 0.01
 REDUCERS = 8
 # Tokens of documents that run side by side, and words a counting task holds.
-CHUNK_TOKENS, COUNT_WORDS, CACHE = 1 << 20, 400_000, 200_000
+CHUNK_TOKENS, COUNT_WORDS = 1 << 21, 400_000
 END = 0
 LOG10 = float(np.log(10.0))
 
@@ -58,11 +59,22 @@ def words_of(text: str | None) -> list[bytes]:
 
 def tail_of(word: bytes) -> int:
     """The tail symbol of a word, from how it begins and ends."""
-    last = word[-1]
+    last, word = word[-1], (word if len(word) > 1 else word * 2)
     kind = 0 if last in b".," else 1 if 97 <= last <= 122 else 2 if last > 127 else 3
     return zlib.crc32(word[:2]) % (TAILS // 4) * 4 + kind
 
 
+class _Tails(dict):
+    """Tail symbols by a word's first two bytes and last byte, all that they depend on."""
+
+    def __missing__(self, ends: bytes) -> int:
+        self[ends] = k = tail_of(ends)
+        return k
+
+
+_tails = _Tails()
+
+
 # ---------------------------------------------------------------- counts
 
 
@@ -111,31 +123,20 @@ class Vocabulary:
         self.tail_log = np.log10(self.tail_tokens + self.tail_words + 1.0)
         self.frequent = n
 
-    def numbers(self) -> "Numbers":
-        return Numbers(self)
+    def numbers_of(self, words: list[bytes], index: dict[bytes, int]) -> np.ndarray:
+        """Numbers of words; words that are not frequent get the number of their tail symbol."""
+        k = np.fromiter(map(index.get, words, repeat(-1)), np.int32, len(words))
+        rare = np.flatnonzero(k < 0)
+        if len(rare):
+            found = [words[i] for i in rare.tolist()]
+            k[rare] = [_tails[w[:2] + w[-1:]] for w in found]
+            k[rare] += self.frequent
+        return k
 
     def symbol_counts(self) -> np.ndarray:
         return np.concatenate([[self.n_documents], self.counts[:self.n_model], self.tail_tokens]).astype(np.float64)
 
 
-class Numbers(dict):
-    """Word to number; words that are not frequent get the number of their tail symbol."""
-
-    def __init__(self, vocabulary: Vocabulary):
-        super().__init__((w, k) for k, w in enumerate(vocabulary.words))
-        self.first_tail = len(self)
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.first_tail + CACHE:
-            for w in list(self)[self.first_tail:]:
-                del self[w]
-        self[word] = k = self.first_tail + tail_of(word)
-        return k
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.int32, len(words))
-
-
 def vocabulary(counts: DataFrame, n_documents: int, model_words: int = MODEL_WORDS, frequent: int = FREQUENT) -> Vocabulary:
     """``counts`` must be a stored table."""
     top = counts.orderBy(F.desc("c"), "word").limit(frequent).collect()
@@ -215,11 +216,10 @@ def start_parameters(counts: np.ndarray, lay: Layout, embedding: int = EMBEDDING
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    np.multiply(x, 0.5, out=x)
-    np.tanh(x, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
     x += 1
-    x *= 0.5
-    return x
+    return np.reciprocal(x, out=x)
 
 
 class Network:
@@ -232,18 +232,19 @@ class Network:
         steps, lanes = given.shape
         pre = gates[given] if gates is not None else p["emb"][given] @ p["wx"] + p["b"]
         out = np.empty((steps, lanes, n), np.float32)
-        saved = []
-        for t in range(steps):
-            if start[t].any():
-                h = h * ~start[t][:, None]
-            u = h @ p["wh"]
-            zr = _sigmoid(pre[t, :, :2 * n] + u[:, :2 * n])
-            z, r = zr[:, :n], zr[:, n:]
-            c = np.tanh(pre[t, :, 2 * n:] + r * u[:, 2 * n:])
-            before, h = h, c + z * (h - c)
-            out[t] = h
-            if keep:
-                saved.append((before, z, r, c, u[:, 2 * n:]))
+        saved, begins = [], start.any(axis=1)
+        with np.errstate(over="ignore"):
+            for t in range(steps):
+                if begins[t]:
+                    h = h * ~start[t][:, None]
+                u = h @ p["wh"]
+                zr = _sigmoid(pre[t, :, :2 * n] + u[:, :2 * n])
+                z, r = zr[:, :n], zr[:, n:]
+                c = np.tanh(pre[t, :, 2 * n:] + r * u[:, 2 * n:])
+                before, h = h, c + z * (h - c)
+                out[t] = h
+                if keep:
+                    saved.append((before, z, r, c, u[:, 2 * n:]))
         return out, h, saved
 
     def output(self, states: np.ndarray, wanted: np.ndarray, grad: dict[str, np.ndarray] | None = None):
@@ -447,12 +448,13 @@ def encode(docs: DataFrame, voc: Vocabulary, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = told.value
-        numbers, end_log, first_tail = v.numbers(), np.log10(v.n_documents + 1.0), 1 + v.n_model
+        index = {w: k for k, w in enumerate(v.words)}
+        end_log, first_tail = np.log10(v.n_documents + 1.0), 1 + v.n_model
         for batch in batches:
             symbols, sizes, known, base, tail, rare = [], [], [], [], [], []
             for t in batch.column(len(kept)):
                 words = words_of(t.as_py())
-                k = numbers.of(words)
+                k = v.numbers_of(words, index)
                 x, logs, unheld = v.symbol[k], v.log_count[k], np.flatnonzero(k >= v.frequent)
                 tails = x >= first_tail
                 symbols.append(x)
