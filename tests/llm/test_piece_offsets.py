@@ -83,3 +83,6 @@ def test_tables(spark):
         (a or 0, t or "", t or "") for a, t, _ in rows)
     assert [len(r["ids"]) for r in piece_offsets.encode(df.where("text is null"), PATH).collect()] == [1]
     assert piece_offsets.encode(df.limit(0), PATH).count() == 0
+    both = piece_offsets.encode(df, PATH, decoded="back")
+    assert both.columns == ["doc_id", "text", "ids", "starts", "ends", "back"]
+    assert sorted(r["back"] for r in both.collect()) == sorted(t or "" for _, t, _ in rows)

@@ -37,7 +37,7 @@ from .shared import fresh
 
 BITS = 18
 MAX_ROWS = 20_000
-CACHE = 400_000
+CACHE = 100_000
 PREFIXES = (4, 5, 6)
 STEPS = (0.02, 0.05, 0.1, 0.2, 0.4, 0.6)
 CUT, LEAST_TAIL = 2, 0.3

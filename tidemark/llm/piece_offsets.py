@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 from .shared import fresh
 
 SPACE = "▁"
-CACHE = 200_000
+CACHE = 60_000
 OUTPUTS = ("ids", "starts", "ends")
 
 
@@ -178,6 +178,11 @@ class Model:
             [self.length[i] - 2 * self.surface[i].count(b" ") if self.kind[i] == 1 else self.length[i] for i in ids],
             "<i4").tobytes()
 
+    def forget(self) -> None:
+        """Give back the memory of the cache between tasks."""
+        self.ids.clear()
+        self.spans.clear()
+
     def is_plain(self, text: str) -> bool:
         if self.squeeze or not self.dummy or self.plain_only_ascii and not text.isascii():
             return False
@@ -258,18 +263,26 @@ def _kept(df: DataFrame, names: tuple[str, ...]) -> list[str]:
     return [c for c in df.columns if c.lower() not in names]
 
 
-def encode(df: DataFrame, model_path: str, text: str = "text", add_end: bool = True) -> DataFrame:
-    """``df`` with ``ids``, ``starts`` and ``ends`` (arrays of the same length; spans in UTF-8 bytes)."""
+def encode(
+    df: DataFrame, model_path: str, text: str = "text", add_end: bool = True, decoded: str | None = None,
+) -> DataFrame:
+    """``df`` with ``ids``, ``starts`` and ``ends`` (arrays of the same length; spans in UTF-8 bytes).
+
+    ``decoded`` names a column for the text that the ids decode to: the round trip in the same task,
+    as ``decode`` gives it for ids of any origin.
+    """
     with open(model_path, "rb") as f:
         model = df.sparkSession.sparkContext.broadcast(f.read())
-    kept = _kept(df, OUTPUTS)
+    more = [decoded] if decoded else []
+    kept = _kept(df, (*OUTPUTS, *(c.lower() for c in more)))
     schema = T.StructType([df.schema[c] for c in kept] + [
-        T.StructField(n, T.ArrayType(T.IntegerType(), False), False) for n in OUTPUTS])
+        T.StructField(n, T.ArrayType(T.IntegerType(), False), False) for n in OUTPUTS] + [
+        T.StructField(c, T.StringType(), False) for c in more])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         m = _model(model.value)
         for batch in batches:
-            parts, sizes = ([], [], []), [0]
+            parts, sizes, back = ([], [], []), [0], []
             for s in batch.column(len(kept)):
                 word = s.as_py() or ""
                 found = m.encode(word)
@@ -279,10 +292,14 @@ def encode(df: DataFrame, model_path: str, text: str = "text", add_end: bool = T
                 for part, x in zip(parts, found, strict=True):
                     part.append(x)
                 sizes.append(len(found[0]))
+                if decoded:
+                    back.append(m.decode(found[0]))
             offsets = pa.array(np.cumsum(sizes), pa.int32())
             lists = [pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(p or [np.zeros(0, np.int32)]).astype(np.int32)))
                      for p in parts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *lists], names=[*kept, *OUTPUTS])
+            texts = [pa.array(back, pa.string()) for _ in more]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:len(kept)], *lists, *texts], names=[*kept, *OUTPUTS, *more])
+        m.forget()
 
     return df.select(*kept, df[text].alias(fresh(df, "text_in"))).mapInArrow(run, schema)
 

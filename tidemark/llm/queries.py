@@ -65,15 +65,13 @@ def op10_template_leaks(spark, sf_dir):
 @query
 def op6_piece_offsets(spark, sf_dir):
     model = public_tokenizers.path("piece_bpe_32k.model")
-    encoded = piece_offsets.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
-    listed = encoded.select(
-        "doc_id", "ids", F.size("ids").cast("long").alias("n_tokens"),
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return piece_offsets.encode(docs, model, decoded="decoded").select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
         # Spans follow each other, so the last end is the number of bytes they cover.
-        F.element_at("ends", -1).cast("long").alias("covered_bytes"))
-    decoded = piece_offsets.decode(listed, model)
-    return decoded.select(
-        "doc_id", "n_tokens", "ids_sha256", F.sha2(F.col("decoded"), 256).alias("decoded_sha256"), "covered_bytes")
+        F.element_at("ends", -1).cast("long").alias("covered_bytes"),
+        F.sha2(F.col("decoded"), 256).alias("decoded_sha256"))
 
 
 @query
