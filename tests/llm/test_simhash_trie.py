@@ -128,3 +128,11 @@ def test_tables(spark):
     assert kept.columns == df.columns
     assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 3, 7]
     assert st.group_near_copies(df.limit(0)).count() == 0
+
+
+def test_rows_are_told_apart_by_id_and_text(spark):
+    text = " ".join(f"w{i}" for i in range(300))
+    rows = [(1, text), (None, text), (None, "alone here"), (None, "another one alone"), (2, text), (2, "own words of two"), (2, "own words of two"),
+            (None, "alone here")]
+    kept = st.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r["doc_id"] or 0, r["text"][:11]) for r in kept) == [(0, "alone here"), (0, "another one"), (1, text[:11]), (2, "own words o")]

@@ -281,15 +281,29 @@ def group_near_copies(
     return marked.join(by_print, ["print", "check"]).select("doc_id", "print", "component_id")
 
 
+def _placed(docs: DataFrame, shingle: int, budget: int, check_budget: int) -> DataFrame:
+    """(doc_id, text_key, component) for every row of ``docs``; text_key is the hash of the text."""
+    keyed = docs.select(F.struct(F.col("doc_id").alias("id"), F.xxhash64("text").alias("key")).alias("doc_id"), "text")
+    groups = group_near_copies(keyed, "text", shingle, budget, True, check_budget)
+    return groups.select("doc_id.id", "doc_id.key", F.xxhash64("component_id.id", "component_id.key").alias("component")).toDF(
+        "doc_id", "text_key", "component")
+
+
 def keep_one(
     docs: DataFrame, shingle: int = KEEP_SHINGLE, budget: int = WORD_BUDGET, check_budget: int = CHECK_BUDGET,
 ) -> DataFrame:
-    """``docs`` with one row of each component (that of the smallest doc_id), columns as they were."""
-    groups = materialize(group_near_copies(docs, "text", shingle, budget, True, check_budget), "groups")
-    gone = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_gone")).distinct()
-    left = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_gone")), "left_anti")
-    # Rows that share the doc_id of a kept row: one of them stays.
-    again = materialize(
-        groups.groupBy("doc_id").agg(F.count("*").alias("n")).where("n > 1").select(F.col("doc_id").alias("_again")), "again")
-    same = F.col("doc_id").eqNullSafe(F.col("_again"))
-    return left.join(again, same, "left_anti").unionByName(left.join(again, same, "left_semi").dropDuplicates(["doc_id"]))
+    """``docs`` with one row of each component, columns as they were.
+
+    Rows are told apart by doc_id and text, so a repeated or null doc_id says nothing about other
+    texts. The row of the smallest doc_id stays (null last), then that of the smallest text key;
+    of rows equal in both, one.
+    """
+    placed = materialize(_placed(docs, shingle, budget, check_budget), "groups")
+    row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    stay = placed.groupBy("component").agg(F.min(row).alias("r"), F.count("*").alias("n")).select(
+        F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key"), "n")
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+    alone = docs.join(stay.where("n = 1").drop("n"), same, "left_semi")
+    several = docs.join(stay.where("n > 1").drop("n"), same, "left_semi")
+    key = fresh(docs, "text_key")
+    return alone.unionByName(several.withColumn(key, F.xxhash64("text")).dropDuplicates(["doc_id", key]).drop(key))
