@@ -136,3 +136,41 @@ def test_rows_are_told_apart_by_id_and_text(spark):
             (None, "alone here")]
     kept = st.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert sorted((r["doc_id"] or 0, r["text"][:11]) for r in kept) == [(0, "alone here"), (0, "another one"), (1, text[:11]), (2, "own words o")]
+
+
+def slow_jaccard(a, b):
+    x, y = ({tuple(t.split()[i:i + 5]) for i in range(max(1, len(t.split()) - 4))} for t in (a, b))
+    return len(x & y) / len(x | y)
+
+
+def test_groups_of_two_by_exact_similarity(spark):
+    """Appended, truncated and edited copies at 0.8 and more are one group; edited texts near 0.5 are two."""
+    draw = np.random.default_rng(11)
+    p = 1 / np.arange(1, 5001)
+    new = lambda n: [f"w{k}" for k in draw.choice(5000, n, p=p / p.sum())]
+    rows, same = [], {}
+    for k in range(240):
+        n, kind = (60, 200, 600)[k % 3], k // 3 % 4
+        text = new(n)
+        other = list(text)
+        if kind == 0:
+            other += new(int(0.22 * n))
+        elif kind == 1:
+            other = text[:int(0.82 * n)]
+        else:
+            for at in draw.choice(n, max(1, int((0.02, 0.065)[kind - 2] * n)), replace=False):
+                other[at] = f"v{at}"
+        a, b = " ".join(text), " ".join(other)
+        rows += [(2 * k, a), (2 * k + 1, b)]
+        same[k] = slow_jaccard(a, b) >= 0.8
+    assert 150 < sum(same.values()) < 200
+    kept = {r["doc_id"] for r in st.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert kept == {2 * k for k in same} | {2 * k + 1 for k, s in same.items() if not s}
+
+
+def test_links_of_a_bucket_beyond_its_leaders(spark):
+    """Members that fit neither leader are still compared with each other; 4 of 5 shared is enough."""
+    sets = {1: [1, 2, 3, 4, 5], 2: [10, 11, 12, 13, 14], 3: [10, 11, 12, 13], 4: [20, 21, 22, 23], 5: [20, 21, 22, 24], 9: [1, 2, 3, 4, 6]}
+    buckets = spark.createDataFrame([(7, n, len(s)) for n, s in sets.items()], "band long, node long, size int")
+    made = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
+    assert sorted(map(tuple, st.link_sets(buckets, made, 0.8).collect())) == [(2, 2), (3, 2)]
