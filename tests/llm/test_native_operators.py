@@ -150,3 +150,21 @@ def test_dropping_keeps_the_rest(spark):
         r["text"] for r in kept.collect()} == {None, "", "clean", "clean words only"}
     assert template_leaks.drop_leaks(docs.limit(0), items).count() == 0
     assert template_leaks.drop_leaks(docs, items.limit(0)).count() == len(rows)
+
+
+def test_templates_in_any_context(spark):
+    """Other names at sentence starts; short items after a colon or comma; copies wrapped anew."""
+    items = [(1, "Tom has 3 red apples. Mary gives 4 more. Tom then eats 2 of them. How many are left?"), (2, "Which planet is the largest one?"),
+             (3, "Every river here runs down to a wide sea."), (4, "Which old city did King Alfred defend near 40 km of wall and water?"),
+             (5, "Anna, Bob, Carl, Dora, Emil, Fred, Gus, Hans, Ida, Jan, Karl, Lena")]
+    texts = ["Bob has 5 red apples. Anna gives 6 more. Bob then eats 3 of them. How many are left?", "Question: Which planet is the largest one?",
+             "so, Every river here runs down to a wide sea.", "Which old\ncity did\n  King\tAlfred defend\nnear 40\n km of wall and\nwater?",
+             "Bob has 5 red apples. Anna gives 6 more. Carl then eats 3 of them. How many are left?",
+             "Rita, Sam, Theo, Ulf, Vera, Willi, Xaver, Yann, Zoe, Otto, Paul, Quin", "WHICH PLANET IS THE LARGEST ONE", "Which planet is the smallest one?"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = template_leaks.find_leaks(docs, spark.createDataFrame(items, "item_id long, text string")).collect()
+    got = {(r["doc_id"], r["item_id"]) for r in found}
+    assert got - {(4, 1), (5, 5)} == {(0, 1), (1, 2), (2, 3), (3, 4), (6, 2)}
+    # Tom stands for Bob and for Carl: fewer windows than in document 0.
+    n = {(r["doc_id"], r["item_id"]): r["n_consistent"] for r in found}
+    assert n.get((4, 1), 0) < n[0, 1]

@@ -10,7 +10,15 @@ then be exchanged consistently: within one alignment (place in the document minu
 item) each value of the item stands for one value of the document and each value of the document
 for one of the item. Windows whose slots break that rule do not count.
 
-A document is contaminated by an item if one alignment has at least ``min_windows`` consistent
+Whether a capitalised word is a name depends on what stands before it, which may differ between an item
+and its copy. Texts are therefore read in three ways, and each reading of a document meets the same
+reading of an item: names inside sentences (``INSIDE``); no names, every word as it is (``LITERAL``),
+for copies of any item in any context; and every run of capitalised words as a name whose value is
+its last word (``ANYWHERE``), for other names at the start of sentences. The last two normalise white
+space first. ``ANYWHERE`` counts only full windows of which at least half are words, as windows of
+placeholders fit any list of names; items shorter than a window are left to the other two.
+
+A document is contaminated by an item if one alignment of one reading has at least ``min_windows`` consistent
 windows (or all windows of a shorter item).
 
 Scale: the text is read once, in code-generated functions; one row per window is made and at once
@@ -50,6 +58,9 @@ VALUED = rf"[{NAME}-{UNIT}][^{CLOSE}]*{CLOSE}|[\p{{L}}\p{{Nd}}]+"
 # Windows of the benchmark are broadcast up to this number of rows.
 BROADCAST_WINDOWS = 1_000_000
 WINDOW, MIN_WINDOWS = 8, 4
+CAPITALS = r"(^|[^\p{L}\p{Nd}])(?:\p{Lu}\p{Ll}+ )*(\p{Lu}\p{Ll}+)(?![\p{L}\p{Nd}])"
+BLANKS = r"[\s\p{Z}]+"
+READINGS = INSIDE, LITERAL, ANYWHERE = 0, 1, 2
 
 
 def _clean(text: Column) -> Column:
@@ -57,21 +68,25 @@ def _clean(text: Column) -> Column:
     return F.when(text.rlike(MARKS), F.regexp_replace(text, MARKS, " ")).otherwise(text)
 
 
-def _marked(text: Column, name: str, number: str, unit: str) -> Column:
-    t = F.lower(F.regexp_replace(text, NAME_RUN, f"$1 {name} "))
+def _marked(text: Column, name: str, number: str, unit: str, reading: int) -> Column:
+    if reading == INSIDE:
+        t = F.lower(F.regexp_replace(text, NAME_RUN, f"$1 {name} "))
+    else:
+        t = F.regexp_replace(text, BLANKS, " ")
+        t = F.lower(F.regexp_replace(t, CAPITALS, f"$1 {name} ") if reading == ANYWHERE else t)
     t = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
     return F.regexp_replace(t, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
 
 
-def template_tokens(text: Column) -> Column:
+def template_tokens(text: Column, reading: int = INSIDE) -> Column:
     """Words and placeholders of a text; an empty list for null."""
-    marked = _marked(_clean(text), NAME, NUMBER, UNIT)
+    marked = _marked(_clean(text), NAME, NUMBER, UNIT, reading)
     return F.filter(F.split(marked, GAP), lambda w: w != "")
 
 
-def valued_tokens(text: Column) -> Column:
+def valued_tokens(text: Column, reading: int = INSIDE) -> Column:
     """The same list with each placeholder followed by the value it stands for."""
-    marked = _marked(_clean(text), f"{NAME}$2{CLOSE}", f"{NUMBER}$1{CLOSE}", f"{UNIT}$2{CLOSE}")
+    marked = _marked(_clean(text), f"{NAME}$2{CLOSE}", f"{NUMBER}$1{CLOSE}", f"{UNIT}$2{CLOSE}", reading)
     return F.regexp_extract_all(marked, F.lit(VALUED), F.lit(0))
 
 
@@ -84,13 +99,23 @@ def window_hashes(words: Column, width: Column | int) -> Column:
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """(item_key, width, item_pos, hash) of every window of every different item text."""
-    words = items.select(
-        F.xxhash64("text").alias("item_key"), template_tokens(F.col("text")).alias("words")).where(F.size("words") > 0)
-    sized = words.withColumn("width", F.least(F.size("words"), F.lit(window)))
-    return sized.select(
-        "item_key", "width",
-        F.posexplode(window_hashes(F.col("words"), F.col("width"))).alias("item_pos", "hash")).distinct()
+    """(reading, item_key, width, item_pos, hash, total) of the windows of every different item text.
+
+    ``total`` is the number of windows of the item's text, those that do not count included.
+    """
+    found = None
+    for reading in READINGS:
+        words = items.select(F.xxhash64("text").alias("item_key"), template_tokens(F.col("text"), reading).alias("words"))
+        sized = words.where(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(window)))
+        made = sized.select(
+            F.lit(reading).alias("reading"), "item_key", "width", "words", (F.size("words") - F.col("width") + 1).alias("total"),
+            F.posexplode(window_hashes(F.col("words"), F.col("width"))).alias("item_pos", "hash"))
+        if reading == ANYWHERE:
+            plain = F.size(F.filter(F.slice("words", F.col("item_pos") + 1, F.col("width")), lambda w: ~w.rlike(f"^[{NAME}-{UNIT}]")))
+            made = made.where((F.col("width") == window) & (2 * plain >= window))
+        made = made.drop("words").distinct()
+        found = made if found is None else found.unionByName(made)
+    return found
 
 
 def _kind(word: Column) -> Column:
@@ -122,41 +147,45 @@ def find_leaks(
     document text with each item that contaminates it. ``text_key`` is the hash of the text.
     """
     known = materialize(item_windows(items, window), "windows")
-    widths = sorted(r["width"] for r in known.select("width").distinct().collect())  # at most ``window`` numbers
+    # At most three times ``window`` pairs of numbers.
+    kinds = sorted(map(tuple, known.select("reading", "width").distinct().collect()))
     lookup = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
-    words = keyed.select("doc_id", "text_key", template_tokens(F.col("text")).alias("words"))
     hits = None
-    for width in widths or [window]:
+    for reading, width in kinds or [(INSIDE, window)]:
+        words = keyed.select("doc_id", "text_key", template_tokens(F.col("text"), reading).alias("words"))
         spread = words.select(
             "doc_id", "text_key", F.posexplode(window_hashes(F.col("words"), width)).alias("pos", "hash"))
-        found = spread.join(lookup.where(F.col("width") == width), "hash").select(
-            "doc_id", "text_key", "item_key", "width", "item_pos", (F.col("pos") - F.col("item_pos")).alias("align"))
+        own = lookup.where((F.col("width") == width) & (F.col("reading") == reading))
+        found = spread.join(own, "hash").select(
+            "reading", "doc_id", "text_key", "item_key", "width", "item_pos", (F.col("pos") - F.col("item_pos")).alias("align"))
         hits = found if hits is None else hits.unionByName(found)
-    need = known.groupBy("item_key").agg(F.least(F.count("*"), F.lit(min_windows)).alias("need"))
+    need = known.select("reading", "item_key", F.least("total", F.lit(min_windows)).alias("need")).distinct()
     aligned = materialize(
-        hits.groupBy("doc_id", "text_key", "item_key", "width", "align")
+        hits.groupBy("reading", "doc_id", "text_key", "item_key", "width", "align")
         .agg(F.collect_set("item_pos").alias("places"))
-        .join(need, "item_key").where(F.size("places") >= F.col("need")), "aligned")
+        .join(need, ["reading", "item_key"]).where(F.size("places") >= F.col("need")), "aligned")
     suspects = aligned.select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key")).distinct()
+    same = F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key"))
+    valued = F.explode(F.array(*(
+        F.struct(F.lit(r).alias("r"), valued_tokens(F.col("text"), r).alias("words")) for r in READINGS)))
     texts = (
-        keyed.join(suspects, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key")), "left_semi")
-        .dropDuplicates(["doc_id", "text_key"])
-        .select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"),
-                valued_tokens(F.col("text")).alias("doc_words")))
-    item_texts = items.select(
-        F.xxhash64("text").alias("item_key"), valued_tokens(F.col("text")).alias("item_words")
-    ).dropDuplicates(["item_key"])
+        keyed.join(suspects, same, "left_semi").dropDuplicates(["doc_id", "text_key"])
+        .select(F.col("doc_id").alias("s_id"), F.col("text_key").alias("s_key"), valued.alias("v"))
+        .select("s_id", "s_key", F.col("v.r").alias("s_reading"), F.col("v.words").alias("doc_words")))
+    item_texts = items.select(F.xxhash64("text").alias("item_key"), valued.alias("v")).select(
+        "item_key", F.col("v.r").alias("reading"), F.col("v.words").alias("item_words")).dropDuplicates(["item_key", "reading"])
     names = items.select(F.xxhash64("text").alias("item_key"), "item_id").distinct()
     return (
-        aligned.join(texts, F.col("doc_id").eqNullSafe(F.col("s_id")) & (F.col("text_key") == F.col("s_key")))
-        .join(item_texts, "item_key")
-        .select("doc_id", "text_key", "item_key", "need", F.size("places").alias("n_windows"),
+        aligned.join(texts, same & (F.col("reading") == F.col("s_reading")))
+        .join(item_texts, ["item_key", "reading"])
+        .select("reading", "doc_id", "text_key", "item_key", "need", F.size("places").alias("n_windows"),
                 F.size(_consistent_places()).alias("n_consistent"))
         .where(F.col("n_consistent") >= F.col("need"))
         .join(names, "item_key")
         .groupBy("doc_id", "text_key", "item_id")
-        .agg(F.max(F.struct("n_consistent", "n_windows")).alias("best"))
+        # The first reading that finds the item gives the counts.
+        .agg(F.max(F.struct((-F.col("reading")).alias("first"), "n_consistent", "n_windows")).alias("best"))
         .select("doc_id", "text_key", "item_id", "best.n_windows", "best.n_consistent")
     )
 
