@@ -123,3 +123,9 @@ def test_empty_phrase(spark):
 
     with pytest.raises(ValueError):
         op.match_any_phrase(F.lit("x"), ["a", ""])
+
+
+def test_links_under_any_public_domain(spark):
+    text = "visit.berlin my.bank/a x.capital, y.ventures z.london. пример.рф/б a.xn--p1ai shop.co me@mail.berlin no.suchdomain Ende.Dann"
+    got = spark.range(1).select(fn.extract_urls(F.lit(text))).first()[0]
+    assert got == ["visit.berlin", "my.bank/a", "x.capital", "y.ventures", "z.london", "пример.рф/б", "a.xn--p1ai", "shop.co"]

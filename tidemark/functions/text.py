@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -14,25 +15,16 @@ NON_WORD_CHAR = r"[^\p{L}\p{N}_]"
 
 MENTION_PATTERN = r"@[\p{L}\p{N}_]+"
 
-# Top-level domains of three letters and more that make a bare host name count as a link (fixed
-# values, public). Country codes need no list: every last label of two letters counts.
-GENERIC_TLDS = (
-    "academy", "aero", "agency", "app", "art", "asia", "audio", "bar", "bio", "biz", "blog", "cafe", "care",
-    "cat", "center", "chat", "city", "click", "clinic", "cloud", "club", "codes", "coffee", "com", "company",
-    "coop", "design", "dev", "digital", "doctor", "edu", "education", "email", "energy", "expert", "fm", "foundation",
-    "fun", "fund", "games", "global", "gov", "green", "group", "guide", "guru", "health", "help", "host", "hospital",
-    "info", "institute", "int", "international", "jobs", "land", "law", "legal", "life", "link", "live", "ltd",
-    "market", "media", "mil", "mobi", "money", "museum", "name", "net", "network", "news", "ngo", "one", "online",
-    "org", "page", "party", "photo", "photos", "plus", "post", "press", "pro", "pub", "report", "review", "reviews",
-    "rocks", "run", "school", "science", "services", "shop", "site", "social", "software", "solutions", "space",
-    "store", "stream", "studio", "support", "systems", "team", "tech", "tel", "tips", "today", "tools", "top",
-    "travel", "university", "video", "vip", "website", "wiki", "win", "work", "works", "world", "wtf", "xxx", "xyz",
-    "zone",
-)
+# Top-level domains that make a bare host name count as a link: the public list in ``tlds.txt``.
+# Country codes need no list: every last label of two letters counts.
+GENERIC_TLDS = tuple(
+    t for t in (Path(__file__).parent / "tlds.txt").read_text(encoding="utf-8").splitlines() if t and not t.startswith("#"))
 _TAIL = r"[^\s<>\"'()\[\]{}]"
 URL_PATTERN = (
     rf"(?i)(?:https?://|www\.){_TAIL}+"
-    rf"|(?:[a-z0-9._%+-]+@)?(?:[a-z0-9-]+\.)+[a-z]{{2,}}(?:[/?#:]{_TAIL}*)?"
+    rf"|(?:[a-z0-9._%+-]+@)?(?:[a-z0-9-]+\.)+(?:xn--[a-z0-9-]+|[a-z]{{2,}})(?:[/?#:]{_TAIL}*)?"
+    # Last labels outside ASCII.
+    rf"|(?:[\p{{L}}\p{{N}}._%+-]+@)?(?:[\p{{L}}\p{{M}}\p{{N}}-]+\.)+(?:(?![\x00-\x7f])[\p{{L}}\p{{M}}]){{2,}}(?:[/?#:]{_TAIL}*)?"
 )
 
 URL_BREAKS = r"[\s<>\"'()\[\]{}]+"
@@ -41,9 +33,10 @@ URL_TRAILING = r"[.,;:!?]+$"
 _BLANKS = " \t\n\r\f\x0b"
 
 
-def _accept(tlds: Sequence[str]) -> str:
+def _accept(u: Column, tlds: Sequence[str]) -> Column:
     """Links with a scheme or ``www.``, and hosts whose last label is a country code or listed."""
-    return r"(?i)^(?:https?://|www\.|(?:[a-z0-9-]+\.)+(?:[a-z]{2}|" + "|".join(tlds) + r")(?:[/?#:]|$))"
+    label = F.lower(F.regexp_extract(u, r"^(?:[\p{L}\p{M}\p{N}-]+\.)+([\p{L}\p{M}\p{N}-]+)(?:[/?#:]|$)", 1))
+    return u.rlike(r"(?i)^(?:https?://|www\.)") | label.rlike("^[a-z]{2}$") | label.isin(list(tlds))
 
 
 def extract_mentions(c: Column) -> Column:
@@ -66,7 +59,7 @@ def extract_urls(c: Column, tlds: Sequence[str] = GENERIC_TLDS) -> Column:
         F.transform(pieces, lambda t: F.regexp_extract_all(t, F.lit(URL_PATTERN), F.lit(0)))
     )
     trimmed = F.transform(found, lambda u: F.regexp_replace(u, URL_TRAILING, ""))
-    return F.filter(trimmed, lambda u: u.rlike(_accept(tlds)))
+    return F.filter(trimmed, lambda u: _accept(u, tlds))
 
 
 def normalize_hashtags(c: Column) -> Column:
