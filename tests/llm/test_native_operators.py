@@ -168,3 +168,13 @@ def test_templates_in_any_context(spark):
     # Tom stands for Bob and for Carl: fewer windows than in document 0.
     n = {(r["doc_id"], r["item_id"]): r["n_consistent"] for r in found}
     assert n.get((4, 1), 0) < n[0, 1]
+
+
+def test_relative_targets(spark):
+    base = "http://h.net/d/e/p?q=1#f"
+    want = {"page2.html": "/d/e/page2.html", "../a": "/d/a", "./x": "/d/e/x", "?id=3": "/d/e/p?id=3", "../../../a/./b?u=../v": "/a/b?u=../v", "/r/../s": "/s",
+            "..": "/d/", "mailto:a@b.net": None, "#top": None, "//k.net/z": "//k.net/z"}
+    rows = [(base, page(base, t)[1]) for t in want] + [page("http://bare.net", refresh="x")]
+    links = url_alias.page_links(spark.createDataFrame(rows, "url string, html string")).collect()
+    urls = {"http:" + w if w.startswith("//") else "http://h.net" + w for w in want.values() if w}
+    assert {r["b"] for r in links} == urls | {"http://bare.net/x"}

@@ -10,8 +10,8 @@ given: allow if any alias is explicitly allowed, else block if any alias is bloc
 
 Nodes are urls without fragment, scheme and host in lower case. Links come from
 ``<link rel=canonical href=...>`` and ``<meta http-equiv=refresh content="0;url=...">`` of the
-pages themselves and, optionally, from a table of observed redirects. Only absolute http(s)
-targets and targets relative to the host root count as links.
+pages themselves and, optionally, from a table of observed redirects. Relative targets of every
+form are resolved against the page's url, dot segments included; other schemes are no links.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule, has no
 alias and is allowed. A null html has no links. Repeated rows are judged alike, row by row; extra
@@ -60,6 +60,17 @@ def node_of(url: Column) -> Column:
     return F.when(F.contains(url, F.lit("://")), F.concat(ascii_lower(head), rest))
 
 
+def _without_dots(target: Column) -> Column:
+    """A target that begins with ``/`` without ``.`` and ``..`` in its path."""
+    path = F.regexp_extract(target, r"(?s)^([^?#]*)", 1)
+    rest = F.regexp_extract(target, r"(?s)^[^?#]*(.*)$", 1)
+    # A last dot segment names a folder.
+    parts = F.split(F.regexp_replace(path, r"(/\.\.?)$", "$1/"), "/")
+    kept = F.aggregate(parts, F.array().cast("array<string>"), lambda a, x: F.when(x == ".", a).when(
+        x == "..", F.slice(a, 1, F.greatest(F.size(a) - 1, F.lit(1)))).otherwise(F.concat(a, F.array(x))))
+    return F.concat(F.array_join(kept, "/"), rest)
+
+
 def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Links (a, b) between nodes that the pages declare about themselves."""
     tags = pages.where(F.col(html).rlike(r"(?i)canonical|http-equiv")).select(
@@ -68,9 +79,13 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
         F.col("tag").rlike(REFRESH), F.regexp_extract("tag", REFRESH_URL, 1))
     links = tags.select("u", F.replace(target, F.lit("&amp;"), F.lit("&")).alias("t")).where(F.col("t") != "")
     root = F.regexp_extract("u", r"(?s)^(.*?://[^/?#]*)", 1)
-    full = F.when(F.col("t").rlike("(?i)^https?://"), F.col("t")).when(
-        F.col("t").startswith("//"), F.concat(F.regexp_extract("u", r"^(.*?:)//", 1), F.col("t"))
-    ).when(F.col("t").startswith("/"), F.concat(root, F.col("t")))
+    path, t = path_of(F.col("u")), F.col("t")
+    folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
+    full = F.when(t.rlike("(?i)^https?://"), t).when(
+        t.startswith("//"), F.concat(F.regexp_extract("u", r"^(.*?:)//", 1), t)
+    ).when(t.startswith("/"), F.concat(root, _without_dots(t))).when(
+        t.startswith("?"), F.concat(root, path, t)
+    ).when(~t.startswith("#") & ~t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(root, _without_dots(F.concat(folder, t))))
     return links.select(node_of(F.col("u")).alias("a"), node_of(full).alias("b")).where(
         F.col("a").isNotNull() & F.col("b").isNotNull())
 
