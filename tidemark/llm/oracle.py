@@ -7,7 +7,7 @@ slow versions, round trips or held-out accuracy.
 
 from __future__ import annotations
 
-from . import chat_layout, template_leaks, url_alias
+from . import chat_layout, curve_shards, template_leaks, url_alias
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -141,3 +141,49 @@ def leaks_sql(window: int, min_windows: int) -> str:
           FROM counted JOIN need USING (item_id) WHERE n_consistent >= need)
     WHERE k = 1 GROUP BY doc_id, item_id
     """
+
+
+# Checksum of each byte value; texts are folded byte by byte with it.
+_CRC_TABLE = """
+    crc_table AS (
+      SELECT list(list_reduce(list_prepend(b, range(8)), lambda x, k: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY b) AS crc
+      FROM range(256) r(b))"""
+
+
+def _crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of ``text``; needs ``crc_table`` in the FROM clause."""
+    parts = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: CAST('0x' || h AS BIGINT))"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {parts}),"
+            " lambda c, b: xor(c >> 8, crc[CAST(xor(c & 255, b) AS INTEGER) + 1])), 4294967295)")
+
+
+def shards_sql(n_shards: int) -> str:
+    bits, dims = curve_shards.BITS, ("lang", "source", "size")
+    rank, following = curve_shards.curve_states(len(dims))
+    states = ", ".join(f"({row >> len(dims)}, {row % (1 << len(dims))}, {r}, {f})" for row, (r, f) in enumerate(zip(rank, following, strict=True)))
+    cells = ", ".join(
+        f"{d}_cells AS (SELECT {d}, CAST((sum(count(*)) OVER (ORDER BY {d} NULLS FIRST) - count(*)) * {1 << bits} // (SELECT count(*) FROM d) AS INTEGER) AS {d}_cell"
+        f" FROM d GROUP BY {d})" for d in dims)
+    digit = " + ".join(f"((({d}_cell >> k) & 1) << {i})" for i, d in enumerate(dims))
+    return f"""
+    WITH RECURSIVE {_CRC_TABLE}, states(state, digit, rank, next) AS (VALUES {states}),
+    d AS (SELECT doc_id, coalesce(text, '') AS text, lang, source, CAST(coalesce(strlen(text), 0) + {curve_shards.ROW_BYTES} AS BIGINT) AS size FROM documents),
+    {cells},
+    points AS (
+      SELECT d.*, {", ".join(f"{c}_cell" for c in dims)} FROM d {" ".join(f"JOIN {c}_cells ON d.{c} IS NOT DISTINCT FROM {c}_cells.{c}" for c in dims)}),
+    walk(lang_cell, source_cell, size_cell, k, state, place) AS (
+      SELECT DISTINCT lang_cell, source_cell, size_cell, {bits - 1}, 0, 0::BIGINT FROM points
+      UNION ALL
+      SELECT lang_cell, source_cell, size_cell, k - 1, s.next, (place << {len(dims)}) + rank
+      FROM (SELECT *, {digit} AS dig FROM walk WHERE k >= 0) w JOIN states s ON s.state = w.state AND s.digit = w.dig),
+    summed AS (SELECT doc_id, size, {_crc32("text")} AS text_crc32, place
+               FROM points JOIN walk USING (lang_cell, source_cell, size_cell), crc_table WHERE k = -1),
+    ordered AS (
+      SELECT *, sum(size) OVER (ORDER BY place, text_crc32, size, doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING) - size AS before,
+             (SELECT sum(size) FROM d) AS total FROM summed),
+    cut AS (SELECT *, CAST((2 * before + size) * {n_shards} // (2 * total) AS INTEGER) AS shard FROM ordered)
+    SELECT doc_id, size, text_crc32, 'bytes' AS law, shard,
+           row_number() OVER (PARTITION BY shard ORDER BY place, text_crc32, size, doc_id NULLS FIRST) - 1 AS slot,
+           CAST(NULL AS INTEGER) AS grown_shard, place
+    FROM cut
+    """

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, cover_tree, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, cover_tree, curve_shards, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -33,6 +33,9 @@ URL_RULES = (
 )
 
 
+N_SHARDS = 24
+
+
 @query
 def op2_url_aliases(spark, sf_dir):
     judged = url_alias.judge_urls(table(spark, sf_dir, "pages"), url_alias.rules_table(spark, URL_RULES))
@@ -124,7 +127,15 @@ def op1_gated_lm(spark, sf_dir):
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+@query
+def op11_hilbert_shards(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    return curve_shards.shard_documents(docs, N_SHARDS).select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "place")
+
+
 SQL["op2_url_aliases"] = oracle.url_sql(URL_RULES)
 SQL["op4_chat_layouts"] = oracle.chat_sql()
 SQL["op7_cover_tree"] = oracle.near_vectors_sql(cover_tree.COSINE)
 SQL["op10_template_leaks"] = oracle.leaks_sql(template_leaks.WINDOW, template_leaks.MIN_WINDOWS)
+SQL["op11_hilbert_shards"] = oracle.shards_sql(N_SHARDS)
