@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, cover_tree, curve_shards, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias
+from . import chat_layout, context_trees, cover_tree, curve_shards, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias, word_runs
 from .shared import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,6 +134,11 @@ def op11_hilbert_shards(spark, sf_dir):
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "place")
 
 
+@query
+def op12_word_runs(spark, sf_dir):
+    return word_runs.run_digests(table(spark, sf_dir, "documents"))
+
+
 SQL["op2_url_aliases"] = oracle.url_sql(URL_RULES)
 SQL["op4_chat_layouts"] = oracle.chat_sql()
 SQL["op7_cover_tree"] = oracle.near_vectors_sql(cover_tree.COSINE)
