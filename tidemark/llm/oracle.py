@@ -187,3 +187,31 @@ def shards_sql(n_shards: int) -> str:
            CAST(NULL AS INTEGER) AS grown_shard, place
     FROM cut
     """
+
+
+def prefix_trie_sql() -> str:
+    return f"""
+    WITH {_CRC_TABLE},
+    t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+    lists AS (
+      SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, md5(length(role) || ':' || role || text)) AS turns
+      FROM t GROUP BY conv_id),
+    own AS (SELECT conv_id, turns, {_crc32("CAST(conv_id AS VARCHAR)")} % 6 AS h FROM lists, crc_table),
+    whole AS (
+      SELECT o.conv_id, list_concat(coalesce(g.turns[1:h], []), o.turns[h + 1:]) AS path
+      FROM own o LEFT JOIN lists g ON g.conv_id = o.conv_id - o.conv_id % 100),
+    prefixes AS (SELECT conv_id, d, path[1:d] AS p, d = len(path) AS last FROM (SELECT *, unnest(generate_series(0, len(path))) AS d FROM whole)),
+    nodes AS (
+      SELECT p, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (last), '')) AS ends_sha256
+      FROM prefixes GROUP BY p, d),
+    children AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1),
+    counted AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN children USING (p)),
+    below AS (
+      SELECT p[1:up] AS p, sum(CASE WHEN n_children = 0 THEN 1 ELSE 0 END) AS n_leaves,
+             sum(CASE WHEN depth > 0 THEN (n_convs - 1) * length(p[depth].text) ELSE 0 END) AS saved
+      FROM (SELECT *, unnest(generate_series(0, depth)) AS up FROM counted) GROUP BY 1)
+    SELECT c.conv_id, c.depth, u.conv_id AS parent_conv_id, c.n_convs, c.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+           CAST(saved AS BIGINT) AS saved_tokens, c.ends_sha256
+    FROM counted c JOIN below ON c.p = below.p LEFT JOIN nodes u ON c.depth > 0 AND u.p = c.p[1:c.depth - 1]
+    """

@@ -9,8 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import work_dir
-from . import chat_layout, context_trees, cover_tree, curve_shards, gated_lm, oracle, ordinal_quality, piece_offsets, simhash_trie, template_leaks, token_frames, url_alias, word_runs
-from .shared import prepare, table
+from . import chat_layout, context_trees, cover_tree, curve_shards, gated_lm, oracle, ordinal_quality, piece_offsets, prefix_trie, simhash_trie, template_leaks, token_frames, url_alias, word_runs
+from .shared import materialize, prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -139,8 +139,15 @@ def op12_word_runs(spark, sf_dir):
     return word_runs.run_digests(table(spark, sf_dir, "documents"))
 
 
+@query
+def op13_fast_trie(spark, sf_dir):
+    lists = materialize(prefix_trie.turn_lists(table(spark, sf_dir, "conversations")), "turn-lists")
+    return prefix_trie.prefix_trie(prefix_trie.rebuilt(lists)).drop("key")
+
+
 SQL["op2_url_aliases"] = oracle.url_sql(URL_RULES)
 SQL["op4_chat_layouts"] = oracle.chat_sql()
 SQL["op7_cover_tree"] = oracle.near_vectors_sql(cover_tree.COSINE)
 SQL["op10_template_leaks"] = oracle.leaks_sql(template_leaks.WINDOW, template_leaks.MIN_WINDOWS)
 SQL["op11_hilbert_shards"] = oracle.shards_sql(N_SHARDS)
+SQL["op13_fast_trie"] = oracle.prefix_trie_sql()
