@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import functions as fn
 from .. import operators as op
-from .. import plans, streaming
+from .. import plans, sources, streaming
 from .registry import query
 from .views import AS_OF, AS_OF_SQL, Views, guard, with_views
 
@@ -24,7 +24,7 @@ def _us(name: str) -> F.Column:
     return F.unix_micros(name).alias(name.replace("_at", "_us"))
 
 
-@query("upsert_tweets", f"""
+UPSERT_SQL = f"""
     SELECT COALESCE(s.doc_id, b.doc_id) AS id,
            CASE WHEN b.doc_id IS NULL THEN s.lang ELSE 'q' || b.quality END AS text,
            epoch_us(CASE WHEN s.doc_id IS NULL THEN {AS_OF_SQL} ELSE {_OLD} END) AS created_us,
@@ -33,10 +33,13 @@ def _us(name: str) -> F.Column:
            epoch_us(CASE WHEN s.doc_id IS NULL THEN {AS_OF_SQL} ELSE {_OLD} END) AS record_created_us,
            CASE WHEN s.doc_id IS NOT NULL AND b.doc_id IS NOT NULL THEN epoch_us({AS_OF_SQL}) END
              AS record_updated_us
-    FROM (SELECT * FROM documents WHERE lang = 'en') s FULL JOIN labels b ON s.doc_id = b.doc_id""")
-def _(v: Views) -> DataFrame:
+    FROM (SELECT * FROM documents WHERE lang = 'en') s FULL JOIN labels b ON s.doc_id = b.doc_id"""
+
+
+def tweet_store(v: Views) -> DataFrame:
+    """English documents as stored posts."""
     none = F.lit(None)
-    store = v.table("documents").where(F.col("lang") == "en").select(
+    return v.table("documents").where(F.col("lang") == "en").select(
         F.col("doc_id").alias("id"), F.col("lang").alias("text"), _old().alias("created_at"),
         F.lit(0).cast("bigint").alias("favorite_count"), F.lit(0).cast("bigint").alias("retweet_count"),
         F.lit("old").alias("job_name"), none.cast("string").alias("job_id"),
@@ -44,6 +47,11 @@ def _(v: Views) -> DataFrame:
         F.lit("PARTIAL").alias("hydrated"), _old().alias("record_created_at"),
         none.cast("timestamp").alias("record_updated_at"),
     )
+
+
+def tweet_batch(v: Views) -> DataFrame:
+    """Labels as incoming posts, each twice; the later one counts."""
+    none = F.lit(None)
     once = v.table("labels").select(
         F.col("doc_id").alias("tweet_id"), F.concat(F.lit("q"), "quality").alias("text"),
         F.lit(AS_OF).cast("timestamp").alias("tweet_created_at"),
@@ -51,11 +59,17 @@ def _(v: Views) -> DataFrame:
         F.lit("new").alias("job_name"), none.cast("string").alias("job_id"),
         none.cast("string").alias("hashtags"), F.lit("TWEET").alias("tweet_type"), F.lit(1).alias("seq"),
     )
-    batch = once.unionByName(once.withColumns({"text": F.lit("earlier"), "seq": F.lit(0)}))
-    return op.upsert_tweets(store, batch, AS_OF, ["seq"]).select(
-        "id", "text", _us("created_at"), "hydrated", "job_name", _us("record_created_at"),
-        _us("record_updated_at"),
-    )
+    return once.unionByName(once.withColumns({"text": F.lit("earlier"), "seq": F.lit(0)}))
+
+
+def tweet_columns(tweets: DataFrame) -> DataFrame:
+    return tweets.select(
+        "id", "text", _us("created_at"), "hydrated", "job_name", _us("record_created_at"), _us("record_updated_at"))
+
+
+@query("upsert_tweets", UPSERT_SQL)
+def _(v: Views) -> DataFrame:
+    return tweet_columns(op.upsert_tweets(tweet_store(v), tweet_batch(v), AS_OF, ["seq"]))
 
 
 @query("upsert_accounts", f"""
@@ -223,30 +237,43 @@ def _(v: Views) -> DataFrame:
     return op.enrich_nodes(store, batch, "Tweet", allow_new_columns=True)
 
 
-@query("merge_nodes", f"""
+MERGE_NODES_SQL = f"""
     SELECT p_brand, p_type, epoch_us(CASE WHEN bool_or(p_size <= 5) THEN {_OLD} ELSE {AS_OF_SQL} END)
              AS record_created_us,
            CASE WHEN bool_or(p_size <= 5) AND bool_or(p_size > 3) THEN epoch_us({AS_OF_SQL}) END
              AS record_updated_us
-    FROM part GROUP BY ALL""")
-def _(v: Views) -> DataFrame:
-    part = v.table("part")
-    store = part.where(F.col("p_size") <= 5).select("p_brand", "p_type").distinct().withColumns({
+    FROM part GROUP BY ALL"""
+
+
+def node_store(v: Views) -> DataFrame:
+    return v.table("part").where(F.col("p_size") <= 5).select("p_brand", "p_type").distinct().withColumns({
         "record_created_at": _old(), "record_updated_at": F.lit(None).cast("timestamp"),
     })
-    return op.merge_nodes(store, part.where(F.col("p_size") > 3), AS_OF).select(
+
+
+@query("merge_nodes", MERGE_NODES_SQL)
+def _(v: Views) -> DataFrame:
+    return op.merge_nodes(node_store(v), v.table("part").where(F.col("p_size") > 3), AS_OF).select(
         "p_brand", "p_type", _us("record_created_at"), _us("record_updated_at")
     )
 
 
-@query("merge_edges", """
-    SELECT DISTINCT l_partkey AS from_id, l_suppkey AS to_id, 'SUPPLIED_BY' AS rel FROM lineitem""")
-def _(v: Views) -> DataFrame:
+MERGE_EDGES_SQL = """
+    SELECT DISTINCT l_partkey AS from_id, l_suppkey AS to_id, 'SUPPLIED_BY' AS rel FROM lineitem"""
+
+
+def edge_rows(v: Views) -> tuple[DataFrame, DataFrame]:
+    """Stored edges, and a batch that holds them again."""
     rows = v.table("lineitem").select(F.col("l_partkey").alias("from_id"), F.col("l_suppkey").alias("to_id"),
                                       "l_returnflag")
     store = rows.where(F.col("l_returnflag") == "R").select(
         "from_id", "to_id", F.lit("SUPPLIED_BY").alias("rel")).distinct()
-    return op.merge_edges(store, rows, "SUPPLIED_BY")
+    return store, rows
+
+
+@query("merge_edges", MERGE_EDGES_SQL)
+def _(v: Views) -> DataFrame:
+    return op.merge_edges(*edge_rows(v), "SUPPLIED_BY")
 
 
 @query("resolve_edge_ids", """
@@ -392,18 +419,27 @@ def archive_to_graph(v: Views) -> DataFrame:
     return _graph_table(stores)
 
 
+def _graph_store(v: Views, buckets: int = 16) -> sources.BucketStore:
+    columns = {n: ", ".join(f"`{c}` {t}" for c, t in cols.items()) for n, cols in _STORES.items()}
+    return sources.BucketStore(v.spark, v.new_path("graph"), {n: (ddl, plans.GRAPH_KEYS[n]) for n, ddl in columns.items()}, buckets)
+
+
 @query("stream_archive_to_graph", _GRAPH_SQL)
 def stream_archive_to_graph(v: Views) -> DataFrame:
-    """The same two batches as micro-batches of a stream."""
-    feed, root = v.new_path("feed"), v.new_path("graph")
+    """The same two batches as micro-batches of a stream, into a store in buckets; the last one is sent twice."""
+    feed, store = v.new_path("feed"), _graph_store(v)
     flat = _graph_posts(v)
     for rows in (flat.where(_FIRST), flat.where(_SECOND)):
         rows.coalesce(1).write.mode("append").parquet(feed)
     stream = v.spark.readStream.schema(flat.schema).option("maxFilesPerTrigger", 1).parquet(feed)
-    empty = {name: op.empty_store(columns, v.spark) for name, columns in _STORES.items()}
-    write = streaming.stream_archive_to_graph(root, empty, _batch_rows, lambda n: _TIMES[n], ["tweet_id"])
-    streaming.micro_batch_flush(stream, write, v.new_path("progress")).awaitTermination()
-    return _graph_table({n: v.spark.read.schema(t.schema).parquet(f"{root}/version=1/{n}") for n, t in empty.items()})
+    write = streaming.stream_archive_to_graph(store, _batch_rows, lambda n: _TIMES[n], ["tweet_id"])
+
+    def twice(batch: DataFrame, batch_id: int) -> None:
+        write(batch, batch_id)
+        write(batch, batch_id)
+
+    streaming.micro_batch_flush(stream, twice, v.new_path("progress")).awaitTermination()
+    return _graph_table({n: store.read(n) for n in _STORES})
 
 
 def _graph_table(stores: dict[str, DataFrame]) -> DataFrame:

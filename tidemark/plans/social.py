@@ -21,6 +21,7 @@ from ..operators.search import match_any_phrase, stride_windows, stride_windows_
 from ..operators.status import classify_graph_type, normalize_status
 from ..schemas import STATUS_SCHEMA
 from ..session import materialize
+from ..sources.buckets import BucketStore
 
 
 def search_time_range(
@@ -55,6 +56,27 @@ def rehydrate(ids: DataFrame, store: DataFrame, posts: DataFrame, key: str = "id
     return posts.join(missing, key, "left_semi").transform(to_archive).transform(normalize_status)
 
 
+def _graph_changes(
+    stores: Mapping[str, DataFrame], posts: DataFrame, mentions: DataFrame, urls: DataFrame,
+    as_of: str | dt.datetime, order_cols: Sequence[str],
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """The node tables after a batch, and the batch's edges (rel, src, dst).
+
+    Only rows of the batch's own keys are looked up or changed, so ``stores`` may be parts of tables
+    that hold all of those. Every step is stored before it is read again.
+    """
+    full = materialize(upsert_tweets(stores["tweets"], posts, as_of, order_cols), "tweets")
+    tweets = materialize(stub_tweets(full, posts, as_of), "tweets")
+    authors = materialize(upsert_accounts(stores["accounts"], posts, as_of, order_cols), "accounts")
+    accounts = materialize(upsert_mentioned_accounts(authors, mentions, full, as_of), "accounts")
+    links = upsert_urls(stores["urls"], urls, full, as_of)
+    edges = resolve_relationships(posts, tweets, accounts).select(
+        "rel", F.col("src_id").cast("string").alias("src"), F.col("dst_id").cast("string").alias("dst"))
+    for made in (edges_mentioned(mentions, full), edges_includes(urls, full)):
+        edges = edges.unionByName(made.select("rel", F.col("src_id").cast("string").alias("src"), F.col("dst_key").alias("dst")))
+    return {"tweets": tweets, "accounts": accounts, "urls": links}, edges
+
+
 def archive_to_graph(
     stores: Mapping[str, DataFrame], posts: DataFrame, mentions: DataFrame, urls: DataFrame,
     as_of: str | dt.datetime, order_cols: Sequence[str],
@@ -64,26 +86,44 @@ def archive_to_graph(
 
     ``posts`` are rows of ``graph_rows``; ``mentions`` and ``urls`` those of ``explode_mentions`` and
     ``explode_urls``. The same batch may be written again: nodes are matched by key, edges are
-    distinct. Every step is stored before it is read again, so the batch is computed once and a
-    store is read once for its new version. As a ``foreachBatch`` function this is the streaming form.
+    distinct. The batch is computed once and a store is read once for its new version; ``archive_to_store``
+    writes only the parts of a large graph that a batch touches.
     """
-    batch = materialize(posts, "batch")
-    mentioned, linked = materialize(mentions, "mentions"), materialize(urls, "links")
-    full = materialize(upsert_tweets(stores["tweets"], batch, as_of, order_cols), "tweets")
-    tweets = materialize(stub_tweets(full, batch, as_of), "tweets")
-    authors = materialize(upsert_accounts(stores["accounts"], batch, as_of, order_cols), "accounts")
-    accounts = materialize(upsert_mentioned_accounts(authors, mentioned, full, as_of), "accounts")
-    links = upsert_urls(stores["urls"], linked, full, as_of)
-    made = [
-        resolve_relationships(batch, tweets, accounts).select(
-            "rel", F.col("src_id").cast("string").alias("src"), F.col("dst_id").cast("string").alias("dst")),
-        *(e.select("rel", F.col("src_id").cast("string").alias("src"), F.col("dst_key").alias("dst"))
-          for e in (edges_mentioned(mentioned, full), edges_includes(linked, full))),
-    ]
-    edges = stores["edges"].select("rel", "src", "dst")
-    for new in made:
-        edges = edges.unionByName(new)
-    return {"tweets": tweets, "accounts": accounts, "urls": links, "edges": edges.distinct()}
+    rows = [materialize(df, label) for df, label in ((posts, "batch"), (mentions, "mentions"), (urls, "links"))]
+    nodes, edges = _graph_changes(stores, *rows, as_of, order_cols)
+    return {**nodes, "edges": stores["edges"].select("rel", "src", "dst").unionByName(edges).distinct()}
+
+
+# Key columns of a graph's tables, as ``BucketStore`` takes them.
+GRAPH_KEYS = {"tweets": ["id"], "accounts": ["id"], "urls": ["full_url"], "edges": ["src", "rel", "dst"]}
+
+
+def archive_to_store(
+    store: BucketStore, posts: DataFrame, mentions: DataFrame, urls: DataFrame,
+    as_of: str | dt.datetime, order_cols: Sequence[str], batch: int | None = None,
+) -> int:
+    """``archive_to_graph`` into a ``BucketStore`` with tables of ``GRAPH_KEYS``; returns the version.
+
+    Reads and rewrites the buckets of the batch's own posts, targets, accounts, links and edges, and
+    publishes all four tables together: cost follows the batch, and readers never see half of one. A
+    batch number that is written already changes nothing.
+    """
+    if store.written(batch):
+        return store.version()
+    base = store.version()
+    rows = [materialize(df, label) for df, label in ((posts, "batch"), (mentions, "mentions"), (urls, "links"))]
+    posts, mentions, urls = rows
+    met = {
+        "tweets": [posts.select("tweet_id"), posts.select(target_id()), mentions.select("tweet_id"), urls.select("tweet_id")],
+        "accounts": [posts.select("user_id"), mentions.select("user_id")],
+        "urls": [urls.select("full_url")],
+    }
+    touched = {n: set().union(*(store.touched(n, df, df.columns) for df in keys)) for n, keys in met.items()}
+    nodes, edges = _graph_changes({n: store.read(n, base, b) for n, b in touched.items()}, *rows, as_of, order_cols)
+    edges = materialize(edges, "edges")
+    touched["edges"] = store.touched("edges", edges)
+    nodes["edges"] = store.read("edges", base, touched["edges"]).unionByName(edges).distinct()
+    return store.publish(base, {n: store.stage(n, df, touched[n]) for n, df in nodes.items()}, batch)
 
 
 def _keys_of(posts: DataFrame, col: str, fields: Sequence[str]) -> Column:

@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame
@@ -12,35 +13,20 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cleaning import make_serializable, quoted
-
-# Rows per file of the hourly archive.
-MAX_RECORDS_PER_FILE = 5_000_000
-
-
-def file_name(text: str) -> str:
-    return re.sub(r"[^A-Za-z0-9_-]", "", text)
-
+from .archive import HourlyArchive, file_name
 
 def sink_parquet_hourly(
     df: DataFrame, path: str, job_name: str, ingest_hour: str | None = None,
-    codec: str = "snappy",
-) -> None:
-    """Append to ``job_name=/ingest_hour=`` folders; existing files are never touched.
+    codec: str = "snappy", query: str | None = None, batch: int = 0,
+) -> bool:
+    """Add a batch to the archive below ``path``, in ``job_name=/ingest_hour=`` folders; existing files are never touched.
 
-    Without ``ingest_hour`` the frame brings its own column of that name.
+    ``query`` and ``batch`` name the batch: sent again, it adds nothing and the result is False. Without
+    ``query`` every call is a batch of its own. Without ``ingest_hour`` the frame brings its own column of
+    that name. ``HourlyArchive.read`` reads what is committed.
     """
-    if codec not in ("none", "snappy"):
-        raise ValueError(f"unknown codec {codec!r}")
-    out = df.withColumn("job_name", F.lit(file_name(job_name)))
-    if ingest_hour is not None:
-        out = out.withColumn("ingest_hour", F.lit(ingest_hour))
-    else:
-        # Rows of an hour meet before the write, or every task would open a file per hour; the
-        # rebalance splits hours that are too large for one task.
-        out = out.hint("rebalance", F.col("ingest_hour"))
-    out.write.mode("append").partitionBy("job_name", "ingest_hour").option(
-        "compression", codec
-    ).option("maxRecordsPerFile", MAX_RECORDS_PER_FILE).parquet(path)
+    name = query if query is not None else f"once-{uuid.uuid4().hex}"
+    return HourlyArchive(df.sparkSession, path).add(df, name, batch, job_name, ingest_hour, codec)
 
 
 def batch_path(
@@ -110,7 +96,11 @@ def sink_dual_flush(
     archive_fn: Callable[[DataFrame, int], None], graph_fn: Callable[[DataFrame, int], None]
 ) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` function: archive, then graph. The graph write is tried even if the archive
-    failed, and the archive's error is raised afterwards, so the batch is repeated as a whole."""
+    failed, and the archive's error is raised afterwards, so the batch is repeated as a whole.
+
+    Both halves must know a batch by its number, as ``sink_parquet_hourly`` with ``query`` and ``archive_to_store``
+    do: the half that succeeded the first time then adds nothing.
+    """
 
     def flush(batch: DataFrame, batch_id: int) -> None:
         held = batch.persist()

@@ -1,3 +1,4 @@
 """Structured Streaming forms."""
 
+from .compaction import *  # noqa: F401,F403
 from .live import *  # noqa: F401,F403

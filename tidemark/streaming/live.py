@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -11,8 +11,10 @@ from pyspark.sql.streaming import StreamingQuery
 from ..operators.dedupe import dedupe_keep_last
 from ..operators.hydration import needs_hydration
 from ..operators.search import match_any_phrase
-from ..plans.social import archive_to_graph
+from ..plans.social import archive_to_store
+from ..sources.buckets import BucketStore
 from ..sources.sinks import write_batch_table
+from .compaction import batch_states, fold_states, nodes_of
 
 BatchFn = Callable[[DataFrame, int], None]
 
@@ -121,42 +123,25 @@ def stream_graph_upsert(
 
 
 def stream_archive_to_graph(
-    root: str, empty: Mapping[str, DataFrame],
-    rows_of: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]],
+    store: BucketStore, rows_of: Callable[[DataFrame], tuple[DataFrame, DataFrame, DataFrame]],
     as_of_fn: Callable[[int], str], order_cols: Sequence[str],
 ) -> BatchFn:
-    """``foreachBatch`` function that writes each batch into a whole graph, as ``archive_to_graph``.
+    """``foreachBatch`` function that writes each batch into a whole graph, as ``archive_to_store``.
 
-    ``rows_of`` turns a batch into graph rows, mentions and links; ``empty`` gives the tables before
-    the first batch. Batch n reads ``version=n-1`` below ``root`` and writes ``version=n``, so a
-    repeated batch replaces its own version. Each version is a whole copy: meant for large, rare
-    batches; ``stream_graph_upsert`` is the form whose cost follows the batch.
+    ``rows_of`` turns a batch into graph rows, mentions and links. A batch rewrites the buckets it
+    touches and becomes one version of all tables; a repeated batch finds its number and does nothing.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        stores = dict(empty)
-        if batch_id > 0:
-            read = batch.sparkSession.read
-            stores = {n: read.schema(t.schema).parquet(f"{root}/version={batch_id - 1}/{n}") for n, t in empty.items()}
-        made = archive_to_graph(stores, *rows_of(batch), as_of_fn(batch_id), order_cols)
-        for name, rows in made.items():
-            rows.write.mode("overwrite").parquet(f"{root}/version={batch_id}/{name}")
+        archive_to_store(store, *rows_of(batch), as_of_fn(batch_id), order_cols, batch_id)
 
     return write
 
 
 def read_nodes(batches: DataFrame, key: str = "id", keep: Sequence[str] = ("created_at",)) -> DataFrame:
     """The node table after all batches: last values win, ``keep`` columns hold their first
-    non-null value, and the stamps say when a node came and when it last changed."""
-    values = [c for c in batches.columns if c not in (key, "as_of", "batch_id", *keep)]
-    kept = [c for c in keep if c in batches.columns]
-    folded = batches.groupBy(key).agg(
-        F.max_by(F.struct(*values), "batch_id").alias("_last"),
-        *[F.min_by(c, F.when(F.col(c).isNotNull(), F.col("batch_id"))).alias(c) for c in kept],
-        F.min("as_of").alias("record_created_at"),
-        F.when(F.count("*") > 1, F.max("as_of")).alias("record_updated_at"),
-    )
-    return folded.select(
-        key, "_last.*", *kept, F.lit("FULL").alias("hydrated"),
-        "record_created_at", "record_updated_at",
-    )
+    non-null value, and the stamps say when a node came and when it last changed.
+
+    Reads every batch there ever was; ``BatchLog`` folds old ones and reads the rest.
+    """
+    return nodes_of(fold_states(batch_states(batches, key, keep), key), key)
