@@ -154,7 +154,7 @@ def test_hourly_archive_appends(spark, tmp_path):
     path = str(tmp_path / "archive")
     for _ in range(2):
         sources.sink_parquet_hourly(spark.range(3), path, "a b", "2024-01-01-05", "none")
-    got = spark.read.parquet(path)
+    got = sources.HourlyArchive(spark, path).read("id bigint")
     assert got.count() == 6 and got.select("job_name", "ingest_hour").distinct().collect()[0][0] == "ab"
 
 

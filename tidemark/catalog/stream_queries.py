@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import operators as op
 from .. import sources, streaming
@@ -108,6 +109,71 @@ def _(v: Views) -> DataFrame:
     return log.read().select("id", "type", "first_event", *[F.unix_micros(f"record_{w}_at").alias(f"record_{w}_us") for w in ("created", "updated")])
 
 
+@query("count_or_age_flush", """
+    WITH c AS (SELECT event_type, count(*) AS n FROM events GROUP BY 1)
+    SELECT event_type, flush_no, 'count' AS reason, 51 AS size FROM c, unnest(range(n // 51)) r(flush_no)
+    UNION ALL SELECT event_type, n // 51, 'age', n % 51 FROM c WHERE n % 51 > 0""")
+def _(v: Views) -> DataFrame:
+    """Events of each type flushed above 50 rows; what is left at the end is flushed by its age."""
+    path, progress = v.new_path("flushed"), v.new_path("progress")
+    groups = streaming.count_or_age_groups(v.ev_stream().select("event_type", "event_id"), ["event_type"], 50, 1)
+    sink = streaming.overwrite_table(path)
+    streaming.flush_what_is_there(groups, sink, progress).awaitTermination()
+    streaming.flush_rest(groups, sink, progress, 120)
+    return v.spark.read.parquet(path).groupBy("event_type", "flush_no", "reason").agg(F.countDistinct("event_id").alias("size"))
+
+
+_PHRASES = ("the", "you", "is")
+_MATCHED = " OR ".join(f"regexp_matches(lower(full_text), '(^|[^\\p{{L}}\\p{{N}}_]){p}($|[^\\p{{L}}\\p{{N}}_])')" for p in _PHRASES)
+
+
+@query("windows_and_late_rows", with_views("timed_posts", f"""
+    , m AS (SELECT *, s // 30 * 30 AS t0, id % 1000 <= 2 AS early FROM timed_posts WHERE {_MATCHED}),
+    w AS (SELECT max(s) FILTER (early) - 60 AS first, max(s) - 60 AS last FROM m),
+    j AS (SELECT m.*, NOT early AND t0 + 30 <= first AS is_late, t0 + 30 <= last AS is_closed FROM m, w)
+    SELECT 'late' AS kind, t0 * 1000000 AS t0_us, id, CAST(NULL AS BIGINT) AS hits FROM j WHERE is_late
+    UNION ALL SELECT 'closed', t0 * 1000000, NULL, count(*) FROM j WHERE NOT is_late AND is_closed GROUP BY t0"""))
+def _(v: Views) -> DataFrame:
+    """Posts searched by phrases in two batches: first the openings, then the rest, much of it too late."""
+    feed, path, posts = v.new_path("feed"), v.new_path("found"), v.timed_posts()
+    for some in ("id % 1000 <= 2", "id % 1000 > 2"):
+        posts.where(some).coalesce(1).write.mode("append").parquet(feed)
+    stream = v.spark.readStream.schema(posts.schema).option("maxFilesPerTrigger", 1).parquet(feed)
+    found = streaming.windows_and_late_rows(stream, "ts", "full_text", _PHRASES, spread=["id"])
+    streaming.micro_batch_flush(found, streaming.overwrite_table(path), v.new_path("progress")).awaitTermination()
+    table = v.spark.read.schema(T.StructType([*found.schema.fields, T.StructField("batch_id", T.IntegerType())])).parquet(path)
+    none = F.lit(None).cast("bigint")
+    late = streaming.late_rows(table).select(F.lit("late").alias("kind"), "t0_us", "id", none.alias("hits"))
+    return late.unionByName(streaming.closed_windows(table).select(F.lit("closed").alias("kind"), "t0_us", none.alias("id"), "hits"))
+
+
+@query("unseen_users_with_memory", "SELECT DISTINCT user_id FROM events WHERE user_id % 2 = 1")
+def _(v: Views) -> DataFrame:
+    """Every second user is stored before the stream begins."""
+    stored = v.table("events").where("user_id % 2 = 0").select("user_id")
+    news, path = streaming.unseen_users_with_memory(v.ev_stream(), "user_id", stored, 3600), v.new_path("users")
+    streaming.flush_what_is_there(news, streaming.overwrite_table(path), v.new_path("progress")).awaitTermination()
+    return v.spark.read.parquet(path).select("user_id")
+
+
+@query("stream_rolling_rate", """
+    WITH e AS (
+        SELECT event_id, event_type, ts, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k,
+               CAST(round(value * 100) AS BIGINT) + 1 AS ms FROM events)
+    SELECT event_id, event_type, rate, total FROM (
+        SELECT event_id, event_type, ts, CAST(sum(k) OVER w AS DOUBLE) / sum(ms) OVER w AS rate,
+               CAST(sum(k) OVER (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS DOUBLE) AS total
+        FROM e WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id ROWS BETWEEN 19 PRECEDING AND CURRENT ROW))
+    WHERE epoch_ms(ts) < (SELECT max(epoch_ms(ts)) FROM events)""")
+def _(v: Views) -> DataFrame:
+    """Rates over the last 20 events of each type, of all events the watermark has passed."""
+    rows = v.ev_stream().select(
+        "event_id", "event_type", "ts", F.get_json_object("props", "$.k").cast("bigint").alias("k"),
+        (F.round(F.col("value") * 100).cast("bigint") + 1).alias("ms"))
+    rates = streaming.stream_rolling_rate(rows, "event_type", "ts", "event_id", "ms", "k")
+    return _to_table(v, rates).select("event_id", "event_type", "rate", "total")
+
+
 # --- sheets ----------------------------------------------------------------------------------
 
 _COLOR_SQL = """SELECT o_orderpriority, row_number() OVER (ORDER BY min(o_orderkey)) AS c

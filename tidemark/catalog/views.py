@@ -200,6 +200,14 @@ class Views:
             .option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
         )
 
+    def timed_posts(self, raw: DataFrame | None = None) -> DataFrame:
+        """Posts with a time: conversations begin 45 s apart, turns follow after 20 s; every seventh post is an hour old."""
+        raw = self.table("conversations") if raw is None else raw
+        late = F.when((F.col("conv_id") + F.col("turn")) % 7 == 0, 3600).otherwise(0)
+        return raw.select(
+            (F.col("conv_id") * 1000 + 1 + F.col("turn")).alias("id"),
+            F.timestamp_seconds(F.lit(1_700_000_000) + F.col("conv_id") * 45 + F.col("turn") * 20 - late).alias("ts"), F.col("text").alias("full_text"))
+
     def ev_stream(self) -> DataFrame:
         return self.stream("events").withColumn("ts", F.col("ts").cast("timestamp"))
 
@@ -215,6 +223,10 @@ CTE = {
                CASE WHEN turn > 0 THEN conv_id * 1000 + turn ELSE 0 END AS reply_to,
                role AS user_name, text AS full_text
         FROM conversations)""",
+    "timed_posts": """timed_posts AS (
+        SELECT conv_id * 1000 + 1 + turn AS id, text AS full_text,
+               1700000000 + conv_id * 45 + turn * 20 - CASE WHEN (conv_id + turn) % 7 = 0 THEN 3600 ELSE 0 END AS s
+        FROM conversations)""",
     "hyd": """hyd AS (
         SELECT d.doc_id AS id,
                CASE l.quality WHEN 1 THEN 'FULL' WHEN 0 THEN 'PARTIAL' END AS hydrated

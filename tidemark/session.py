@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,7 +37,14 @@ def build_session(app_name: str = "tidemark", master: str | None = None, **conf:
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Apply the run-time settings to a session somebody else created."""
+    """Apply the run-time settings to a session somebody else created.
+
+    Python tasks get the package's folder on their path, where it exists on their machine.
+    """
+    home = str(Path(__file__).resolve().parents[1])
+    given = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if home not in given.split(os.pathsep):
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [home, given]))
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
     # Listing many hourly folders takes a job; one task per core is enough for it.

@@ -24,7 +24,7 @@ def live_window_search(
     delay: str = "60 seconds", stride: str = "30 seconds",
 ) -> DataFrame:
     """Hits per stride window of posts that match; posts later than ``delay`` are lost, as they are
-    to a search that never reads a closed window again."""
+    to a search that never reads a closed window again. ``windows_and_late_rows`` keeps those."""
     hits = stream.where(match_any_phrase(F.col(text), terms)) if text and terms else stream
     counted = hits.withWatermark(ts, delay).groupBy(F.window(ts, stride)).agg(
         F.count("*").alias("hits")
@@ -41,14 +41,16 @@ def stream_dedupe(
 
 def stream_unseen_users(stream: DataFrame, user_col: str) -> DataFrame:
     """Each user the first time it is seen. The seen set lives in the query's state, sharded by
-    user, and survives restarts with the same checkpoint. It grows with the number of users; with
-    a stored account table ``stream_hydration_filter`` does the same without state."""
+    user, and survives restarts with the same checkpoint. It grows with the number of users;
+    ``unseen_users_with_memory`` forgets users and starts from the stored ones."""
     return stream.select(user_col).where(F.col(user_col).isNotNull()).dropDuplicates([user_col])
 
 
 def _start(
     stream: DataFrame, fn: BatchFn, mode: str, trigger: dict, checkpoint: str
 ) -> StreamingQuery:
+    # Windows close, and keys are forgotten, in micro-batches without input.
+    stream.sparkSession.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "true")
     return (
         stream.writeStream.foreachBatch(fn).outputMode(mode)
         .option("checkpointLocation", checkpoint).trigger(**trigger).start()
