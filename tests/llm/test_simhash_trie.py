@@ -126,7 +126,7 @@ def test_tables(spark):
     assert got == [(0, 0), (0, 3), (1, 1), (2, 1), (3, 3), (5, 3), (7, 7), (7, 7), (9, 3)]
     kept = st.keep_one(df)
     assert kept.columns == df.columns
-    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [1, 3, 7]
+    assert sorted((r["doc_id"] or 0) for r in kept.collect()) == [0, 1, 3, 7]
     assert st.group_near_copies(df.limit(0)).count() == 0
 
 
@@ -168,9 +168,77 @@ def test_groups_of_two_by_exact_similarity(spark):
     assert kept == {2 * k for k in same} | {2 * k + 1 for k, s in same.items() if not s}
 
 
-def test_links_of_a_bucket_beyond_its_leaders(spark):
-    """Members that fit neither leader are still compared with each other; 4 of 5 shared is enough."""
-    sets = {1: [1, 2, 3, 4, 5], 2: [10, 11, 12, 13, 14], 3: [10, 11, 12, 13], 4: [20, 21, 22, 23], 5: [20, 21, 22, 24], 9: [1, 2, 3, 4, 6]}
-    buckets = spark.createDataFrame([(7, n, len(s)) for n, s in sets.items()], "band long, node long, size int")
-    made = spark.createDataFrame(list(sets.items()), "node long, shingles array<long>")
-    assert sorted(map(tuple, st.link_sets(buckets, made, 0.8).collect())) == [(2, 2), (3, 2)]
+def similar_pairs(sets, jaccard):
+    """All pairs of at least this similarity, found by comparing all."""
+    ids = sorted(sets)
+    return {(a, b) for i, a in enumerate(ids) for b in ids[i + 1:] if len(sets[a] & sets[b]) >= jaccard * len(sets[a] | sets[b]) - 1e-9}
+
+
+def linked_nodes(spark, sets, rounds):
+    """Components that ``link_sets`` gives for sets whose prefixes are in order of their numbers."""
+    nodes = [(n, len(s), sorted(s)[:st.prefix_length(len(s), 0.8)]) for n, s in sets.items()]
+    rows = st.shared_places(spark.createDataFrame(nodes, "node long, size int, tokens array<long>"), 0.8)
+    made = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, shingles array<long>")
+    return {r["member"]: r["component"] for r in st.link_sets(rows, made, 0.8, rounds).collect()}
+
+
+@pytest.mark.parametrize("rounds", [0, 2])
+def test_all_pairs_of_a_brute_force_count(spark, rounds):
+    """Families of sets at all similarities: the same components as from all pairs of 0.8 and more."""
+    draw = np.random.default_rng(8)
+    sets, n = {}, 0
+    for _ in range(30):
+        base = draw.choice(10_000, int(draw.integers(4, 60)), replace=False)
+        for _ in range(int(draw.integers(1, 9))):
+            own = set(base.tolist())
+            for _ in range(int(draw.integers(0, max(1, len(base) // 10) + 1))):
+                own.discard(int(draw.choice(base)))
+                own.add(int(draw.integers(0, 10_000)))
+            n += 1
+            sets[n] = own
+    want = {}
+    for group in slow_groups(sets, similar_pairs(sets, 0.8)):
+        want.update(dict.fromkeys(group, min(group)))
+    assert len(want) > 80
+    assert linked_nodes(spark, sets, rounds) == want
+
+
+def slow_groups(ids, pairs):
+    parent = {i: i for i in ids}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for a, b in pairs:
+        x, y = sorted((root(a), root(b)))
+        parent[y] = x
+    groups = {}
+    for i in ids:
+        groups.setdefault(root(i), set()).add(i)
+    return [g for g in groups.values() if len(g) > 1]
+
+
+def test_a_family_of_unlike_texts_compares_few_pairs(spark):
+    """2,000 texts that share 80 of 120 words (0.46) and some of 0.7: hardly any pair is compared."""
+    draw = np.random.default_rng(2)
+    shared = [f"s{k}" for k in range(80)]
+    rows = [(n, " ".join([*shared, *(f"x{k}" for k in draw.integers(0, 10**6, 40 if n % 2 else 16))])) for n in range(2_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    made = st.prefixes(docs, 5, 0.8, st.frequencies(docs, 5))
+    fitting = st.shared_places(made.select("node", "size", "tokens"), 0.8)
+    pairs = fitting.groupBy("token").count().selectExpr("sum(count * (count - 1) / 2)").first()[0] or 0
+    assert pairs < 4_000, pairs
+    assert st.keep_one(docs).count() == 2_000
+
+
+def test_recall_on_given_documents(spark):
+    """Every pair of five-word similarity 0.8 or more of the smallest tables is in one component."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
+    sets = {r["doc_id"]: set(st.shingle_set(r["text"] or "").tolist()) for r in docs.collect()}
+    pairs = similar_pairs({d: s for d, s in sets.items() if s}, 0.8)
+    got = {r["doc_id"]: r["component"] for r in st._placed(docs, 5, 0.8).collect()}
+    assert len(pairs) > 5 and all(got[a] == got[b] for a, b in pairs)
+    groups = slow_groups([d for d, s in sets.items() if s], pairs)
+    assert len({got[d] for g in groups for d in g}) == len(groups)

@@ -19,10 +19,13 @@ group), not all pairs: at most one row for each fingerprint and trie. Pairs of n
 fingerprints are already connected are not walked further, which keeps dense groups of near copies
 cheap and changes no component.
 
-``keep_one`` decides by the exact similarity of shingle sets. At a Jaccard similarity of 0.8 the
-prints differ in about 10 bits, too many for a walk without comparing all pairs, and appended text
-moves prints over words as far. Its pairs come from buckets of smallest hashes instead, which depend on
-the similarity only, and each is decided by the sets themselves.
+``keep_one`` decides by the exact similarity of shingle sets, found by a prefix-filter join. At a Jaccard
+similarity of 0.8 the prints differ in about 10 bits, too many for a walk without comparing all pairs. All
+sets are put in one order of shingles, rare ones first. Two sets of similarity t share a shingle among
+their first n - ceil(t n) + 1, and sets that share one may still be too different in size, or have too
+few shingles after it: only the other pairs are compared, by the sets themselves. No pair is lost,
+whatever the order is; a good order keeps passages that many texts share out of the prefixes. The order
+comes from frequencies added up in bins, so it takes one pass and a table of fixed size.
 
 Defined results: a null text, or one without words, has fingerprint zero and is linked like any
 other. Repeated rows are rows of the same component. A null doc_id is never the smallest; a
@@ -36,7 +39,7 @@ from itertools import accumulate, combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -44,9 +47,10 @@ from ..operators.scale import salted_join
 from .shared import components, fresh, materialize
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
-# For one document of each group: words of a shingle, similarity, and buckets that propose pairs.
+# For one document of each group: words of a shingle, and similarity.
 KEEP_SHINGLE, KEEP_JACCARD = 5, 0.8
-BANDS, BAND_ROWS = 32, 4
+# Bins of shingles whose frequencies order them, and comparisons of single pairs before all others.
+SKETCH_BITS, ROUNDS = 18, 2
 PART_PAIRS = 200
 GROUP_ROWS = 20_000
 # Pairs of nodes with at most so many pairs of fingerprints are compared outright.
@@ -298,20 +302,6 @@ def shingle_set(text: str, shingle: int = KEEP_SHINGLE) -> np.ndarray:
     return np.unique((out ^ (out >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93))
 
 
-def band_hashes(shingles: np.ndarray) -> np.ndarray:
-    """``BANDS`` hashes; each is that of the smallest shingles under ``BAND_ROWS`` random orders."""
-    draw = np.random.default_rng(SEED)
-    turns = draw.integers(0, 1 << 63, BANDS * BAND_ROWS, np.uint64) * np.uint64(2) + np.uint64(1)
-    least = np.full(len(turns), np.iinfo(np.uint64).max, np.uint64)
-    for at in range(0, len(shingles), 1 << 12):
-        part = shingles[at:at + (1 << 12), None] * turns
-        np.minimum(least, (part ^ (part >> np.uint64(31))).min(axis=0), out=least)
-    out = np.arange(BANDS, dtype=np.uint64)
-    for k in range(BAND_ROWS):
-        out = (out ^ (out >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + least.reshape(BANDS, BAND_ROWS)[:, k]
-    return out.view(np.int64)
-
-
 def _node(shingles: np.ndarray) -> int:
     """One number for a set of shingles, as a signed long."""
     from xxhash import xxh64_intdigest
@@ -319,17 +309,67 @@ def _node(shingles: np.ndarray) -> int:
     return int(np.uint64(xxh64_intdigest(shingles.tobytes(), SEED)).view(np.int64))
 
 
-def sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, text_key, node, size, bands) of every row; rows of the same shingles have the same node."""
+def frequencies(docs: DataFrame, shingle: int) -> np.ndarray:
+    """How many rows hold a shingle, added up over ``2 ** SKETCH_BITS`` bins of shingles; all rows are counted.
+
+    Each task adds its rows up, slices of the bins are added across tasks, and the driver gets one number for each bin.
+    """
+    bins, part = 1 << SKETCH_BITS, 1 << 12
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(bins, np.int64)
+        for batch in batches:
+            for t in batch.column(0):
+                found = shingle_set(t.as_py() or "", shingle)
+                np.add.at(total, (found >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
+        yield pa.RecordBatch.from_arrays([pa.array(range(bins // part), pa.int32()), pa.array([x.tobytes() for x in total.reshape(-1, part)], pa.binary())], names=["slice", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, counts in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                sums[k] = sums.get(k, 0) + np.frombuffer(counts, np.int64)
+        yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())], names=["slice", "counts"])
+
+    schema = "slice int, counts binary"
+    slices = docs.select("text").mapInArrow(counted, schema).repartition("slice").mapInArrow(added, schema).collect()
+    out = np.zeros(bins, np.int64)
+    for r in slices:
+        out[r["slice"] * part:(r["slice"] + 1) * part] += np.frombuffer(r["counts"], np.int64)
+    return out
+
+
+def prefix_length(size: int, jaccard: float) -> int:
+    """So many of the first shingles of a set, in any order all sets share, hold one that any similar set has among its own first."""
+    return size - _least_common(size, jaccard) + 1
+
+
+def _least_common(size: int, jaccard: float) -> int:
+    """Smallest whole number of shingles that is ``jaccard`` of ``size`` or more."""
+    return int(np.ceil(size * jaccard - 1e-9))
+
+
+def prefixes(docs: DataFrame, shingle: int, jaccard: float, counts: np.ndarray) -> DataFrame:
+    """(doc_id, text_key, node, size, tokens) of every row; rows of the same shingles have the same node.
+
+    ``tokens`` are the first shingles of the set, those of the rarest bins first, then by number.
+    """
     schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("node", T.LongType()),
-                           T.StructField("size", T.IntegerType()), T.StructField("bands", T.ArrayType(T.LongType()))])
+                           T.StructField("size", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+    weights = docs.sparkSession.sparkContext.broadcast(counts)
+
+    def first(x: np.ndarray) -> np.ndarray:
+        if not len(x):
+            return x.view(np.int64)
+        order = np.argsort(weights.value[(x >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)], kind="stable")
+        return x[order[:prefix_length(len(x), jaccard)]].view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sets = [shingle_set(t.as_py() or "", shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:2], pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()),
-                pa.array([band_hashes(x) if len(x) else [] for x in sets], pa.list_(pa.int64()))], names=schema.names)
+                pa.array([first(x) for x in sets], pa.list_(pa.int64()))], names=schema.names)
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
@@ -359,58 +399,95 @@ def _with_set(rows: DataFrame, pairs: DataFrame, sets: DataFrame, key: str, othe
 
 def _exact(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
     """The pairs (a, b) whose sets have a Jaccard similarity of ``jaccard`` or more."""
-    pairs = materialize(pairs.distinct(), "pairs")
     both = _with_set(_with_set(pairs, pairs, sets, "a", "b", "x"), pairs, sets, "b", "a", "y")
     common = F.size(F.array_intersect("x", "y"))
     return both.where(common / (F.size("x") + F.size("y") - common) >= jaccard).select("a", "b")
 
 
-def link_sets(buckets: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
-    """(member, component) of all nodes linked by pairs of one bucket with exact Jaccard >= ``jaccard``.
+def _may_be_similar(size: Column, place: Column, other_size: Column, other_place: Column, jaccard: float) -> Column:
+    """Whether sets that share a shingle at these places of their order can be similar: what follows it must hold enough more."""
+    need = F.ceil((size + other_size) * F.lit(jaccard / (1 + jaccard)) - 1e-9)
+    return (F.least(size, other_size) >= F.greatest(size, other_size) * F.lit(jaccard) - 1e-9) & (
+        F.least(size - place, other_size - other_place) >= need)
+
+
+def shared_places(nodes: DataFrame, jaccard: float) -> DataFrame:
+    """(token, node, size, place) of the first shingles that nodes share and that may link them.
 
-    ``buckets`` has (band, node, size). The members of a bucket meet two of them first; only pairs
-    that these links left in different components are then compared, all of them. Groups of near
-    copies so cost a few pairs for each member, not all pairs, and no link between components is lost.
+    ``nodes`` has (node, size, tokens). Of a token's nodes those stay that could be similar to a set of the
+    smallest size among them: in a large family most members have too many shingles of their own before the first shared one.
     """
-    fits = lambda x, y: F.least(x, y) >= F.greatest(x, y) * (jaccard - 1e-9)
-    edges = None
-    for pick in (F.min, F.max):
-        lead = buckets.groupBy("band").agg(pick(F.struct("node", "size")).alias("l"))
-        pairs = salted_join(buckets, lead, "band", spread=["node"]).where(
-            (F.col("node") != F.col("l.node")) & fits(F.col("size"), F.col("l.size")))
-        found = _exact(pairs.select(F.least("node", "l.node").alias("a"), F.greatest("node", "l.node").alias("b")), sets, jaccard)
-        edges = found if edges is None else edges.unionByName(found)
-    edges = materialize(edges.distinct(), "links")
-    linked = components(edges, "a", "b").withColumnRenamed("node", "member")
-    placed = materialize(
-        buckets.join(linked, F.col("node") == F.col("member"), "left")
-        .select("band", "node", "size", F.coalesce("component", "node").alias("component")), "placed")
-    # The rest of each bucket: everything outside its largest component meets all others.
-    open_ = placed.groupBy("band").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("band")
-    left = materialize(placed.join(open_, "band", "left_semi"), "unlinked")
-    largest = left.groupBy("band", "component").agg(F.count("*").alias("n")).groupBy("band").agg(
-        F.max_by("component", F.struct("n", "component")).alias("main"))
-    rest = salted_join(left, largest, "band", spread=["node"]).where("component <> main").select(
-        "band", F.col("node").alias("r_node"), F.col("size").alias("r_size"), F.col("component").alias("r_component"))
-    pairs = left.join(rest, "band").where(
-        (F.col("component") != F.col("r_component")) & fits(F.col("size"), F.col("r_size")))
-    found = _exact(pairs.select(F.least("node", "r_node").alias("a"), F.greatest("node", "r_node").alias("b")), sets, jaccard)
-    return components(edges.unionByName(found), "a", "b").withColumnRenamed("node", "member")
+    places = nodes.select(F.posexplode("tokens").alias("place", "token"), "node", "size")
+    shared = materialize(places.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "shared")
+    rows = materialize(salted_join(places, shared, "token", "left_semi", ["node"]), "places")
+    least = rows.groupBy("token").agg(F.min("size").alias("least"))
+    other = F.greatest(F.col("least"), F.ceil(F.col("size") * F.lit(jaccard) - 1e-9))
+    need = F.ceil((F.col("size") + other) * F.lit(jaccard / (1 + jaccard)) - 1e-9)
+    fits = salted_join(rows, materialize(least, "least"), "token", spread=["node"]).where(F.col("size") - F.col("place") >= need)
+    return materialize(fits.select("token", "node", "size", "place"), "fitting")
+
+
+def _open(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
+    """``rows`` with the component of each node, of tokens whose nodes are in more than one."""
+    if linked is None:
+        placed = rows.withColumn("component", F.col("node"))
+    else:
+        placed = rows.join(linked, F.col("node") == F.col("member"), "left").select(*rows.columns, F.coalesce("component", "node").alias("component"))
+    placed = materialize(placed, "placed")
+    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
+    return materialize(salted_join(placed, materialize(several, "several"), "token", "left_semi", ["node"]), "open")
+
+
+def link_sets(rows: DataFrame, sets: DataFrame, jaccard: float, rounds: int = ROUNDS) -> DataFrame:
+    """(member, component) of all nodes linked by exact Jaccard >= ``jaccard``.
+
+    ``rows`` are those of ``shared_places``, ``sets`` has (node, shingles) of their nodes. In each round a node is compared with one other, the first by a random order among those it shares a token
+    with; groups of near copies so become components for one pair a node. Then all pairs that share a token
+    at places that allow it and are still in different components are compared, so that no link between
+    components is lost.
+    """
+    named = lambda: [F.col(c).alias(f"l_{c}") for c in ("node", "size", "place", "component")]
+    fits = _may_be_similar(F.col("size"), F.col("place"), F.col("l_size"), F.col("l_place"), jaccard) & (F.col("component") != F.col("l_component"))
+    edges, linked = None, None
+    for k in range(rounds + 1):
+        left = _open(rows, linked)
+        if k < rounds:
+            turn = F.xxhash64("node", F.lit(k))
+            lead = left.groupBy("token").agg(F.min_by(F.struct("node", "size", "place", "component"), F.struct(turn, "node")).alias("l")).select(
+                "token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size", "place", "component")])
+            met = salted_join(left, materialize(lead, "lead"), "token", spread=["node"]).where(fits)
+            pairs = met.groupBy("node").agg(F.min_by("l_node", F.struct(F.xxhash64("l_node", F.lit(k)), "l_node")).alias("l_node"))
+        else:
+            # Everything outside a token's largest component meets all others.
+            largest = left.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+                F.max_by("component", F.struct("n", "component")).alias("main"))
+            rest = salted_join(left, materialize(largest, "largest"), "token", spread=["node"]).where("component <> main").select("token", *named())
+            # A pair that is outside on both sides is met from both; once is enough.
+            pairs = left.join(materialize(rest, "rest"), "token").where(fits).select("node", "l_node")
+        pairs = materialize(pairs.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct(), "pairs")
+        wanted = sets
+        if k:
+            # Later rounds compare few nodes.
+            ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+            wanted = materialize(sets.join(ends, "node", "left_semi"), "sets")
+        found = materialize(_exact(pairs, wanted, jaccard), "links")
+        edges = found if edges is None else materialize(edges.unionByName(found).distinct(), "edges")
+        linked = materialize(components(edges, "a", "b").withColumnRenamed("node", "member"), "linked")
+    return linked
 
 
 def _placed(docs: DataFrame, shingle: int, jaccard: float) -> DataFrame:
     """(doc_id, text_key, component) for every row of ``docs``; text_key is the hash of the text."""
-    made = materialize(sketches(docs, shingle), "sketches")
-    bands = made.groupBy("node", "size").agg(F.first("bands").alias("bands")).select("node", "size", F.explode("bands").alias("band"))
-    shared = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1").select("band")
-    buckets = materialize(bands.join(shared, "band", "left_semi"), "buckets")
-    # One text of each node that shares a bucket.
-    source = made.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("r")).select(F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key"))
+    made = materialize(prefixes(docs, shingle, jaccard, frequencies(docs, shingle)), "prefixes")
+    nodes = materialize(made.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens")), "nodes")
+    rows = shared_places(nodes, jaccard)
+    # One text of each node that may have a similar one.
+    source = materialize(made.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
+        F.min(F.struct("doc_id", "text_key")).alias("r")).select(F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key")), "source")
     same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
     texts = docs.select("doc_id", "text").join(source, same, "left_semi").dropDuplicates(["doc_id", "text"])
     sets = materialize(shingle_sets(texts, shingle), "sets")
-    linked = materialize(link_sets(buckets, sets, jaccard), "linked")
+    linked = link_sets(rows, sets, jaccard)
     return made.join(linked, F.col("node") == F.col("member"), "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("component"))
 
@@ -419,9 +496,7 @@ def keep_one(docs: DataFrame, shingle: int = KEEP_SHINGLE, jaccard: float = KEEP
     """``docs`` with one row of each component, columns as they were.
 
     Texts are linked if the Jaccard similarity of their sets of ``shingle`` words is ``jaccard`` or
-    more, computed from the sets. Pairs to compare come from ``BANDS`` buckets of ``BAND_ROWS``
-    smallest hashes each: at 0.8 a pair shares a bucket but for one case in 20 million, whatever
-    way the texts differ.
+    more, computed from the sets; every such pair is found, or its ends are connected by others.
 
     Rows are told apart by doc_id and text, so a repeated or null doc_id says nothing about other
     texts. The row of the smallest doc_id stays (null last), then that of the smallest text key;
