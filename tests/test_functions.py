@@ -36,7 +36,7 @@ def test_mentions(spark, text, want):
     ("see http://a.b/c?d=1#e, then (https://x.org/y).", ["http://a.b/c?d=1#e", "https://x.org/y"]),
     ("www.site.test and example.com/path; mail me@example.com", ["www.site.test", "example.com/path"]),
     ("end.The start, version 1.2.3", []), ("http://localhost:80/x", ["http://localhost:80/x"]),
-    ("example.community example.com", ["example.com"]), ("", []),
+    ("example.nosuchlabel example.com example.community", ["example.com", "example.community"]), ("", []),
     ("HTTP://U.EXAMPLE/ÀB", ["HTTP://U.EXAMPLE/ÀB"]),
 ])
 def test_urls(spark, text, want):

@@ -292,25 +292,31 @@ def _(v: Views) -> DataFrame:
     return op.resolve_edge_ids(edges, nodes)
 
 
-@query("build_drug_graph", with_views("studies", rf"""
+@query("build_drug_graph", with_views("studies all_studies", rf"""
     , words AS (
         SELECT lower(p_name) AS name, arg_max(lower(p_brand), p_partkey) AS brand,
                lower(regexp_extract(p_name, '\S+$')) AS noun FROM part GROUP BY p_name),
     known AS (SELECT name AS drug, unnest([brand, noun]) AS synonym FROM words),
-    terms AS (SELECT 'Drug' AS label, name FROM words
-              UNION SELECT 'Synonym', synonym FROM known WHERE synonym <> drug),
-    texts AS (SELECT DISTINCT intervention FROM studies),
+    synonyms AS (SELECT * FROM known WHERE synonym <> drug AND length(synonym) >= 3),
+    terms AS (SELECT 'Drug' AS label, name FROM words UNION SELECT 'Synonym', synonym FROM synonyms),
+    texts AS (SELECT DISTINCT intervention FROM all_studies),
     found AS (SELECT label, name, intervention FROM terms
               JOIN texts ON {guard('name', 'lower(intervention)')})
-    SELECT 'KNOWN_AS' AS rel, 'Drug' AS src_label, drug AS src, 'Synonym' AS dst_label, synonym AS dst
-    FROM known WHERE synonym <> drug AND length(synonym) >= 3
+    SELECT 'edge' AS kind, 'KNOWN_AS' AS rel, 'Drug' AS src_label, drug AS src, 'Synonym' AS dst_label, synonym AS dst FROM synonyms
     UNION
-    SELECT 'APPEARED_IN', label, name, 'Study', trial_id
-    FROM found JOIN studies USING (intervention)
+    SELECT 'edge', 'APPEARED_IN', label, name, 'Study', trial_id FROM found JOIN all_studies USING (intervention)
     UNION
-    SELECT 'POINTS_AT', 'Url', study_url, 'Study', trial_id FROM studies"""))
+    SELECT 'edge', 'POINTS_AT', 'Url', study_url, 'Study', trial_id FROM all_studies
+    UNION
+    SELECT 'node', NULL, label, name, NULL, NULL FROM (
+        SELECT * FROM terms UNION SELECT 'Study', trial_id FROM all_studies UNION SELECT 'Url', study_url FROM all_studies)"""))
 def _(v: Views) -> DataFrame:
-    return plans.build_drug_graph(v.drug_words(), v.trials())[1]
+    """Vocabulary, national and international studies as nodes and edges."""
+    nodes, edges = plans.build_drug_graph(v.drug_words(), v.trials(), v.intl())
+    none = F.lit(None).cast("string")
+    named = nodes.select(F.lit("node").alias("kind"), none.alias("rel"), F.col("label").alias("src_label"), F.col("name").alias("src"),
+                         none.alias("dst_label"), none.alias("dst"))
+    return edges.select(F.lit("edge").alias("kind"), "rel", "src_label", "src", "dst_label", "dst").unionByName(named)
 
 
 @query("build_social_graph", with_views("posts mentions", """

@@ -6,34 +6,69 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import operators as op
-from .. import plans
+from .. import plans, sources
 from .registry import query
 from .views import NON_WORD, Views, filled, whole, with_views
 
 PHRASES = ["the", "that", "avec", "de les", "Und", "privacy policy"]
 WORDS = ["license", "mail", "Ther"]
 
-_SINCE, _UNTIL = "2024-01-05 01:30:00", "2024-01-20 00:00:00"
+_SINCE, _UNTIL = "2023-11-14 22:20:00", "2023-11-15 06:05:00"
+_TERMS = ["the", "What is", "you", "answer"]
+_FOUND = " OR ".join(f"regexp_matches(lower(full_text), '(^|{NON_WORD}){t.lower()}($|{NON_WORD})')" for t in _TERMS)
+# Posts of the span that hold a phrase, with their ten-minute window in seconds.
+_HITS = with_views("timed_posts", f"""
+    , hits AS (
+        SELECT id, full_text, CAST(epoch(TIMESTAMP '{_SINCE}') AS BIGINT) + (s - CAST(epoch(TIMESTAMP '{_SINCE}') AS BIGINT)) // 600 * 600 AS t0
+        FROM timed_posts WHERE s >= CAST(epoch(TIMESTAMP '{_SINCE}') AS BIGINT) AND ({_FOUND})),
+    inside AS (SELECT * FROM hits WHERE t0 < CAST(epoch(TIMESTAMP '{_UNTIL}') AS BIGINT))""")
 
 
-@query("search_time_range", with_views("hyd", f"""
-    SELECT event_id AS id, event_type, t0 AS t0_us, t0 + 21600000000 AS t1_us FROM (
-        SELECT event_id, event_type, epoch_us(TIMESTAMP '{_SINCE}')
-                 + ((epoch_us(ts) - epoch_us(TIMESTAMP '{_SINCE}')) // 21600000000) * 21600000000 AS t0
-        FROM events
-        WHERE ts >= TIMESTAMP '{_SINCE}' AND event_type IN ('click', 'error', 'view'))
-    WHERE t0 < epoch_us(TIMESTAMP '{_UNTIL}')
-      AND event_id NOT IN (SELECT id FROM hyd WHERE hydrated = 'FULL')"""))
+def _stored_posts(v: Views) -> DataFrame:
+    return v.timed_posts().select("id", F.when(F.col("id") % 3 == 0, "FULL").otherwise("PARTIAL").alias("hydrated"))
+
+
+def _found(rows: DataFrame) -> DataFrame:
+    return rows.select("id", F.md5("full_text").alias("text_md5"), F.unix_seconds("t0").alias("t0_s"), F.unix_seconds("t1").alias("t1_s"))
+
+
+@query("search_time_range", _HITS + """
+    SELECT id, md5(full_text) AS text_md5, CAST(t0 AS BIGINT) AS t0_s, CAST(t0 + 600 AS BIGINT) AS t1_s FROM inside WHERE id % 3 <> 0""")
 def search(v: Views) -> DataFrame:
-    """Posts of some kinds in a time span, by six-hour window, not yet stored in full."""
-    rows = v.ev().select(F.col("event_id").alias("id"), "ts", "event_type")
-    found = plans.search_time_range(
-        rows, "ts", "event_type", ["Click", "error", "view"], _SINCE, _UNTIL, "6 hours",
-        store=v.stored(), order_cols=["ts"],
-    )
-    return found.select(
-        "id", "event_type", F.unix_micros("t0").alias("t0_us"), F.unix_micros("t1").alias("t1_us")
-    )
+    """Posts of a time span that hold a phrase, by ten-minute window, not yet stored in full."""
+    return _found(plans.search_time_range(
+        v.timed_posts(), "ts", "full_text", _TERMS, _SINCE, _UNTIL, "10 minutes", store=_stored_posts(v), order_cols=["ts"]))
+
+
+_LIMITED = """
+    , counts AS (SELECT t0, sum(count(*)) OVER (ORDER BY t0) - count(*) AS before FROM inside GROUP BY t0),
+    kept AS (SELECT inside.* FROM inside JOIN counts USING (t0) WHERE before < 60)"""
+
+
+@query("search_time_range_limited", _HITS + _LIMITED + """
+    SELECT id, md5(full_text) AS text_md5, CAST(t0 AS BIGINT) AS t0_s, CAST(t0 + 600 AS BIGINT) AS t1_s FROM kept""")
+def _(v: Views) -> DataFrame:
+    """The first windows that hold 60 posts together."""
+    return _found(plans.search_time_range(
+        v.timed_posts(), "ts", "full_text", _TERMS, _SINCE, _UNTIL, "10 minutes", limit=60))
+
+
+@query("search_to_archive", _HITS + """
+    , u AS (SELECT id % 1000 AS user_id FROM inside WHERE id % 3 <> 0)
+    SELECT 'post' AS kind, strftime(make_timestamp(CAST(t0 * 1000000 AS BIGINT)), '%Y-%m-%d-%H') AS ingest_hour, id FROM inside WHERE id % 3 <> 0
+    UNION ALL SELECT DISTINCT 'profile', NULL, user_id FROM u WHERE user_id % 2 = 1""")
+def _(v: Views) -> DataFrame:
+    """The search written to the hourly archive by window, with the profiles of users not enriched before; run twice."""
+    archive = sources.HourlyArchive(v.spark, v.new_path("archive"))
+    author = lambda c: F.col(c) % 1000
+    posts = v.timed_posts().withColumn("username", F.concat(F.lit("u"), author("id")))
+    profiles = posts.select(author("id").alias("id"), "username").distinct()
+    for _ in range(2):
+        new = plans.search_to_archive(
+            posts, "ts", "full_text", _TERMS, _SINCE, _UNTIL, archive, "span", profiles.where("id % 2 = 0"), profiles, "10 minutes",
+            store=_stored_posts(v), order_cols=["ts"])
+    rows = archive.read("id bigint").select(F.lit("post").alias("kind"), "ingest_hour", "id")
+    return rows.unionByName(new.select(F.lit("profile").alias("kind"), F.lit(None).cast("string").alias("ingest_hour"), "id"))
 
 
 def _phrase_sql(p: str) -> str:

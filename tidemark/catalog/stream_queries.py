@@ -24,9 +24,15 @@ _HITS_SQL = """
     SELECT (epoch_us(ts) // {us}) * {us} AS t0_us, count(*) AS hits FROM events {where} GROUP BY 1"""
 
 
-@query("live_window_search", _HITS_SQL.format(us=30_000_000, where="WHERE event_type IN ('click', 'view')"))
+_PHRASES = ("the", "you", "is")
+_MATCHED = " OR ".join(f"regexp_matches(lower(full_text), '(^|[^\\p{{L}}\\p{{N}}_]){p}($|[^\\p{{L}}\\p{{N}}_])')" for p in _PHRASES)
+
+
+@query("live_window_search", with_views("timed_posts", f"""
+    SELECT s // 30 * 30 * 1000000 AS t0_us, count(*) AS hits FROM timed_posts WHERE {_MATCHED} GROUP BY 1"""))
 def _(v: Views) -> DataFrame:
-    hits = streaming.live_window_search(v.ev_stream(), "ts", "event_type", ["click", "view"])
+    """Posts that hold a phrase, by half minute."""
+    hits = streaming.live_window_search(v.timed_posts(v.stream("conversations")), "ts", "full_text", _PHRASES)
     return _to_table(v, hits, "complete").select(F.unix_micros("t0").alias("t0_us"), "hits")
 
 
@@ -123,10 +129,6 @@ def _(v: Views) -> DataFrame:
     return v.spark.read.parquet(path).groupBy("event_type", "flush_no", "reason").agg(F.countDistinct("event_id").alias("size"))
 
 
-_PHRASES = ("the", "you", "is")
-_MATCHED = " OR ".join(f"regexp_matches(lower(full_text), '(^|[^\\p{{L}}\\p{{N}}_]){p}($|[^\\p{{L}}\\p{{N}}_])')" for p in _PHRASES)
-
-
 @query("windows_and_late_rows", with_views("timed_posts", f"""
     , m AS (SELECT *, s // 30 * 30 AS t0, id % 1000 <= 2 AS early FROM timed_posts WHERE {_MATCHED}),
     w AS (SELECT max(s) FILTER (early) - 60 AS first, max(s) - 60 AS last FROM m),

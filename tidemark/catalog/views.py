@@ -184,6 +184,14 @@ class Views:
             F.lit(2).cast("bigint").alias("NStudiesFound"), both.alias("FullStudies")
         ).alias("FullStudiesResponse"))
 
+    def intl(self) -> DataFrame:
+        """Every fourth order as a study of an international list; every twelfth under the id of a national one."""
+        parts = self.table("part").select(F.col("p_partkey").alias("o_custkey"), "p_name", "p_type")
+        prefix = F.when(F.col("o_orderkey") % 3 == 0, "NCT").otherwise("ISRCTN")
+        return self.table("orders").where(F.col("o_orderkey") % 4 == 0).join(parts, "o_custkey", "left").select(
+            F.concat(prefix, "o_orderkey").alias("trial_id"), F.concat(F.lit("https://list/"), "o_orderkey").alias("study_url"),
+            F.concat_ws(" and ", "p_type", "p_name").alias("intervention"), F.col("o_orderstatus").alias("countries"))
+
     def drug_words(self) -> DataFrame:
         """Parts as a vocabulary: the name, and its noun, brand and type as synonyms."""
         return self.table("part").select(
@@ -263,6 +271,11 @@ CTE = {
         UNION ALL
         SELECT 'NCX' || o_orderkey, 'https://clinicaltrials.gov/show/NCX' || o_orderkey, '', '', '',
                'Brief ' || o_orderpriority FROM orders)""",
+    "all_studies": """all_studies AS (
+        SELECT trial_id, study_url, intervention FROM studies
+        UNION ALL
+        SELECT 'ISRCTN' || o_orderkey, 'https://list/' || o_orderkey, concat_ws(' and ', p_type, p_name)
+        FROM orders LEFT JOIN part ON o_custkey = p_partkey WHERE o_orderkey % 4 = 0 AND o_orderkey % 3 <> 0)""",
     "page_parts": r"""page_parts AS (
         SELECT *, lower(raw_scheme) AS scheme, regexp_extract(netloc, '^(.*)@', 1) AS userinfo,
                regexp_replace(netloc, '^.*@', '') AS address

@@ -20,11 +20,14 @@ MENTION_PATTERN = r"@[\p{L}\p{N}_]+"
 GENERIC_TLDS = tuple(
     t for t in (Path(__file__).parent / "tlds.txt").read_text(encoding="utf-8").splitlines() if t and not t.startswith("#"))
 _TAIL = r"[^\s<>\"'()\[\]{}]"
-URL_PATTERN = (
+_ASCII_URL_PATTERN = (
     rf"(?i)(?:https?://|www\.){_TAIL}+"
     rf"|(?:[a-z0-9._%+-]+@)?(?:[a-z0-9-]+\.)+(?:xn--[a-z0-9-]+|[a-z]{{2,}})(?:[/?#:]{_TAIL}*)?"
+)
+URL_PATTERN = (
+    _ASCII_URL_PATTERN
     # Last labels outside ASCII.
-    rf"|(?:[\p{{L}}\p{{N}}._%+-]+@)?(?:[\p{{L}}\p{{M}}\p{{N}}-]+\.)+(?:(?![\x00-\x7f])[\p{{L}}\p{{M}}]){{2,}}(?:[/?#:]{_TAIL}*)?"
+    + rf"|(?:[\p{{L}}\p{{N}}._%+-]+@)?(?:[\p{{L}}\p{{M}}\p{{N}}-]+\.)+(?:(?![\x00-\x7f])[\p{{L}}\p{{M}}]){{2,}}(?:[/?#:]{_TAIL}*)?"
 )
 
 URL_BREAKS = r"[\s<>\"'()\[\]{}]+"
@@ -49,15 +52,17 @@ def extract_urls(c: Column, tlds: Sequence[str] = GENERIC_TLDS) -> Column:
 
     A bare host counts by its last label: any two letters, or one of ``tlds``.
 
-    A link never spans blanks, quotes or brackets, so only the pieces between them that hold a dot
-    or ``://`` meet the long expression.
+    A link never spans blanks, quotes or brackets, so only the pieces between them that hold ``://``, or
+    a dot before their last sign, meet the long expression; and only those outside ASCII its last part.
     """
     pieces = F.filter(
-        F.split(c, URL_BREAKS), lambda t: t.contains(".") | t.contains("://")
-    )
-    found = F.flatten(
-        F.transform(pieces, lambda t: F.regexp_extract_all(t, F.lit(URL_PATTERN), F.lit(0)))
+        F.split(c, URL_BREAKS),
+        lambda t: ((F.instr(t, ".") > 0) & (F.instr(t, ".") < F.length(t))) | t.contains("://")
     )
+    wide = lambda t: F.octet_length(t) > F.length(t)
+    found = F.flatten(F.transform(pieces, lambda t: F.when(
+        wide(t), F.regexp_extract_all(t, F.lit(URL_PATTERN), F.lit(0))
+    ).otherwise(F.regexp_extract_all(t, F.lit(_ASCII_URL_PATTERN), F.lit(0)))))
     trimmed = F.transform(found, lambda u: F.regexp_replace(u, URL_TRAILING, ""))
     return F.filter(trimmed, lambda u: _accept(u, tlds))
 

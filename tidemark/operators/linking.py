@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,9 +10,8 @@ from ..session import materialize
 from .scale import lookup_join
 
 _RUN = rf"{WORD_CHAR}+|{NON_WORD_CHAR}+"
-_CUT = "\u0001"
-# Terms are looked up by up to this many neighbouring runs: word, gap, word.
-MAX_KEY_RUNS = 3
+# Windows of up to so many runs are put together run by run, longer ones from a slice.
+UNROLLED = 8
 
 
 def _runs(c: Column) -> Column:
@@ -22,41 +19,12 @@ def _runs(c: Column) -> Column:
     return F.regexp_extract_all(c, F.lit(_RUN), F.lit(0))
 
 
-def _joined(runs: Column) -> Column:
-    """Runs with a mark on both sides of each: a contiguous run sequence is a substring."""
-    return F.concat(F.lit(_CUT), F.array_join(runs, _CUT), F.lit(_CUT))
-
-
-def _keys(runs: Column, n: int) -> Column:
-    """All sequences of ``n`` neighbouring runs."""
-    if n == 1:
-        return runs
-    joined = F.transform(
-        runs, lambda r, i: F.concat_ws(_CUT, r, *[F.get(runs, i + k) for k in range(1, n)])
-    )
-    # The last n - 1 runs have no full sequence after them.
-    return F.slice(joined, F.lit(1), F.greatest(F.size(runs) - F.lit(n - 1), F.lit(0)))
-
-
-def _lookup(terms: DataFrame, term: str, sizes: Sequence[int]) -> DataFrame:
-    """One key per term: all its runs if they are few, otherwise the sequence fewest terms share, so
-    that common words do not pull in every term. Longer terms carry their whole run sequence."""
-    keys = F.lit(None).cast("array<string>")
-    for n in sizes:
-        fits = F.size("_runs") == n if n < MAX_KEY_RUNS else F.size("_runs") >= n
-        keys = F.when(fits, _keys(F.col("_runs"), n)).otherwise(keys)
-    pieces = terms.select(term, F.explode(keys).alias("_key"))
-    shared = pieces.groupBy("_key").agg(F.count("*").alias("_shared"))
-    chosen = pieces.join(shared, "_key").groupBy(term).agg(
-        F.min_by("_key", F.struct("_shared", "_key")).alias("_key")
-    )
-    needle = F.when(F.size("_runs") > MAX_KEY_RUNS, _joined(F.col("_runs")))
-    return terms.select(term, needle.alias("_needle")).join(chosen, term)
-
-
 def _inner_runs(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """Runs of each text, without blanks and punctuation at either end: no whole-word match touches
-    those, because a boundary needs a word character on one side."""
+    """Runs of each text from its first to its last word: words at even places, what stands between at odd ones.
+
+    No whole-word match touches blanks and punctuation at either end, because a boundary needs a word
+    character on one side.
+    """
     runs, edge = F.col("_all"), f"^{NON_WORD_CHAR}"
     first = F.when(F.get(runs, F.lit(0)).rlike(edge), 1).otherwise(0)
     last = F.when(F.try_element_at(runs, F.lit(-1)).rlike(edge), 1).otherwise(0)
@@ -64,54 +32,51 @@ def _inner_runs(texts: DataFrame, key: str, text: str) -> DataFrame:
     return texts.select(key, _runs(F.lower(F.col(text))).alias("_all")).select(key, inner.alias("_runs"))
 
 
+def _windows(runs: Column, n: int, first: int) -> Column:
+    """The text of all ``n`` neighbouring runs that begin at every second place from ``first``."""
+    if n <= UNROLLED:
+        joined = lambda i: F.concat(*[F.get(runs, i + k) for k in range(n)])
+    else:
+        joined = lambda i: F.array_join(F.slice(runs, i + 1, F.lit(n)), "")
+    last = F.size(runs) - F.lit(n)
+    places = F.sequence(F.lit(first), last, F.lit(2))
+    return F.when(last >= first, F.transform(places, joined)).otherwise(F.array().cast("array<string>"))
+
+
+def _dealt(texts: DataFrame) -> DataFrame:
+    """Texts that lie in fewer files than there are cores are dealt to all of them first."""
+    cores = texts.sparkSession.sparkContext.defaultParallelism
+    return texts.repartition(cores) if len(texts.inputFiles()) < cores else texts
+
+
 def word_boundary_link(
     terms: DataFrame, texts: DataFrame, term: str, key: str, text: str
 ) -> DataFrame:
     """Distinct ``(term, key)`` where the lower-cased term occurs between word boundaries.
 
-    A whole-word match means that the term's runs of word and non-word characters appear next to
-    each other among the runs of the text. So terms are looked up by one to three neighbouring
-    runs: an equi-join of exploded runs, with no pairwise comparison. That is exact for terms of up
-    to three runs (such as two words); longer ones are then checked against the whole text of
-    their few candidates. ``key`` identifies a text.
+    A whole-word match means that the term's runs of word and non-word characters appear next to each
+    other among the runs of the text. So a term of n runs is equal to a window of n runs: for every
+    length that occurs among the terms, a text gives its windows of that length, beginning with a word
+    or not as the terms do, and all of them meet the terms in one equi-join on the term itself. Each
+    text is read once, nothing is compared pairwise or looked up again, and the join decides exactly,
+    for terms of any length. ``key`` identifies a text.
     """
     t = materialize(
-        terms.select(F.lower(F.col(term)).alias(term)).where(F.length(term) > 0).distinct()
-        .withColumn("_runs", _runs(F.col(term))),
-        "terms",
-    )
-    # At most eight rows: which key lengths occur, with words or punctuation first.
+        terms.select(F.lower(F.col(term)).alias(term)).where(F.length(term) > 0).distinct(), "terms")
+    # One row for each length of a term, with words or punctuation first.
     shape = t.select(
-        F.least(F.size("_runs"), F.lit(MAX_KEY_RUNS + 1)).alias("n"), F.col(term).rlike(f"^{WORD_CHAR}").alias("word")
+        F.size(_runs(F.col(term))).alias("n"), F.col(term).rlike(f"^{WORD_CHAR}").alias("word")
     ).distinct().collect()
     if not shape:
         return t.select(term).join(texts.select(key).where(F.lit(False)), F.lit(False))
-
+    texts = _dealt(texts.select(key, text))
     if {(r.n, r.word) for r in shape} == {(1, True)}:
         # Single words: the gaps between the words of a text are of no use.
-        words = F.split(F.lower(F.col(text)), f"{NON_WORD_CHAR}+")
-        pieces = texts.select(key, F.explode(F.array_distinct(words)).alias("_key"))
-        return lookup_join(pieces, t.select(term, F.col(term).alias("_key")), "_key", spread=[key]).select(term, key)
-
-    lengths = {r.n for r in shape}
-    lookup = materialize(_lookup(t, term, sorted({min(n, MAX_KEY_RUNS) for n in lengths})), "lookup")
-    inner = _inner_runs(texts, key, text)
-
-    def hits(table: DataFrame, sizes: Sequence[int]) -> DataFrame:
-        """Texts that hold a key; only sequences of the lengths in the table are built."""
-        keys = F.concat(*[_keys(F.col("_runs"), n) for n in sizes])
-        pieces = inner.select(key, F.explode(F.array_distinct(keys)).alias("_key"))
-        return lookup_join(pieces, table, "_key", spread=[key])
-
-    # One key per term and each key once per text, so no branch repeats a pair.
-    links = []
-    few = sorted(n for n in lengths if n <= MAX_KEY_RUNS)
-    if few:
-        links.append(hits(lookup.where(F.col("_needle").isNull()), few).select(term, key))
-    if max(lengths) > MAX_KEY_RUNS:
-        candidates = hits(lookup.where(F.col("_needle").isNotNull()), [MAX_KEY_RUNS])
-        whole = inner.select(key, _joined(F.col("_runs")).alias("_text"))
-        links.append(
-            candidates.join(whole, key).where(F.col("_text").contains(F.col("_needle"))).select(term, key)
-        )
-    return links[0] if len(links) == 1 else links[0].unionByName(links[1])
+        pieces = texts.select(key, F.explode(F.array_distinct(F.split(F.lower(F.col(text)), f"{NON_WORD_CHAR}+"))).alias(term))
+    else:
+        runs = F.col("_runs")
+        windows = [_windows(runs, r.n, 0 if r.word else 1) for r in sorted(shape)]
+        # Windows of different lengths or beginnings are different texts.
+        every = F.concat(*[F.array_distinct(w) for w in windows])
+        pieces = _inner_runs(texts, key, text).select(key, F.explode(every).alias(term))
+    return lookup_join(pieces, t, term, spread=[key]).select(term, key)

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import NON_WORD_CHAR
+from ..session import materialize
 from .linking import word_boundary_link
 from .scale import lookup_join, running_before
 
@@ -43,7 +44,7 @@ def tag_topics(df: DataFrame, key: str, text: str, topics: DataFrame) -> DataFra
     ``topics`` has columns topic and phrase. The list per post is bounded by the topics.
     """
     links = word_boundary_link(topics.select("phrase"), df, "phrase", key, text)
-    by_phrase = topics.select(F.lower("phrase").alias("phrase"), "topic").distinct()
+    by_phrase = materialize(topics.select(F.lower("phrase").alias("phrase"), "topic").distinct(), "phrases")
     return (
         lookup_join(links, by_phrase, "phrase", spread=[key])
         .groupBy(key)

@@ -53,9 +53,9 @@ def build_drug_graph(
         )
 
     # Each link carries the label of its term, so the label travels with the look-up table.
-    labelled = drugs.unionAll(synonym_nodes).distinct().groupBy("name").agg(
+    labelled = materialize(drugs.unionAll(synonym_nodes).distinct().groupBy("name").agg(
         F.array_sort(F.collect_set("label")).alias("labels")
-    )
+    ), "labelled")
     links = word_boundary_link(labelled, studies, "name", "trial_id", "intervention")
     typed = lookup_join(links, labelled, "name", spread=["trial_id"]).select(
         F.explode("labels").alias("term_label"), "name", "trial_id"

@@ -16,11 +16,12 @@ from ..operators.graph import (
     edges_includes, edges_mentioned, resolve_relationships, stub_tweets, target_id, target_rel, upsert_accounts,
     upsert_mentioned_accounts, upsert_tweets, upsert_urls,
 )
-from ..operators.hydration import needs_hydration, tweet_hydration_status
+from ..operators.hydration import needs_hydration, tweet_hydration_status, unseen_users
 from ..operators.search import match_any_phrase, stride_windows, stride_windows_limited
 from ..operators.status import classify_graph_type, normalize_status
 from ..schemas import STATUS_SCHEMA
 from ..session import materialize
+from ..sources.archive import HourlyArchive
 from ..sources.buckets import BucketStore
 
 
@@ -41,6 +42,26 @@ def search_time_range(
     return hits if store is None else needs_hydration(hits, store, key, order_cols)
 
 
+def search_to_archive(
+    df: DataFrame, ts: str, text: str, terms: Sequence[str], since: str | dt.datetime, until: str | dt.datetime,
+    archive: HourlyArchive, job_name: str, enriched: DataFrame, profiles: DataFrame, stride: str | int = 600,
+    limit: int | None = None, store: DataFrame | None = None, key: str = "id", order_cols: Sequence[str] = (),
+    user: str = "username",
+) -> DataFrame:
+    """A windowed search that keeps what it finds: posts go to the hourly archive by the hour of their window,
+    and the profiles of users not in ``enriched`` are returned, each once.
+
+    The archive knows the search by job and span, so the same search adds nothing a second time; profiles
+    are those of the posts it found then.
+    """
+    span = f"{job_name}-{since}-{until}"
+    if not archive.committed(span, 0):
+        hits = search_time_range(df, ts, text, terms, since, until, stride, limit, store, key, order_cols)
+        archive.add(hits.withColumn("ingest_hour", F.date_format("t0", "yyyy-MM-dd-HH")), span, 0, span)
+    found = archive.read(df.schema, job_name=span)
+    return unseen_users(found, enriched, profiles, user, key)
+
+
 def to_archive(posts: DataFrame) -> DataFrame:
     """Incoming posts to the fixed archive columns."""
     ready = posts.transform(drop_columns).transform(fill_expected_columns)
