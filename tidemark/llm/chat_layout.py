@@ -26,6 +26,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import fresh
+
 JOINER = "⁠"
 # Fixed control strings after their first character, as a pattern.
 _TAILS = r"(\||/?s>|/?INST\]|/?<?/?SYS>>)"
@@ -127,13 +129,14 @@ def canonical_turns(
 
     The few declared fingerprints are computed once per plan as constants.
     """
-    df = df.withColumn("_record", record).withColumn("fingerprint", fingerprint(field_paths(F.col("_record"))))
+    held = fresh(df, "record")
+    df = df.withColumn(held, record).withColumn("fingerprint", fingerprint(field_paths(F.col(held))))
     turns = F.lit(None).cast(TURNS)
     for m in mappings:
-        built = F.transform(m.turns(F.col("_record")), lambda t: F.struct(
+        built = F.transform(m.turns(F.col(held)), lambda t: F.struct(
             F.coalesce(t["role"], F.lit("")).alias("role"), F.coalesce(t["text"], F.lit("")).alias("text")))
         turns = F.when(F.col("fingerprint") == fingerprint(F.lit(m.paths)), built).otherwise(turns)
-    return df.withColumn(out, turns).drop("_record")
+    return df.withColumn(out, turns).drop(held)
 
 
 def format_conversations(turns: DataFrame, conv: str = "conv_id", turn: str = "turn") -> DataFrame:
@@ -164,12 +167,13 @@ def read_conversations(formatted: DataFrame, text: str = "formatted", mask: str
     """Adds what the formatted text says: ``turns`` (TURNS) and ``loss_text`` (unescaped)."""
     marked = F.split(F.col(text), r"<\|turn\|>", -1)
     # Before the first mark stands nothing; every other piece is role, text mark, text, end mark.
-    df = formatted.withColumn("_pieces", F.slice(marked, 2, F.size(marked)))
+    held = fresh(formatted, "pieces")
+    df = formatted.withColumn(held, F.slice(marked, 2, F.size(marked)))
     cut = lambda x: F.split(F.substring(x, 1, F.length(x) - len(END)), r"<\|text\|>", 2)
-    df = df.withColumn("turns", F.transform(F.transform("_pieces", cut), lambda p: F.struct(
+    df = df.withColumn("turns", F.transform(F.transform(held, cut), lambda p: F.struct(
         unescape(p[0]).alias("role"), unescape(p[1]).alias("text"))))
     learned = F.transform(
-        F.arrays_zip("_pieces", F.col(mask).alias("m")),
+        F.arrays_zip(F.col(held).alias("p"), F.col(mask).alias("m")),
         lambda z: F.when(z["m"]["length"] > 0, F.substring(
-            F.concat(F.lit(TURN), z["_pieces"]), z["m"]["start"].cast("int") + 1, z["m"]["length"].cast("int"))).otherwise(""))
-    return df.withColumn("loss_text", F.array_join(F.transform(learned, unescape), "")).drop("_pieces")
+            F.concat(F.lit(TURN), z["p"]), z["m"]["start"].cast("int") + 1, z["m"]["length"].cast("int"))).otherwise(""))
+    return df.withColumn("loss_text", F.array_join(F.transform(learned, unescape), "")).drop(held)

@@ -137,9 +137,37 @@ class Vocabulary:
         return np.concatenate([[self.n_documents], self.counts[:self.n_model], self.tail_tokens]).astype(np.float64)
 
 
+def least_count(counts: DataFrame, most: int) -> int:
+    """The smallest count that at most ``most`` words reach; the driver gets a few numbers only.
+
+    Powers of two first, then the counts between two of them in steps, so that no list of counts or words is sorted.
+    """
+    low, high = 1, 1 << 62
+    while low < high:
+        step = max(1, (high - low) // 64)
+        part = F.length(F.bin("c")) - 1 if high == 1 << 62 else F.floor((F.col("c") - low) / step)
+        inside = counts.where((F.col("c") >= low) & (F.col("c") < high)).groupBy(part.cast("long").alias("part")).agg(F.count("*").alias("n"))
+        above = counts.where(F.col("c") >= high).count()
+        bounds = {r["part"]: r["n"] for r in inside.collect()}
+        start = (lambda p: 1 << p) if high == 1 << 62 else (lambda p: low + p * step)
+        reached = None
+        for p in sorted(bounds, reverse=True):
+            if above + bounds[p] > most:
+                reached = p
+                break
+            above += bounds[p]
+        if reached is None:
+            return low
+        low, high = start(reached), min(high, start(reached + 1))
+        if high - low == 1:
+            return high
+    return low
+
+
 def vocabulary(counts: DataFrame, n_documents: int, model_words: int = MODEL_WORDS, frequent: int = FREQUENT) -> Vocabulary:
-    """``counts`` must be a stored table."""
-    top = counts.orderBy(F.desc("c"), "word").limit(frequent).collect()
+    """``counts`` must be a stored table. Frequent words are all words down to the smallest count at which no more than ``frequent`` are left."""
+    least = least_count(counts, frequent)
+    top = sorted(counts.where(F.col("c") >= least).collect(), key=lambda r: (-r["c"], r["word"]))
     words = [r["word"].encode() for r in top]
     model = min(model_words, len(words))
     symbols = set(words[:model])

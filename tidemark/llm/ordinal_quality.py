@@ -143,7 +143,8 @@ def fit(
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(found, pa.list_(pa.int32())), batch.column(2)], names=["h", "places", "grade"])
 
-    chosen = docs.join(sample, docs[key] == F.col("rated_key")).select(F.xxhash64("rated_key").alias("h"), docs[text], "rated_grade")
+    rated = docs.select(F.col(key).alias("own_key"), F.col(text).alias("text")).join(sample, F.col("own_key") == F.col("rated_key"))
+    chosen = rated.select(F.xxhash64("rated_key").alias("h"), "text", "rated_grade")
     got = chosen.mapInArrow(run, "h long, places array<int>, grade int").toArrow()
     rows = [r.values.to_numpy(zero_copy_only=False) for r in got.column("places").combine_chunks()] if len(got) else []
     grades = got.column("grade").to_numpy()

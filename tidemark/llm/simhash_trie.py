@@ -504,9 +504,10 @@ def keep_one(docs: DataFrame, shingle: int = KEEP_SHINGLE, jaccard: float = KEEP
     """
     placed = materialize(_placed(docs, shingle, jaccard), "groups")
     row = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key")
+    of_id, of_key = fresh(docs, "stay_id"), fresh(docs, "stay_key")
     stay = placed.groupBy("component").agg(F.min(row).alias("r"), F.count("*").alias("n")).select(
-        F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key"), "n")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
+        F.col("r.doc_id").alias(of_id), F.col("r.text_key").alias(of_key), "n")
+    same = F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_key))
     alone = docs.join(stay.where("n = 1").drop("n"), same, "left_semi")
     several = docs.join(stay.where("n > 1").drop("n"), same, "left_semi")
     key = fresh(docs, "text_key")

@@ -38,7 +38,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import materialize
+from .shared import fresh, materialize
 
 # Private-use characters: end of a slot's value, and the three kinds of slots.
 CLOSE, NAME, NUMBER, UNIT = "\ue000", "\ue001", "\ue002", "\ue003"
@@ -192,7 +192,8 @@ def find_leaks(
 
 def drop_leaks(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
     """``docs`` without the rows whose text is contaminated by any item; columns as they were."""
+    of_id, of_key = fresh(docs, "leak_id"), fresh(docs, "leak_key")
     found = find_leaks(docs, items, **options).select(
-        F.col("doc_id").alias("_leak_id"), F.col("text_key").alias("_leak_key")).distinct()
+        F.col("doc_id").alias(of_id), F.col("text_key").alias(of_key)).distinct()
     return docs.join(
-        found, F.col("doc_id").eqNullSafe(F.col("_leak_id")) & (F.xxhash64("text") == F.col("_leak_key")), "left_anti")
+        found, F.col("doc_id").eqNullSafe(F.col(of_id)) & (F.xxhash64("text") == F.col(of_key)), "left_anti")

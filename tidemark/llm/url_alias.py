@@ -138,22 +138,23 @@ def judge_urls(
         # 'allow' sorts before 'block': the smallest verdict of the aliases decides.
         .groupBy("component").agg(F.min("verdict").alias("said"))
     )
-    by_node = members.join(spoken, "component").select(F.col("node").alias("k_node"), "said")
-    k = {n: fresh(pages, n) for n in ("k_host", "k_path")}
+    k = {n: fresh(pages, n) for n in ("k_host", "k_path", "k_self", "k_node", "k_said", "x_host", "x_path", "x_rule", "x_verdict")}
+    by_node = members.join(spoken, "component").select(F.col("node").alias(k["k_node"]), F.col("said").alias(k["k_said"]))
+    # Urls without an address have no node of their own and meet no alias: each gets a key that spreads them.
+    own_node = F.coalesce(node_of(F.col(url)), F.concat(F.lit(" "), F.monotonically_increasing_id().cast("string")))
     placed = pages.withColumns({
-        k["k_host"]: host_of(F.col(url)), k["k_path"]: path_of(F.col(url)), fresh(pages, "k_self"): node_of(F.col(url))})
-    self_name = fresh(pages, "k_self")
-    best = ruled.select(F.col("host").alias("x_host"), F.col("path").alias("x_path"),
-                        F.col("rule").alias("x_rule"), F.col("verdict").alias("x_verdict"))
+        k["k_host"]: host_of(F.col(url)), k["k_path"]: path_of(F.col(url)), k["k_self"]: own_node})
+    best = ruled.select(F.col("host").alias(k["x_host"]), F.col("path").alias(k["x_path"]),
+                        F.col("rule").alias(k["x_rule"]), F.col("verdict").alias(k["x_verdict"]))
     out = (
-        placed.join(best, (placed[k["k_host"]] == best["x_host"]) & (placed[k["k_path"]] == best["x_path"]), "left")
-        .join(by_node, F.col(self_name) == F.col("k_node"), "left")
+        placed.join(best, (placed[k["k_host"]] == best[k["x_host"]]) & (placed[k["k_path"]] == best[k["x_path"]]), "left")
+        .join(by_node, F.col(k["k_self"]) == F.col(k["k_node"]), "left")
     )
     kept = [c for c in pages.columns if c.lower() not in ("host", "path", "rule", "verdict", "alias_verdict")]
     return out.select(
         *(placed[c] for c in kept), placed[k["k_host"]].alias("host"), placed[k["k_path"]].alias("path"),
-        F.col("x_rule").alias("rule"),
-        F.coalesce("x_verdict", "said", F.lit("allow")).alias("verdict"), F.col("said").alias("alias_verdict"))
+        F.col(k["x_rule"]).alias("rule"),
+        F.coalesce(k["x_verdict"], k["k_said"], F.lit("allow")).alias("verdict"), F.col(k["k_said"]).alias("alias_verdict"))
 
 
 def rules_table(spark, rules: Sequence[tuple[str, str, str]]) -> DataFrame:
