@@ -86,6 +86,14 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def forget(*tables: DataFrame) -> None:
+    """Remove tables ``materialize`` wrote that nothing reads any more; they must not be used again."""
+    for df in tables:
+        for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+            target = df.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(df.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def work_root(spark: SparkSession) -> str:
     """The folder of this application below the shared one."""
     return f"{checkpoint_root(spark).rstrip('/')}/tidemark-{spark.sparkContext.applicationId}"
