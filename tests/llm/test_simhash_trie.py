@@ -177,9 +177,11 @@ def similar_pairs(sets, jaccard):
 def linked_nodes(spark, sets, rounds):
     """Components that ``link_sets`` gives for sets whose prefixes are in order of their numbers."""
     nodes = [(n, len(s), sorted(s)[:st.prefix_length(len(s), 0.8)]) for n, s in sets.items()]
-    rows = st.shared_places(spark.createDataFrame(nodes, "node long, size int, tokens array<long>"), 0.8)
+    table = spark.createDataFrame(nodes, "node long, size int, tokens array<long>")
+    rows = st.shared_places(table, 0.8)
     made = spark.createDataFrame([(n, sorted(s)) for n, s in sets.items()], "node long, shingles array<long>")
-    return {r["member"]: r["component"] for r in st.link_sets(rows, made, 0.8, rounds).collect()}
+    return {r["member"]: r["component"] for r in st.link_sets(
+        rows, table.select("node", table.tokens.alias("shingles")), lambda ends: made.join(ends, "node", "left_semi"), 0.8, rounds).collect()}
 
 
 @pytest.mark.parametrize("rounds", [0, 2])

@@ -8,10 +8,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import forget, materialize
 from ..session import prepare as prepare_session
 
-__all__ = ["components", "materialize", "prepare", "fresh", "table"]
+__all__ = ["components", "forget", "materialize", "prepare", "fresh", "table"]
 
 
 # Rows and bytes of text that Spark hands to a Python task at once.
@@ -60,7 +60,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     known neighbour; small star: link every smaller neighbour to it) until the edges stop
     changing. Each step is a partial minimum per node and one join to it; the minima are written
     to the shared folder first, so that both inputs of the join are plain exchanges and Spark can
-    split the rows of a very connected node. Nodes without an edge to another node are not
+    split the rows of a very connected node. Tables of a round are removed when the next one is stored. Nodes without an edge to another node are not
     returned. Null ends and self links are ignored.
     """
     state = (
@@ -74,7 +74,7 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while seen[0]:
         both = state.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(
             state.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
-        least = materialize(
+        first = least = materialize(
             both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = (
             both.where(F.col("v") > F.col("u")).join(least, "u")
@@ -89,7 +89,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
             .select(F.col("lo").alias("hi"), F.col("m").alias("lo"))
             .unionByName(least.select("hi", F.col("m").alias("lo")))
         )
-        state = materialize(small.distinct(), "edges")
+        before, state = state, materialize(small.distinct(), "edges")
+        forget(before, first, large, least)
         now = _mark(state)
         if now == seen:
             break

@@ -23,7 +23,8 @@ cheap and changes no component.
 similarity of 0.8 the prints differ in about 10 bits, too many for a walk without comparing all pairs. All
 sets are put in one order of shingles, rare ones first. Two sets of similarity t share a shingle among
 their first n - ceil(t n) + 1, and sets that share one may still be too different in size, or have too
-few shingles after it: only the other pairs are compared, by the sets themselves. No pair is lost,
+few shingles after it, or too few in common among the first: only the other pairs are compared, by the
+sets themselves. No pair is lost,
 whatever the order is; a good order keeps passages that many texts share out of the prefixes. The order
 comes from frequencies added up in bins, so it takes one pass and a table of fixed size.
 
@@ -34,7 +35,7 @@ component of null ids only has a null id. No rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -44,7 +45,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scale import salted_join
-from .shared import components, fresh, materialize
+from .shared import components, forget, fresh, materialize
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
 # For one document of each group: words of a shingle, and similarity.
@@ -404,11 +405,15 @@ def _exact(pairs: DataFrame, sets: DataFrame, jaccard: float) -> DataFrame:
     return both.where(common / (F.size("x") + F.size("y") - common) >= jaccard).select("a", "b")
 
 
+def _need(size: Column, other_size: Column, jaccard: float) -> Column:
+    """How many shingles sets of these sizes must share."""
+    return F.ceil((size + other_size) * F.lit(jaccard / (1 + jaccard)) - 1e-9)
+
+
 def _may_be_similar(size: Column, place: Column, other_size: Column, other_place: Column, jaccard: float) -> Column:
     """Whether sets that share a shingle at these places of their order can be similar: what follows it must hold enough more."""
-    need = F.ceil((size + other_size) * F.lit(jaccard / (1 + jaccard)) - 1e-9)
     return (F.least(size, other_size) >= F.greatest(size, other_size) * F.lit(jaccard) - 1e-9) & (
-        F.least(size - place, other_size - other_place) >= need)
+        F.least(size - place, other_size - other_place) >= _need(size, other_size, jaccard))
 
 
 def shared_places(nodes: DataFrame, jaccard: float) -> DataFrame:
@@ -418,59 +423,73 @@ def shared_places(nodes: DataFrame, jaccard: float) -> DataFrame:
     smallest size among them: in a large family most members have too many shingles of their own before the first shared one.
     """
     places = nodes.select(F.posexplode("tokens").alias("place", "token"), "node", "size")
-    shared = materialize(places.groupBy("token").agg(F.count("*").alias("n")).where("n > 1").select("token"), "shared")
-    rows = materialize(salted_join(places, shared, "token", "left_semi", ["node"]), "places")
-    least = rows.groupBy("token").agg(F.min("size").alias("least"))
+    shared = materialize(places.groupBy("token").agg(F.count("*").alias("n"), F.min("size").alias("least")).where("n > 1").drop("n"), "shared")
     other = F.greatest(F.col("least"), F.ceil(F.col("size") * F.lit(jaccard) - 1e-9))
-    need = F.ceil((F.col("size") + other) * F.lit(jaccard / (1 + jaccard)) - 1e-9)
-    fits = salted_join(rows, materialize(least, "least"), "token", spread=["node"]).where(F.col("size") - F.col("place") >= need)
-    return materialize(fits.select("token", "node", "size", "place"), "fitting")
+    fits = salted_join(places, shared, "token", spread=["node"]).where(F.col("size") - F.col("place") >= _need(F.col("size"), other, jaccard))
+    return materialize(fits.select("token", "node", "size", "place"), "places")
 
 
 def _open(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
     """``rows`` with the component of each node, of tokens whose nodes are in more than one."""
+    own = rows.select("token", "node", "size", "place")
     if linked is None:
-        placed = rows.withColumn("component", F.col("node"))
+        placed = own.withColumn("component", F.col("node"))
     else:
-        placed = rows.join(linked, F.col("node") == F.col("member"), "left").select(*rows.columns, F.coalesce("component", "node").alias("component"))
-    placed = materialize(placed, "placed")
+        placed = own.join(linked, F.col("node") == F.col("member"), "left").select(*own.columns, F.coalesce("component", "node").alias("component"))
     several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
     return materialize(salted_join(placed, materialize(several, "several"), "token", "left_semi", ["node"]), "open")
 
 
-def link_sets(rows: DataFrame, sets: DataFrame, jaccard: float, rounds: int = ROUNDS) -> DataFrame:
+def _likely(pairs: DataFrame, nodes: DataFrame, jaccard: float) -> DataFrame:
+    """The pairs (a, b) whose first shingles have enough in common.
+
+    A set of n has at most n - need shingles that the other lacks, so of its first p at least p - (n - need)
+    are common; the first common ones, as many as both sides hold, are among the first of both.
+    """
+    both = _with_set(_with_set(pairs, pairs, nodes, "a", "b", "x"), pairs, nodes, "b", "a", "y")
+    need = _need(F.col("a_size"), F.col("b_size"), jaccard)
+    least = F.least(F.size("x") - (F.col("a_size") - need), F.size("y") - (F.col("b_size") - need))
+    return both.where(F.size(F.array_intersect("x", "y")) >= F.greatest(least, F.lit(1))).select("a", "b")
+
+
+def link_sets(
+    rows: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], jaccard: float, rounds: int = ROUNDS,
+) -> DataFrame:
     """(member, component) of all nodes linked by exact Jaccard >= ``jaccard``.
 
-    ``rows`` are those of ``shared_places``, ``sets`` has (node, shingles) of their nodes. In each round a node is compared with one other, the first by a random order among those it shares a token
-    with; groups of near copies so become components for one pair a node. Then all pairs that share a token
-    at places that allow it and are still in different components are compared, so that no link between
-    components is lost.
+    ``rows`` are those of ``shared_places``, ``nodes`` has (node, shingles) with the first shingles only, and
+    ``sets_of`` gives (node, shingles) with all of them for a table of nodes. In each round a node is
+    compared with one other, the first by a random order among those it shares a token with; groups of near
+    copies so become components for one pair a node. Then all pairs that share a token at places that allow
+    it and are still in different components are compared, so that no link between components is lost.
     """
-    named = lambda: [F.col(c).alias(f"l_{c}") for c in ("node", "size", "place", "component")]
+    named = [F.col(c).alias(f"l_{c}") for c in ("node", "size", "place", "component")]
     fits = _may_be_similar(F.col("size"), F.col("place"), F.col("l_size"), F.col("l_place"), jaccard) & (F.col("component") != F.col("l_component"))
-    edges, linked = None, None
+    edges, linked, left = None, None, rows
     for k in range(rounds + 1):
-        left = _open(rows, linked)
+        left = _open(left, linked)
         if k < rounds:
             turn = F.xxhash64("node", F.lit(k))
             lead = left.groupBy("token").agg(F.min_by(F.struct("node", "size", "place", "component"), F.struct(turn, "node")).alias("l")).select(
                 "token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size", "place", "component")])
             met = salted_join(left, materialize(lead, "lead"), "token", spread=["node"]).where(fits)
-            pairs = met.groupBy("node").agg(F.min_by("l_node", F.struct(F.xxhash64("l_node", F.lit(k)), "l_node")).alias("l_node"))
+            met = met.groupBy("node", "size").agg(
+                F.min_by(F.struct("l_node", "l_size"), F.struct(F.xxhash64("l_node", F.lit(k)), "l_node")).alias("l")).select(
+                "node", "size", "l.l_node", "l.l_size")
         else:
             # Everything outside a token's largest component meets all others.
             largest = left.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
                 F.max_by("component", F.struct("n", "component")).alias("main"))
-            rest = salted_join(left, materialize(largest, "largest"), "token", spread=["node"]).where("component <> main").select("token", *named())
-            # A pair that is outside on both sides is met from both; once is enough.
-            pairs = left.join(materialize(rest, "rest"), "token").where(fits).select("node", "l_node")
-        pairs = materialize(pairs.select(F.least("node", "l_node").alias("a"), F.greatest("node", "l_node").alias("b")).distinct(), "pairs")
-        wanted = sets
-        if k:
-            # Later rounds compare few nodes.
-            ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-            wanted = materialize(sets.join(ends, "node", "left_semi"), "sets")
-        found = materialize(_exact(pairs, wanted, jaccard), "links")
+            rest = salted_join(left, materialize(largest, "largest"), "token", spread=["node"]).where("component <> main").select("token", *named)
+            met = left.join(materialize(rest, "rest"), "token").where(fits)
+        one, other = F.struct(F.col("node").alias("n"), F.col("size").alias("s")), F.struct(F.col("l_node").alias("n"), F.col("l_size").alias("s"))
+        pairs = materialize(met.select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y")).select(
+            F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.s").alias("a_size"), F.col("y.s").alias("b_size")).distinct(), "pairs")
+        pairs = materialize(_likely(pairs, nodes, jaccard), "likely")
+        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+        sets = materialize(sets_of(ends), "sets")
+        found = materialize(_exact(pairs, sets, jaccard), "links")
+        forget(sets, pairs)
         edges = found if edges is None else materialize(edges.unionByName(found).distinct(), "edges")
         linked = materialize(components(edges, "a", "b").withColumnRenamed("node", "member"), "linked")
     return linked
@@ -481,13 +500,16 @@ def _placed(docs: DataFrame, shingle: int, jaccard: float) -> DataFrame:
     made = materialize(prefixes(docs, shingle, jaccard, frequencies(docs, shingle)), "prefixes")
     nodes = materialize(made.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens")), "nodes")
     rows = shared_places(nodes, jaccard)
-    # One text of each node that may have a similar one.
-    source = materialize(made.join(rows.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min(F.struct("doc_id", "text_key")).alias("r")).select(F.col("r.doc_id").alias("_id"), F.col("r.text_key").alias("_key")), "source")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.xxhash64("text") == F.col("_key"))
-    texts = docs.select("doc_id", "text").join(source, same, "left_semi").dropDuplicates(["doc_id", "text"])
-    sets = materialize(shingle_sets(texts, shingle), "sets")
-    linked = link_sets(rows, sets, jaccard)
+
+    def sets_of(ends: DataFrame) -> DataFrame:
+        """The sets of some nodes, from one text of each."""
+        source = materialize(made.join(ends, "node", "left_semi").groupBy("node").agg(
+            F.min(F.struct("doc_id", "text_key")).alias("r")).select(F.col("r.doc_id").alias("of_id"), F.col("r.text_key").alias("of_key")), "source")
+        same = F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.xxhash64("text") == F.col("of_key"))
+        texts = docs.select("doc_id", "text").join(source, same, "left_semi")
+        return shingle_sets(texts.dropDuplicates(["doc_id", "text"]), shingle)
+
+    linked = link_sets(rows, nodes.select("node", F.col("tokens").alias("shingles")), sets_of, jaccard)
     return made.join(linked, F.col("node") == F.col("member"), "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("component"))
 
