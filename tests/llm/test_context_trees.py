@@ -62,11 +62,33 @@ def test_windows_over_texts_and_batches():
     assert got == want
 
 
-def test_bounded_tree_still_scores(spark):
-    trees = ct.learn(spark.createDataFrame(TRAIN, "lang string, text string"), 3, max_windows=20)
-    assert max(len(b) for b in trees.bits) <= 41
-    bits, _ = ct.code_lengths(trees, ODD)
-    assert np.isfinite(bits).all()
+@pytest.mark.parametrize("order", [0, 1, 3])
+def test_joins_give_the_same_code_lengths(spark, order):
+    """Far more windows than a task may hold: the same code lengths, from all counts."""
+    train = spark.createDataFrame(TRAIN, "lang string, text string")
+    tables, code = ct.learn(train, order, max_windows=5), slow(TRAIN, order)
+    assert isinstance(tables, ct.Tables)
+    texts = [t for t in [*ODD, *(t for _, t in TRAIN)] if t.strip()]
+    rows = [(k, t) for k, t in enumerate([*texts, texts[0], None, "", "12 3"])]
+    df = spark.createDataFrame(rows, "doc_id long, text string").withColumn("text_key", F.lit("kept"))
+    got = {r["doc_id"]: r for r in ct.identify(df, tables).collect()}
+    tree = {r["doc_id"]: r for r in ct.identify(df, ct.learn(train, order)).collect()}
+    assert len(got) == len(rows) and {r["text_key"] for r in got.values()} == {"kept"}
+    for k, t in rows:
+        assert got[k]["lang_pred"] == tree[k]["lang_pred"]
+        assert got[k]["score"] == pytest.approx(tree[k]["score"], rel=1e-3)
+        if t and got[k]["lang_pred"] != "und":
+            bits = [code(x, t) / len(t.encode()) for x in tables.langs]
+            assert got[k]["bits_per_byte"] == pytest.approx(min(bits), rel=1e-9)
+
+
+def test_a_rare_language_keeps_its_contexts(spark):
+    """One language has nearly all rows; with the tables a text of the other is still told from its few windows."""
+    train = spark.createDataFrame([TRAIN[0]] * 300 + [("eo", "ĝi estas la ŝipo de la ĉevalo")], "lang string, text string")
+    tables = ct.learn(train, 3, max_windows=10)
+    df = spark.createDataFrame([(1, "la ŝipo estas ĉevalo"), (2, "the cat on the hat"), (None, "ĝi estas")], "doc_id long, text string")
+    assert sorted((r["doc_id"] or 0, r["lang_pred"]) for r in ct.identify(df, tables).collect()) == [(0, "eo"), (1, "eo"), (2, "en")]
+    assert ct.identify(df.limit(0), tables).count() == 0
 
 
 def test_tables(spark):

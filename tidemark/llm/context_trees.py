@@ -11,10 +11,10 @@ its share of the posterior over code lengths for each byte, between 0 and 1.
 Texts are preceded by ``order`` zero bytes, so that their first bytes have a context too. The
 training counts are made of (order + 1)-byte windows only; counts of shorter contexts are sums.
 
-Size: counts cover all training text. The frozen tree is bounded: of the longest windows the
-``max_windows`` most frequent (over all languages) stay, a model size like that of a vocabulary;
-shorter contexts lose nothing that their longer ones lost, as they are summed first and bounded in
-the same way. It is built from at most ``max_windows`` rows a level and sent to the tasks once.
+Size: counts cover all training text and nothing is left out of them. If there are at most
+``max_windows`` different windows, the trees are built from as many rows a level and sent to the tasks
+once. Otherwise the counts stay a table: the windows of the texts get their code lengths by joins, level
+by level, and are summed for each text. Both ways give the same code lengths.
 
 Scoring walks all texts of a batch at once: an array of nodes for the windows starting at each
 byte, extended by one byte a step; no loop over bytes.
@@ -32,13 +32,15 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators.scale import salted_join
 from .shared import fresh, materialize
 
-ORDER, MAX_WINDOWS = 3, 150_000
+# About 0.2 kB a window in each task; with more, scoring goes by joins.
+ORDER, MAX_WINDOWS = 3, 600_000
 # Texts are scored in pieces of about this many bytes, to bound the memory of a step.
 CHUNK = 1 << 20
 
@@ -215,24 +217,36 @@ def grow(langs: list[str], tables: list[tuple[np.ndarray, np.ndarray]]) -> Trees
     return trees
 
 
-def freeze(counts: DataFrame, order: int = ORDER, max_windows: int = MAX_WINDOWS) -> Trees:
-    """The trees of all languages on the driver, from at most ``max_windows`` windows a level."""
+@dataclass
+class Tables:
+    """Frozen statistics that are too many for a task: ``counts`` is the stored table (lang, code, n)."""
+
+    langs: list[str]
+    order: int
+    counts: DataFrame
+
+
+def _last(code: Column, k: int) -> Column:
+    """The last ``k`` bytes of a window."""
+    return code.bitwiseAND(F.lit((1 << (8 * k)) - 1)) if k < 8 else code
+
+
+def freeze(counts: DataFrame, order: int = ORDER, max_windows: int = MAX_WINDOWS) -> Trees | Tables:
+    """The trees of all languages if there are at most ``max_windows`` different windows, else the tables."""
     counts = materialize(counts, "windows")
     langs = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
-    place = {name: k for k, name in enumerate(langs)}
+    if counts.select("code").distinct().count() > max_windows:
+        return Tables(langs, order, counts)
     tables = []
     for k in range(1, order + 2):
-        # The last k bytes of a window.
-        code = F.col("code").bitwiseAND(F.lit((1 << (8 * k)) - 1)) if k < 8 else F.col("code")
-        level = counts.select("lang", code.alias("code"), "n").groupBy("lang", "code").agg(F.sum("n").alias("n"))
-        by_code = level.groupBy("code").agg(
-            F.sum("n").alias("total"), F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("ns"))
-        top = by_code.orderBy(F.desc("total"), "code").limit(max_windows).orderBy("code").collect()
-        table = np.zeros((len(top), len(langs)))
-        for i, row in enumerate(top):
-            for name, n in row["ns"].items():
-                table[i, place[name]] = n
-        tables.append((np.array([r["code"] for r in top], np.int64), table))
+        level = counts.select("lang", _last(F.col("code"), k).alias("code"), "n")
+        by_lang = [F.coalesce(F.sum(F.when(F.col("lang") == name, F.col("n"))), F.lit(0)).alias(f"n{j}") for j, name in enumerate(langs)]
+        # Not more rows than there are different windows.
+        found = level.groupBy("code").agg(F.count("*").alias("rows"), *by_lang).toArrow()
+        codes = found.column("code").to_numpy()
+        order_of = np.argsort(codes, kind="stable")
+        table = np.stack([found.column(f"n{j}").to_numpy().astype(np.float64) for j in range(len(langs))], axis=1) if langs else np.zeros((0, 0))
+        tables.append((codes[order_of], table[order_of]))
     # A context need not have been seen as a window itself (padding never ends one): it gets no counts.
     for k in range(order, 0, -1):
         codes, table = tables[k - 1]
@@ -242,10 +256,67 @@ def freeze(counts: DataFrame, order: int = ORDER, max_windows: int = MAX_WINDOWS
     return grow(langs, tables)
 
 
-def learn(train: DataFrame, order: int = ORDER, max_windows: int = MAX_WINDOWS, text: str = "text", lang: str = "lang") -> Trees:
+def learn(train: DataFrame, order: int = ORDER, max_windows: int = MAX_WINDOWS, text: str = "text", lang: str = "lang") -> Trees | Tables:
     return freeze(count_windows(train, order, text, lang), order, max_windows)
 
 
+def window_costs(tables: Tables, codes: DataFrame) -> DataFrame:
+    """(code, costs) of the different windows ``codes``: the code length of the last byte after the others, by language.
+
+    Level by level, from windows of one byte: counts, sums of the context, and the cost without the first byte
+    meet by equal joins of tables that have one row for each window and language.
+    """
+    lower = None
+    for k in range(1, tables.order + 2):
+        cut = lambda c: _last(F.col(c), k)  # noqa: B023, E731 - used in this turn only
+        level = materialize(tables.counts.groupBy("lang", cut("code").alias("code")).agg(F.sum("n").alias("n")), "level")
+        contexts = level.groupBy("lang", F.shiftright("code", 8).alias("context")).agg(F.sum("n").alias("total"), F.count("*").alias("different"))
+        asked = codes.select(cut("code").alias("code")).distinct().select(
+            "code", F.explode(F.array(*map(F.lit, tables.langs))).alias("lang"), F.shiftright("code", 8).alias("context"),
+            _last(F.col("code"), k - 1).alias("shorter"))
+        met = asked.join(level, ["lang", "code"], "left").join(contexts, ["lang", "context"], "left")
+        met = met.withColumn("lower", F.lit(8.0)) if lower is None else met.join(lower, ["lang", "shorter"])
+        own = -F.log2(F.col("n") / (F.col("total") + F.col("different")))
+        leave = F.coalesce(-F.log2(F.col("different") / (F.col("total") + F.col("different"))), F.lit(0.0))
+        cost = materialize(met.select("lang", "code", F.coalesce(own, leave + F.col("lower")).alias("cost")), "costs")
+        lower = cost.select("lang", F.col("code").alias("shorter"), F.col("cost").alias("lower"))
+    by_lang = [F.sum(F.when(F.col("lang") == name, F.col("cost"))) for name in tables.langs]
+    return cost.groupBy("code").agg(F.array(*by_lang).alias("costs"))
+
+
+def _identify_by_join(df: DataFrame, tables: Tables, shown: Column) -> DataFrame:
+    """(text_key, lang_pred, score, bits_per_byte) of the different texts ``shown``, by joins alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                data, starts = _bytes_of([text.as_py()], tables_order)
+                codes, n = np.unique(_windows(data, starts, tables_order), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([key] * len(codes), pa.string()), pa.array(codes.astype(np.int64)), pa.array(n.astype(np.int64))], names=["text_key", "code", "n"])
+
+    tables_order = tables.order
+    texts = df.select(text_key(shown).alias("text_key"), shown.alias("text")).where(F.length("text") > 0)
+    rows = texts.mapInArrow(run, "text_key string, code long, n long")
+    # Copies of a text give the same rows; one of each is kept.
+    found = materialize(rows.groupBy("text_key", "code").agg(F.first("n").alias("n")), "text-windows")
+    costs = materialize(window_costs(tables, found.select("code")), "window-costs")
+    met = salted_join(found, costs, "code", spread=["text_key"])
+    bits = [F.sum(F.col("n") * F.col("costs")[k]) for k in range(len(tables.langs))]
+    rates = met.groupBy("text_key").agg(F.array(*bits).alias("bits"), F.sum("n").alias("bytes")).select(
+        "text_key", F.transform("bits", lambda b: b / F.col("bytes")).alias("rates"))
+    best = F.array_min("rates")
+    return rates.select(
+        "text_key", F.get(F.array(*map(F.lit, tables.langs)), (F.array_position("rates", best) - 1).cast("int")).alias("lang_pred"),
+        (1 / F.aggregate("rates", F.lit(0.0), lambda s, r: s + F.pow(F.lit(2.0), 8 * (best - r)))).alias("score"),
+        best.alias("bits_per_byte"))
+
+
+def text_key(text: Column) -> Column:
+    """A name for a text: two checksums and the length."""
+    return F.concat_ws("-", F.xxhash64(text).cast("string"), F.crc32(text).cast("string"), F.octet_length(text).cast("string"))
+
+
 def code_lengths(trees: Trees, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Bits of each text under each language, and the number of bytes of each."""
     data, starts = _bytes_of(texts, trees.order)
@@ -263,10 +334,18 @@ def code_lengths(trees: Trees, texts: list[str]) -> tuple[np.ndarray, np.ndarray
     return bits, sizes
 
 
-def identify(df: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
+def identify(df: DataFrame, trees: Trees | Tables, text: str = "text") -> DataFrame:
     """``df`` with ``lang_pred``, ``score`` and ``bits_per_byte`` (of the language predicted)."""
     outputs = ("lang_pred", "score", "bits_per_byte")
     kept = [c for c in df.columns if c.lower() not in outputs]
+    # Texts without a letter are not looked at.
+    shown = F.when(df[text].rlike(r"\p{L}"), df[text])
+    if isinstance(trees, Tables):
+        key = fresh(df, "text_key")
+        told = _identify_by_join(df, trees, shown).withColumnRenamed("text_key", key)
+        asked = df.select(*kept, F.coalesce(text_key(shown), F.lit("none")).alias(key))
+        return salted_join(asked, materialize(told, "told"), key, "left", spread=kept[:1]).select(
+            *kept, F.coalesce("lang_pred", F.lit("und")).alias("lang_pred"), F.coalesce("score", F.lit(0.0)).alias("score"), "bits_per_byte")
     schema = T.StructType([df.schema[c] for c in kept] + [
         T.StructField("lang_pred", T.StringType(), False), T.StructField("score", T.DoubleType(), False),
         T.StructField("bits_per_byte", T.DoubleType())])
@@ -287,6 +366,4 @@ def identify(df: DataFrame, trees: Trees, text: str = "text") -> DataFrame:
                 [*batch.columns[:len(kept)], pa.array(langs, pa.string()), pa.array(scores, pa.float64()),
                  pa.array(rates, pa.float64())], names=[*kept, *outputs])
 
-    # Texts without a letter are not looked at.
-    shown = F.when(df[text].rlike(r"\p{L}"), df[text])
     return df.select(*kept, shown.alias(fresh(df, "text_in"))).mapInArrow(run, schema)
