@@ -95,3 +95,18 @@ def test_other_zstandard_readers_accept_the_file(tmp_path):
     writer.close()
     raw = (tmp_path / "b.zst").read_bytes()
     assert zstandard.ZstdDecompressor().stream_reader(io.BytesIO(raw), read_across_frames=True).read() == b"onetwo"
+
+
+def test_an_id_with_a_third_of_the_rows_is_split(spark, tmp_path):
+    rows = [(7, f"the same id number {k}") for k in range(600)] + [(k, f"own {k}") for k in range(100, 1300)] + [(None, f"none {k}") for k in range(40)]
+    df = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, file string, part int").repartition(6)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        index = token_frames.write_documents(df, f"file://{tmp_path}/hot", PATH, 2, frame_ids=500)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    got = sorted(token_frames.read_documents(index).collect(), key=lambda r: r["start"])
+    keys = [-1 if r["doc_id"] is None else r["doc_id"] for r in got]
+    assert keys == sorted(keys) and len(keys) == len(rows)
+    assert index.where("doc_id = 7").select("file").distinct().count() > 1
+    assert all(a["start"] + a["n_tokens"] == b["start"] for a, b in zip(got, got[1:], strict=False))

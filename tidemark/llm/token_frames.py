@@ -19,7 +19,8 @@ bounded cache. Texts with characters above U+017F or with the special token's st
 library whole.
 
 Defined results: a null or empty text has the end id only. Null ids of documents sort first. Equal
-ids keep all their rows, in the order of their texts. No documents give no files and no rows.
+ids keep all their rows, in the order of their texts' hashes; an id that many rows have is split over files.
+Columns other than doc_id and text are not written. No documents give no files and no rows.
 """
 
 from __future__ import annotations
@@ -48,7 +49,8 @@ _LETTER = "A-Za-zªµºÀ-ÖØ-öø-ſ"
 _NUMBER = "0-9²³¹¼-¾"
 _BLANK = r"\t-\r \x85\xa0"
 _WORD = re.compile(
-    rf"'s|'t|'re|'ve|'m|'ll|'d| ?[{_LETTER}]+| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+"
+    # Words first: no other alternative begins like one.
+    rf" ?[{_LETTER}]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_NUMBER}]+| ?[^{_BLANK}{_LETTER}{_NUMBER}]+"
     rf"|[{_BLANK}]+(?![^{_BLANK}])|[{_BLANK}]+")
 _WIDE = re.compile("[^\x00-ſ]")
 
@@ -107,7 +109,7 @@ def _open(path: str, write: bool):
 class FrameWriter:
     """Writes frames and, when closed, the seek table."""
 
-    def __init__(self, path: str, level: int = 3):
+    def __init__(self, path: str, level: int = 1):
         import zstandard
 
         self.out, self.table = _open(path, True), []
@@ -199,7 +201,9 @@ def write_documents(
             writer.add(b"".join(frame))
             writer.close()
 
-    order = docs.select("doc_id", "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+    # An id that many rows have is split by the hash of the text.
+    key = ("doc_id", "text_hash")
+    order = docs.select("doc_id", "text", F.xxhash64("text").alias("text_hash")).repartitionByRange(*key).sortWithinPartitions(*key).select("doc_id", "text")
     index = materialize(order.mapInArrow(run, INDEX), "index")
     # One row for each file: its place in the order, and the ids of all files before it.
     earlier = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
