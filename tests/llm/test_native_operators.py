@@ -42,6 +42,14 @@ def test_components(spark):
 RULES = (("com", "/", "allow"), ("bad.com", "/x/", "block"), ("good.bad.com", "/x/", "allow"), ("org", "/x/", "block"))
 
 
+def test_the_same_page_under_other_spellings(spark):
+    rows = [page("http://a.net", "http://bad.com:80/x/../x/1"), page("http://A.net:80/"), page("https://b.org:443/y"), page("http://c.net/", "https://B.org/./y"),
+            page("https://b.org/y", "http://bad.com/x/1"), page("http://a.net:8080/")]
+    df = spark.createDataFrame([(i, u, h) for i, (u, h) in enumerate(rows)], "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in url_alias.judge_urls(df, url_alias.rules_table(spark, RULES)).collect()}
+    assert got == {0: "block", 1: "block", 2: "block", 3: "block", 4: "block", 5: "allow"}
+
+
 def page(url, canonical=None, refresh=None):
     head = f'<LINK data-x=1 rel="canonical" href="{canonical}">' if canonical else ""
     head += f"<meta http-equiv='refresh' content='0; url={refresh}'>" if refresh else ""

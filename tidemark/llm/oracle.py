@@ -20,8 +20,9 @@ def url_sql(rules: tuple[tuple[str, str, str], ...]) -> str:
     listed = ", ".join(f"({_quoted(h)}, {_quoted(p)}, {_quoted(v)})" for h, p, v in rules)
     host = f"translate(regexp_extract({{0}}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
     path = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^?#]*)', 1)"
-    node = (f"CASE WHEN contains({{0}}, '://') THEN translate(regexp_extract({{0}}, '(?s)^(.*?://[^/?#]*)', 1), '{_UPPER}', '{_LOWER}')"
-            " || regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1) END")
+    rest = "regexp_extract({0}, '(?s)^.*?://[^/?#]*([^#]*)', 1)"
+    node = (f"CASE WHEN contains({{0}}, '://') THEN regexp_replace(translate(regexp_extract({{0}}, '(?s)^(.*?://[^/?#]*)', 1), '{_UPPER}', '{_LOWER}'),"
+            f" {_quoted(url_alias.DEFAULT_PORT)}, '\\1\\2') || CASE WHEN starts_with({rest}, '/') THEN '' ELSE '/' END || {rest} END")
     return f"""
     WITH RECURSIVE rules(r_host, r_path, r_verdict) AS (VALUES {listed}),
     p AS (SELECT page_id, coalesce({host.format('url')}, '') AS host, coalesce({path.format('url')}, '') AS path,

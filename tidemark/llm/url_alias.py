@@ -8,10 +8,11 @@ Urls that redirect to each other or name each other as canonical are aliases: th
 connected components of the link graph. A url without a rule takes over what its aliases were
 given: allow if any alias is explicitly allowed, else block if any alias is blocked, else allow.
 
-Nodes are urls without fragment, scheme and host in lower case. Links come from
+Nodes are urls without fragment and default port, scheme and host in lower case, ``/`` as the empty
+path. Links come from
 ``<link rel=canonical href=...>`` and ``<meta http-equiv=refresh content="0;url=...">`` of the
 pages themselves and, optionally, from a table of observed redirects. Relative targets of every
-form are resolved against the page's url, dot segments included; other schemes are no links.
+form are resolved against the page's url, and dot segments go from all targets; other schemes are no links.
 
 Defined results: a null url or one without ``://`` has empty host and path, fits no rule, has no
 alias and is allowed. A null html has no links. Repeated rows are judged alike, row by row; extra
@@ -32,6 +33,7 @@ BROADCAST_RULES = 100_000
 
 AUTHORITY = r"^.*?://([^/?#]*)"
 PATH = r"^.*?://[^/?#]*([^?#]*)"
+DEFAULT_PORT = "(?s)^(http://.*):80$|^(https://.*):443$"
 TAG = r"(?is)<(?:link|meta)\s[^>]*>"
 CANONICAL = r"""(?is)\srel\s*=\s*["']?canonical["'\s/>]"""
 REFRESH = r"""(?is)\shttp-equiv\s*=\s*["']?refresh["'\s/>]"""
@@ -54,10 +56,15 @@ def path_of(url: Column) -> Column:
 
 
 def node_of(url: Column) -> Column:
-    """The url as a node: no fragment, scheme and host in lower case; null if it has no ``://``."""
-    head = F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1)
+    """The url as a node; null if it has no ``://``.
+
+    No fragment, scheme and host in lower case, no default port, and ``/`` for a missing path.
+    """
+    head = ascii_lower(F.regexp_extract(url, r"(?s)^(.*?://[^/?#]*)", 1))
+    head = F.regexp_replace(head, DEFAULT_PORT, "$1$2")
     rest = F.regexp_extract(url, r"(?s)^.*?://[^/?#]*([^#]*)", 1)
-    return F.when(F.contains(url, F.lit("://")), F.concat(ascii_lower(head), rest))
+    rest = F.when(F.startswith(rest, F.lit("/")), rest).otherwise(F.concat(F.lit("/"), rest))
+    return F.when(F.contains(url, F.lit("://")), F.concat(head, rest))
 
 
 def _without_dots(target: Column) -> Column:
@@ -81,8 +88,10 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     root = F.regexp_extract("u", r"(?s)^(.*?://[^/?#]*)", 1)
     path, t = path_of(F.col("u")), F.col("t")
     folder = F.when(path == "", F.lit("/")).otherwise(F.regexp_extract(path, r"(?s)^(.*/)", 1))
-    full = F.when(t.rlike("(?i)^https?://"), t).when(
-        t.startswith("//"), F.concat(F.regexp_extract("u", r"^(.*?:)//", 1), t)
+    whole = lambda x: F.concat(F.regexp_extract(x, r"(?s)^(.*?://[^/?#]*)", 1), _without_dots(
+        F.regexp_extract(x, r"(?s)^.*?://[^/?#]*(.*)$", 1)))
+    full = F.when(t.rlike("(?i)^https?://"), whole(t)).when(
+        t.startswith("//"), whole(F.concat(F.regexp_extract("u", r"^(.*?:)//", 1), t))
     ).when(t.startswith("/"), F.concat(root, _without_dots(t))).when(
         t.startswith("?"), F.concat(root, path, t)
     ).when(~t.startswith("#") & ~t.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:"), F.concat(root, _without_dots(F.concat(folder, t))))
