@@ -33,4 +33,4 @@ def test_every_query_has_sql():
 
 
 def test_entry(spark):
-    assert entry.entry(spark).columns == ["id", "event_type", "t0_us", "t1_us"]
+    assert entry.entry(spark).columns == ["id", "text_md5", "t0_s", "t1_s"]
