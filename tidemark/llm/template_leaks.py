@@ -21,8 +21,8 @@ placeholders fit any list of names; items shorter than a window are left to the
 A document is contaminated by an item if one alignment of one reading has at least ``min_windows`` consistent
 windows (or all windows of a shorter item).
 
-Scale: each text is read once in each of the three ways; one row is made for each window that begins with
-a word that windows of the benchmark begin with, and the join at once reduces them to the few that hit. The benchmark's windows are broadcast up to a measured
+Scale: each text is read once in each of the three ways and each word hashed once; one row per window is
+made and at once reduced by the join to the few that hit. The benchmark's windows are broadcast up to a measured
 number of rows, else both sides are shuffled by hash. Hits on windows that very many items or
 documents share become counts per alignment before any text is read again, and slots are compared
 within one alignment, whose size is that of the item.
@@ -35,8 +35,6 @@ columns do not matter.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,8 +57,6 @@ GAP = rf"[^\p{{L}}\p{{Nd}}{NAME}-{UNIT}]+"
 VALUED = rf"[{NAME}-{UNIT}][^{CLOSE}]*{CLOSE}|[\p{{L}}\p{{Nd}}]+"
 # Windows of the benchmark are broadcast up to this number of rows.
 BROADCAST_WINDOWS = 1_000_000
-# Windows of documents are only hashed where one of the benchmark's first words stands, if those are so few.
-FIRST_WORDS = 10_000
 WINDOW, MIN_WINDOWS = 8, 4
 CAPITALS = r"(^|[^\p{L}\p{Nd}])(?:\p{Lu}\p{Ll}+ )*(\p{Lu}\p{Ll}+)(?![\p{L}\p{Nd}])"
 BLANKS = r"[\s\p{Z}]+"
@@ -94,17 +90,21 @@ def valued_tokens(text: Column, reading: int = INSIDE) -> Column:
     return F.regexp_extract_all(marked, F.lit(VALUED), F.lit(0))
 
 
-def windows_of(words: Column, width: Column, firsts: Sequence[str] | None = None) -> Column:
-    """(pos, hash) of all windows of ``width`` words, or of those that begin with one of ``firsts``."""
-    places = F.when(F.size(words) >= width, F.sequence(F.lit(1), F.size(words) - width + 1)).otherwise(
+def word_hashes(words: Column) -> Column:
+    """A number for each word; each is hashed once, however many windows it is in."""
+    return F.transform(words, lambda w: F.xxhash64(w))
+
+
+def windows_of(numbers: Column, width: Column | int) -> Column:
+    """Hashes of all windows of ``width`` words, in order of their places, from the words' numbers."""
+    width = F.lit(width) if isinstance(width, int) else width
+    places = F.when(F.size(numbers) >= width, F.sequence(F.lit(1), F.size(numbers) - width + 1)).otherwise(
         F.array().cast("array<int>"))
-    if firsts is not None:
-        places = F.filter(places, lambda i: F.element_at(words, i).isin(list(firsts)))
-    return F.transform(places, lambda i: F.struct((i - 1).alias("pos"), F.xxhash64(F.slice(words, i, width)).alias("hash")))
+    return F.transform(places, lambda i: F.xxhash64(F.slice(numbers, i, width)))
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
-    """(reading, item_key, width, item_pos, hash, first, total) of the windows of every different item text.
+    """(reading, item_key, width, item_pos, hash, total) of the windows of every different item text.
 
     ``total`` is the number of windows of the item's text, those that do not count included.
     """
@@ -114,9 +114,7 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
         sized = words.where(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(window)))
         made = sized.select(
             F.lit(reading).alias("reading"), "item_key", "width", "words", (F.size("words") - F.col("width") + 1).alias("total"),
-            F.explode(windows_of(F.col("words"), F.col("width"))).alias("w")).select(
-            "reading", "item_key", "width", "words", "total", F.col("w.pos").alias("item_pos"), F.col("w.hash").alias("hash"),
-            F.element_at("words", F.col("w.pos") + 1).alias("first"))
+            F.posexplode(windows_of(word_hashes(F.col("words")), F.col("width"))).alias("item_pos", "hash"))
         if reading == ANYWHERE:
             plain = F.size(F.filter(F.slice("words", F.col("item_pos") + 1, F.col("width")), lambda w: ~w.rlike(f"^[{NAME}-{UNIT}]")))
             made = made.where((F.col("width") == window) & (2 * plain >= window))
@@ -156,20 +154,17 @@ def find_leaks(
     known = materialize(item_windows(items, window), "windows")
     # At most three times ``window`` pairs of numbers.
     kinds = sorted(map(tuple, known.select("reading", "width").distinct().collect()))
-    windows = known.drop("first")
-    lookup = F.broadcast(windows) if known.count() <= BROADCAST_WINDOWS else windows
-    firsts = [r[0] for r in known.select("first").distinct().limit(FIRST_WORDS + 1).collect()]
+    lookup = F.broadcast(known) if known.count() <= BROADCAST_WINDOWS else known
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     kinds = kinds or [(INSIDE, window)]
     # Each text is read once in each way; its words then give the windows of every width.
     read = keyed.select("doc_id", "text_key", *[
-        template_tokens(F.col("text"), r).alias(f"words_{r}") for r in sorted({r for r, _ in kinds})])
+        word_hashes(template_tokens(F.col("text"), r)).alias(f"numbers_{r}") for r in sorted({r for r, _ in kinds})])
     each = read.select("doc_id", "text_key", F.explode(F.array(*[
-        F.struct(F.lit(r).alias("reading"), F.lit(w).alias("width"), F.col(f"words_{r}").alias("words")) for r, w in kinds])).alias("k"))
+        F.struct(F.lit(r).alias("reading"), F.lit(w).alias("width"), F.col(f"numbers_{r}").alias("numbers")) for r, w in kinds])).alias("k"))
     spread = each.select("doc_id", "text_key", "k.*").select(
-        "doc_id", "text_key", "reading", "width",
-        F.explode(windows_of(F.col("words"), F.col("width"), firsts if len(firsts) <= FIRST_WORDS else None)).alias("w"))
-    hits = spread.select("doc_id", "text_key", "reading", "width", "w.*").join(lookup, ["hash", "reading", "width"]).select(
+        "doc_id", "text_key", "reading", "width", F.posexplode(windows_of(F.col("numbers"), F.col("width"))).alias("pos", "hash"))
+    hits = spread.join(lookup, ["hash", "reading", "width"]).select(
         "reading", "doc_id", "text_key", "item_key", "width", "item_pos", (F.col("pos") - F.col("item_pos")).alias("align"))
     need = known.select("reading", "item_key", F.least("total", F.lit(min_windows)).alias("need")).distinct()
     aligned = materialize(
