@@ -150,7 +150,11 @@ def fit(
     grades = got.column("grade").to_numpy()
     # The same order whatever the partitions were.
     rank = sorted(range(len(rows)), key=lambda i: (got.column("h")[i].as_py(), int(grades[i]), rows[i].tobytes()))[:max_rows]
-    return fit_rows([rows[i] for i in rank], grades[rank], n_grades)
+    model = fit_rows([rows[i] for i in rank], grades[rank], n_grades)
+    # The driver gives the ratings' memory back before the next stage.
+    del got, rows
+    pa.default_memory_pool().release_unused()
+    return model
 
 
 class _Weights(dict):

@@ -490,6 +490,8 @@ def link_sets(
         sets = materialize(sets_of(ends), "sets")
         found = materialize(_exact(pairs, sets, jaccard), "links")
         forget(sets, pairs)
+        if edges is not None and found.isEmpty():
+            continue
         edges = found if edges is None else materialize(edges.unionByName(found).distinct(), "edges")
         linked = materialize(components(edges, "a", "b").withColumnRenamed("node", "member"), "linked")
     return linked
