@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark import operators as op
 from tidemark import sources, streaming
+from tidemark.catalog.views import Views
 
 SCHEMA = "id LONG, user_id LONG, t STRING, kind STRING"
 
@@ -128,3 +129,17 @@ def test_dual_flush_writes_the_graph_before_failing(spark):
     with pytest.raises(OSError, match="disk"):
         sources.sink_dual_flush(archive, graph)(spark.range(3), 7)
     assert calls == [("archive", 7), ("graph", 3)]
+
+
+@pytest.mark.parametrize("parts", [0, 3])
+def test_a_table_streams_as_one_file_or_as_a_folder(spark, tmp_path, rows, parts):
+    (tmp_path / "tables").mkdir()
+    ids = spark.range(50).withColumn("text", F.concat(F.lit("t"), "id"))
+    ids.repartition(parts or 1).write.parquet(str(tmp_path / ("tables/posts.parquet" if parts else "made")))
+    if not parts:
+        part, = (tmp_path / "made").glob("part-*.parquet")
+        os.link(part, tmp_path / "tables/posts.parquet")
+    ids.limit(5).write.parquet(str(tmp_path / "tables/others.parquet"))
+    stream, out = Views(spark, str(tmp_path / "tables")).stream("posts"), str(tmp_path / "out")
+    drain(streaming.micro_batch_flush(stream, streaming.overwrite_table(out), str(tmp_path / "progress")))
+    assert rows(spark.read.parquet(out).drop("batch_id")) == rows(ids)

@@ -202,11 +202,9 @@ class Views:
         )
 
     def stream(self, name: str) -> DataFrame:
-        """A table as a file stream."""
-        return (
-            self.spark.readStream.schema(self.table(name).schema)
-            .option("pathGlobFilter", f"{name}.parquet").parquet(self.sf_dir)
-        )
+        """A table as a file stream, be it one file or a folder of files."""
+        # A stream takes a plain path for a folder; a pattern finds a file as well as what is in a folder.
+        return self.spark.readStream.schema(self.table(name).schema).parquet(f"{self.sf_dir}/{name}.parque[t]")
 
     def timed_posts(self, raw: DataFrame | None = None) -> DataFrame:
         """Posts with a time: conversations begin 45 s apart, turns follow after 20 s; every seventh post is an hour old."""
