@@ -2,11 +2,13 @@
 
 import os
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark import operators as op
 from tidemark import sources, streaming
+from tidemark.streaming import stateful
 
 SCHEMA = "id LONG, user_id LONG, t STRING, kind STRING"
 
@@ -123,3 +125,72 @@ def test_rolling_rate_same_as_batch(spark, feed, tmp_path, rows):
     got = spark.read.parquet(out)
     pick = lambda df: rows(df.select("id", F.round("rate", 9), F.col("total").cast("double")))
     assert pick(got) == pick(want)
+
+
+class Held(dict):
+    """State of one key, as the calls of a state handle see it; no row list or part leaves it twice."""
+
+    def __init__(self, what):
+        super().__init__()
+        self.what = what
+
+    getListState = getMapState = getValueState = lambda self, name, *schema: self.setdefault(name, Held(name))  # noqa: N815
+    exists = lambda self: None in self
+    update = lambda self, v: self.__setitem__(None, v)
+    updateValue = dict.__setitem__  # noqa: N815
+    getValue, removeKey = dict.__getitem__, dict.__delitem__  # noqa: N815
+    put = appendList = lambda self, v: self.__setitem__(None, [*v])  # noqa: N815
+
+    def get(self):
+        return dict.get(self, None, [] if self.what in ("ring", "rows") else None)
+
+    def iterator(self):
+        return iter([*self.items()])
+
+    def registerTimer(self, at):  # noqa: N802
+        self["timer"] = at
+
+    deleteTimer = lambda self, at: self.pop("timer")  # noqa: E731, N815
+
+
+class Clock:
+    def __init__(self, ms):
+        self.getCurrentWatermarkInMs = self.getCurrentProcessingTimeInMs = lambda: ms
+
+
+def test_flushes_of_a_large_key_leave_in_frames(monkeypatch):
+    """One key with many rows: frames come out while its input is still being read."""
+    monkeypatch.setattr(stateful, "FRAME_ROWS", 100)
+    handle, read, most = Held("state"), [], 9
+    buffer = stateful._Buffer(most, 1000)
+    buffer.init(handle)
+
+    def frames():
+        for at in range(0, 5005, 55):
+            read.append(at)
+            yield pd.DataFrame({"row": [f"r{k}" for k in range(at, at + 55)]})
+
+    seen, sizes = [], []
+    for frame in buffer.handleInputRows(("a", 0), frames(), Clock(0)):
+        assert len(frame) <= 100 + most and read[-1] <= len(seen) + 200
+        seen.extend(frame["row"])
+        sizes.append(frame.groupby("flush_no").size())
+    assert seen == [f"r{k}" for k in range(5000)] and all((s == 10).all() for s in sizes) and len(handle["rows"].get()) == 5
+    rest, = buffer.handleExpiredTimer(("a", 0), Clock(2000), None)
+    assert [*rest["row"]] == [f"r{k}" for k in range(5000, 5005)] and set(rest["flush_no"]) == {500} and set(rest["reason"]) == {"age"}
+
+
+def test_values_and_keys_of_any_type_pass_unchanged(spark, tmp_path):
+    rows = spark.sql("""
+        SELECT * FROM VALUES
+          (CAST(NULL AS BIGINT), 9007199254740993L, CAST('NaN' AS DOUBLE), TIMESTAMP '2024-01-01 00:00:00.000001', array(1, NULL), X'00ff', 1.10BD, 'a"\\n'),
+          (NULL, NULL, NULL, NULL, NULL, NULL, NULL, NULL),
+          (9007199254740993L, -1L, CAST('-Infinity' AS DOUBLE), TIMESTAMP '1900-01-01 00:00:00', array(), X'', -0.01BD, '')
+        AS t(k, n, x, ts, many, raw, exact, said)""")
+    rows.coalesce(1).write.parquet(str(tmp_path / "feed"))
+    stream, out, progress = spark.readStream.schema(rows.schema).parquet(str(tmp_path / "feed")), str(tmp_path / "out"), str(tmp_path / "progress")
+    groups = streaming.count_or_age_groups(stream, ["k"], 0, 1)
+    assert groups.columns == ["k", "shard", "flush_no", "reason", "n", "x", "ts", "many", "raw", "exact", "said"]
+    streaming.flush_what_is_there(groups, table(out), progress).awaitTermination()
+    shown = lambda df: sorted(str(tuple(r)) for r in df.select(*rows.columns).collect())
+    assert shown(spark.read.parquet(out)) == shown(rows)
