@@ -1,6 +1,7 @@
 """Buffers, late rows, seen users and rolling rates over restarts, against the batch operators."""
 
 import os
+import random
 
 import pandas as pd
 import pytest
@@ -180,6 +181,36 @@ def test_flushes_of_a_large_key_leave_in_frames(monkeypatch):
     assert [*rest["row"]] == [f"r{k}" for k in range(5000, 5005)] and set(rest["flush_no"]) == {500} and set(rest["reason"]) == {"age"}
 
 
+def test_waiting_rows_of_a_name_are_merged_from_parts(monkeypatch):
+    """Rows of one name in any order: a merge holds one part of each run, and what is early stays."""
+    for name, size in (("RUN_ROWS", 200), ("PART_ROWS", 10), ("FRAME_ROWS", 50)):
+        monkeypatch.setattr(stateful, name, size)
+    handle, draw = Held("state"), random.Random(1)
+    rolling = stateful._Rolling(3)
+    rolling.init(handle)
+    values = [0.5, 1.0, 2.0, None]
+    given = [(draw.randrange(1000) * 500, draw.choice([None, *range(5)]), draw.choice(values), draw.choice(values)) for _ in range(2000)]
+    names = ("us", "place", "duration", "value")
+    frames = (pd.DataFrame({"row": [dict(zip(names, r, strict=True), placed=r[1] is not None) for r in given[at:at + 70]]}) for at in range(0, 2000, 70))
+    assert [*rolling.handleInputRows(("a",), frames, Clock(0))] == []
+    assert len(handle["heads"]) == 10 and all(len(p[0]) <= 10 for p in handle["parts"].values())
+    got = []
+    for passed in (100, 333, 1000):
+        assert handle["timer"] == min(r[0] for r in given if r[0] // 1000 >= (100 if got else 0)) // 1000 + 1 or passed == 1000
+        for frame in rolling.handleExpiredTimer(("a",), Clock(passed), None):
+            assert len(frame) <= 50
+            got.extend(tuple(None if v is pd.NA else v for v in r) for r in frame[[*names, "rate", "total"]].itertuples(index=False))
+        assert len(got) == sum(r[0] // 1000 < passed for r in given)
+    want, total = [], 0.0
+    ordered = sorted(given, key=lambda r: (r[0], r[1] is None, r[1] or 0))
+    for k, row in enumerate(ordered):
+        last = ordered[max(0, k - 2):k + 1]
+        spent, done = (sum(r[c] for r in last if r[c] is not None) for c in (2, 3))
+        total += row[3] or 0.0
+        want.append((*row, done / spent if spent else None, total))
+    assert got == want and not handle["parts"] and not handle["heads"]
+
+
 def test_values_and_keys_of_any_type_pass_unchanged(spark, tmp_path):
     rows = spark.sql("""
         SELECT * FROM VALUES
@@ -194,3 +225,16 @@ def test_values_and_keys_of_any_type_pass_unchanged(spark, tmp_path):
     streaming.flush_what_is_there(groups, table(out), progress).awaitTermination()
     shown = lambda df: sorted(str(tuple(r)) for r in df.select(*rows.columns).collect())
     assert shown(spark.read.parquet(out)) == shown(rows)
+
+
+def test_rolling_rate_leaves_out_rows_without_a_time(spark, feed, tmp_path):
+    add, stream = feed
+    add((1, 2, "2024-01-01 00:00:01", "a"), (2, 2, "none", "a"), (3, 4, "2024-01-01 00:00:01", "a"))
+    add((9, 1, "2024-01-01 00:10:00", "a"))
+    ready = stream().withColumn("ts", F.expr("try_cast(t AS timestamp)")).select(
+        "kind", "ts", F.when(F.col("id") > 1, F.col("id")).alias("id"), F.col("user_id").alias("took"), F.when(F.col("id") > 1, F.lit(float("nan"))).alias("done"))
+    out = str(tmp_path / "out")
+    rates = streaming.stream_rolling_rate(ready, "kind", "ts", "id", "took", "done", n=3)
+    streaming.micro_batch_flush(rates, table(out), str(tmp_path / "progress")).awaitTermination()
+    got = sorted(str((r.id, r.took, r.done, r.rate, r.total)) for r in spark.read.parquet(out).collect())
+    assert got == sorted([str((3, 4.0, float("nan"), float("nan"), float("nan"))), str((None, 2.0, None, float("nan"), float("nan")))])
