@@ -244,3 +244,28 @@ def test_recall_on_given_documents(spark):
     assert len(pairs) > 5 and all(got[a] == got[b] for a, b in pairs)
     groups = slow_groups([d for d, s in sets.items() if s], pairs)
     assert len({got[d] for g in groups for d in g}) == len(groups)
+
+
+def test_keep_one_goes_through_the_trie_walk(spark, monkeypatch):
+    """The walk proposes links between near copies and the sets decide; what it links is not looked for again."""
+    draw = np.random.default_rng(3)
+    text = [f"w{k}" for k in draw.integers(0, 4000, 400)]
+    copies = [" ".join([*text[:at], f"new{at}", *text[at + 1:]]) for at in (50, 150, 250)]
+    far = " ".join(f"u{k}" for k in draw.integers(0, 4000, 400))
+    docs = spark.createDataFrame([(n, t) for n, t in enumerate([" ".join(text), *copies, far])], "doc_id long, text string")
+    made = st.materialize(st.prefixes(docs, 5, 0.8, st.frequencies(docs, 5)), "made")
+    # A print that wrongly agrees with others is no link.
+    nodes = made.withColumn("print", F.when(F.col("doc_id") == 4, 13).otherwise(12).cast("long"))
+    sets_of = lambda ends: st.shingle_sets(docs, 5).join(ends, "node", "left_semi")
+    node = {r["doc_id"]: r["node"] for r in made.collect()}
+    found = {frozenset(r) for r in st.walked_pairs(nodes, sets_of, 0.8).collect()}
+    assert found and all(node[4] not in pair for pair in found) and {n for pair in found for n in pair} <= {node[k] for k in range(4)}
+    walked, linked = [], st.walked_pairs
+    monkeypatch.setattr(st, "walked_pairs", lambda *a, **kw: walked.append(linked(*a, **kw)) or walked[-1])
+    assert sorted(r["doc_id"] for r in st.keep_one(docs).collect()) == [0, 4] and len(walked) == 1
+    # Without any shared shingle offered to the prefix join, known links are components still.
+    none = spark.createDataFrame([], "token long, node long, size int, place int")
+    known = spark.createDataFrame([(7, 9), (9, 11)], "a long, b long")
+    shingles = spark.createDataFrame([(n, [n]) for n in (7, 9, 11)], "node long, shingles array<long>")
+    got = st.link_sets(none, shingles, lambda ends: shingles.join(ends, "node", "left_semi"), 0.8, known=known)
+    assert {r["member"]: r["component"] for r in got.collect()} == {7: 7, 9: 7, 11: 7}

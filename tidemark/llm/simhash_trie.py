@@ -19,9 +19,10 @@ group), not all pairs: at most one row for each fingerprint and trie. Pairs of n
 fingerprints are already connected are not walked further, which keeps dense groups of near copies
 cheap and changes no component.
 
-``keep_one`` decides by the exact similarity of shingle sets, found by a prefix-filter join. At a Jaccard
-similarity of 0.8 the prints differ in about 10 bits, too many for a walk without comparing all pairs. All
-sets are put in one order of shingles, rare ones first. Two sets of similarity t share a shingle among
+``keep_one`` decides by the exact similarity of shingle sets. The trie walk over the prints of the sets comes
+first: what it links is compared by the sets, and the pairs that are similar are links. At a Jaccard
+similarity of 0.8 the prints differ in about 10 bits, too many for a walk without comparing all pairs; so what
+is not connected by then is found by a prefix-filter join. All sets are put in one order of shingles, rare ones first. Two sets of similarity t share a shingle among
 their first n - ceil(t n) + 1, and sets that share one may still be too different in size, or have too
 few shingles after it, or too few in common among the first: only the other pairs are compared, by the
 sets themselves. No pair is lost,
@@ -35,7 +36,7 @@ component of null ids only has a null id. No rows give no rows.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import accumulate, combinations
 
 import numpy as np
@@ -82,7 +83,7 @@ def word_print(text: str) -> int:
     return _majority([xxh64_intdigest(w, SEED) for w in words]) if words else 0
 
 
-def _majority(values: list[int]) -> int:
+def _majority(values: Sequence[int] | np.ndarray) -> int:
     """The bits that are set in over half of the values."""
     hashes, total = np.array(values, "<u8"), np.zeros(64, np.int64)
     for at in range(0, len(hashes), 1 << 16):
@@ -351,12 +352,13 @@ def _least_common(size: int, jaccard: float) -> int:
 
 
 def prefixes(docs: DataFrame, shingle: int, jaccard: float, counts: np.ndarray) -> DataFrame:
-    """(doc_id, text_key, node, size, tokens) of every row; rows of the same shingles have the same node.
+    """(doc_id, text_key, node, size, tokens, print) of every row; rows of the same shingles have the same node.
 
-    ``tokens`` are the first shingles of the set, those of the rarest bins first, then by number.
+    ``tokens`` are the first shingles of the set, those of the rarest bins first, then by number; ``print`` is
+    the SimHash of the set, zero if it is empty.
     """
     schema = T.StructType([docs.schema["doc_id"], T.StructField("text_key", T.LongType()), T.StructField("node", T.LongType()),
-                           T.StructField("size", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType()))])
+                           T.StructField("size", T.IntegerType()), T.StructField("tokens", T.ArrayType(T.LongType())), T.StructField("print", T.LongType())])
     weights = docs.sparkSession.sparkContext.broadcast(counts)
 
     def first(x: np.ndarray) -> np.ndarray:
@@ -370,7 +372,8 @@ def prefixes(docs: DataFrame, shingle: int, jaccard: float, counts: np.ndarray)
             sets = [shingle_set(t.as_py() or "", shingle) for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([
                 *batch.columns[:2], pa.array([_node(x) for x in sets], pa.int64()), pa.array([len(x) for x in sets], pa.int32()),
-                pa.array([first(x) for x in sets], pa.list_(pa.int64()))], names=schema.names)
+                pa.array([first(x) for x in sets], pa.list_(pa.int64())),
+                pa.array(np.array([_majority(x) for x in sets], np.uint64).view(np.int64))], names=schema.names)
 
     return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(run, schema)
 
@@ -452,20 +455,39 @@ def _likely(pairs: DataFrame, nodes: DataFrame, jaccard: float) -> DataFrame:
     return both.where(F.size(F.array_intersect("x", "y")) >= F.greatest(least, F.lit(1))).select("a", "b")
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    return materialize(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct(), "ends")
+
+
+def walked_pairs(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], jaccard: float, budget: int = BUDGET) -> DataFrame:
+    """The pairs (a, b) that the trie walk over the prints of ``nodes`` links and whose sets are similar."""
+    walked = link_fingerprints(nodes.select("print", F.col("print").alias("check"), "node"), budget)
+    pairs = materialize(walked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "walked")
+    ends = _ends(pairs)
+    sets = materialize(sets_of(ends), "sets")
+    found = materialize(_exact(pairs, sets, jaccard), "links")
+    forget(sets, pairs, ends)
+    return found
+
+
 def link_sets(
     rows: DataFrame, nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], jaccard: float, rounds: int = ROUNDS,
+    known: DataFrame | None = None,
 ) -> DataFrame:
     """(member, component) of all nodes linked by exact Jaccard >= ``jaccard``.
 
-    ``rows`` are those of ``shared_places``, ``nodes`` has (node, shingles) with the first shingles only, and
-    ``sets_of`` gives (node, shingles) with all of them for a table of nodes. In each round a node is
-    compared with one other, the first by a random order among those it shares a token with; groups of near
-    copies so become components for one pair a node. Then all pairs that share a token at places that allow
-    it and are still in different components are compared, so that no link between components is lost.
+    ``rows`` are those of ``shared_places``, ``nodes`` has (node, shingles) with the first shingles only,
+    ``sets_of`` gives (node, shingles) with all of them for a table of nodes, and ``known`` are links (a, b)
+    found before. In each round a node is compared with one other, the first by a random order among those it
+    shares a token with; groups of near copies so become components for one pair a node. Then all pairs that
+    share a token at places that allow it and are still in different components are compared, so that no link
+    between components is lost.
     """
     named = [F.col(c).alias(f"l_{c}") for c in ("node", "size", "place", "component")]
     fits = _may_be_similar(F.col("size"), F.col("place"), F.col("l_size"), F.col("l_place"), jaccard) & (F.col("component") != F.col("l_component"))
     edges, linked, left = None, None, rows
+    if known is not None and not known.isEmpty():
+        edges, linked = known, materialize(components(known, "a", "b").withColumnRenamed("node", "member"), "linked")
     for k in range(rounds + 1):
         left = _open(left, linked)
         if k < rounds:
@@ -485,9 +507,9 @@ def link_sets(
         one, other = F.struct(F.col("node").alias("n"), F.col("size").alias("s")), F.struct(F.col("l_node").alias("n"), F.col("l_size").alias("s"))
         pairs = materialize(met.select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y")).select(
             F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.s").alias("a_size"), F.col("y.s").alias("b_size")).distinct(), "pairs")
-        pairs = materialize(_likely(pairs, nodes, jaccard), "likely")
-        ends = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
-        sets = materialize(sets_of(ends), "sets")
+        # Only the first shingles of the nodes of these pairs travel to them.
+        pairs = materialize(_likely(pairs, salted_join(nodes, _ends(pairs), "node", "left_semi"), jaccard), "likely")
+        sets = materialize(sets_of(_ends(pairs)), "sets")
         found = materialize(_exact(pairs, sets, jaccard), "links")
         forget(sets, pairs)
         if edges is not None and found.isEmpty():
@@ -500,7 +522,7 @@ def link_sets(
 def _placed(docs: DataFrame, shingle: int, jaccard: float) -> DataFrame:
     """(doc_id, text_key, component) for every row of ``docs``; text_key is the hash of the text."""
     made = materialize(prefixes(docs, shingle, jaccard, frequencies(docs, shingle)), "prefixes")
-    nodes = materialize(made.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens")), "nodes")
+    nodes = materialize(made.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"), F.first("print").alias("print")), "nodes")
     rows = shared_places(nodes, jaccard)
 
     def sets_of(ends: DataFrame) -> DataFrame:
@@ -511,7 +533,8 @@ def _placed(docs: DataFrame, shingle: int, jaccard: float) -> DataFrame:
         texts = docs.select("doc_id", "text").join(source, same, "left_semi")
         return shingle_sets(texts.dropDuplicates(["doc_id", "text"]), shingle)
 
-    linked = link_sets(rows, nodes.select("node", F.col("tokens").alias("shingles")), sets_of, jaccard)
+    known = walked_pairs(nodes, sets_of, jaccard)
+    linked = link_sets(rows, nodes.select("node", F.col("tokens").alias("shingles")), sets_of, jaccard, known=known)
     return made.join(linked, F.col("node") == F.col("member"), "left").select(
         "doc_id", "text_key", F.coalesce("component", "node").alias("component"))
 
@@ -520,7 +543,8 @@ def keep_one(docs: DataFrame, shingle: int = KEEP_SHINGLE, jaccard: float = KEEP
     """``docs`` with one row of each component, columns as they were.
 
     Texts are linked if the Jaccard similarity of their sets of ``shingle`` words is ``jaccard`` or
-    more, computed from the sets; every such pair is found, or its ends are connected by others.
+    more, computed from the sets: first the pairs the trie walk proposes, then those of the prefix-filter join. Every
+    such pair is found, or its ends are connected by others.
 
     Rows are told apart by doc_id and text, so a repeated or null doc_id says nothing about other
     texts. The row of the smallest doc_id stays (null last), then that of the smallest text key;
