@@ -1,6 +1,7 @@
 """URL aliases, chat layouts, template leaks: hand cases, odd tables, SQL."""
 
 import json
+import time
 
 import numpy as np
 import pytest
@@ -178,6 +179,18 @@ def test_templates_in_any_context(spark):
     assert n.get((4, 1), 0) < n[0, 1]
 
 
+def test_long_list_of_values_takes_no_power_of_its_length(spark):
+    values = [str(100 + k) for k in range(64)]
+    items = spark.createDataFrame([(1, " ".join(values))], "item_id long, text string")
+    texts = ["so " + " ".join(str(900 + k) for k in range(64)), "so " + " ".join(["900"] + [str(900 + k) for k in range(63)])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    began = time.monotonic()
+    got = {r["doc_id"]: (r["n_windows"], r["n_consistent"]) for r in template_leaks.find_leaks(docs, items).collect()}
+    # 900 would stand for the first two values; one place further on all values differ.
+    assert got == {0: (57, 57), 1: (56, 56)}
+    assert time.monotonic() - began < 30
+
+
 def test_relative_targets(spark):
     base = "http://h.net/d/e/p?q=1#f"
     want = {"page2.html": "/d/e/page2.html", "../a": "/d/a", "./x": "/d/e/x", "?id=3": "/d/e/p?id=3", "../../../a/./b?u=../v": "/a/b?u=../v", "/r/../s": "/s",

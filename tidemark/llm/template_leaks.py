@@ -49,11 +49,13 @@ UNITS = (
     "months|month|years|year|miles|mile|meters|metres|inches|feet|pounds|dollars|euros|cents|percent|degrees|"
     "kilograms|grams|liters|litres"
 )
+DIGIT = r"\p{Nd}"
 NUMBER_TEXT = r"\p{Nd}+(?:[.,]\p{Nd}+)*"
 NAME_RUN = r"([\p{Ll},;:]) (\p{Lu}\p{Ll}+(?: \p{Lu}\p{Ll}+)*)"
 NUMBER_UNIT = rf"({NUMBER_TEXT}) ?({UNITS}|[%€$£])([^\p{{L}}\p{{Nd}}]|$)"
 NUMBER_ONLY = rf"(^|[^{NUMBER}\p{{Nd}}.,])({NUMBER_TEXT})"
-GAP = rf"[^\p{{L}}\p{{Nd}}{NAME}-{UNIT}]+"
+# The commonest letters first, as the rest of the class is slower to look up.
+GAP = rf"[^a-z0-9\p{{L}}\p{{Nd}}{NAME}-{UNIT}]+"
 VALUED = rf"[{NAME}-{UNIT}][^{CLOSE}]*{CLOSE}|[\p{{L}}\p{{Nd}}]+"
 # Windows of the benchmark are broadcast up to this number of rows.
 BROADCAST_WINDOWS = 1_000_000
@@ -74,14 +76,16 @@ def _marked(text: Column, name: str, number: str, unit: str, reading: int) -> Co
     else:
         t = F.regexp_replace(text, BLANKS, " ")
         t = F.lower(F.regexp_replace(t, CAPITALS, f"$1 {name} ") if reading == ANYWHERE else t)
-    t = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
-    return F.regexp_replace(t, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
+    numbered = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
+    numbered = F.regexp_replace(numbered, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
+    # Most texts have no digit, which one look tells for every reading.
+    return F.when(text.rlike(DIGIT), numbered).otherwise(t)
 
 
 def template_tokens(text: Column, reading: int = INSIDE) -> Column:
     """Words and placeholders of a text; an empty list for null."""
     marked = _marked(_clean(text), NAME, NUMBER, UNIT, reading)
-    return F.filter(F.split(marked, GAP), lambda w: w != "")
+    return F.array_remove(F.split(marked, GAP), "")
 
 
 def valued_tokens(text: Column, reading: int = INSIDE) -> Column:
@@ -95,12 +99,14 @@ def word_hashes(words: Column) -> Column:
     return F.transform(words, lambda w: F.xxhash64(w))
 
 
-def windows_of(numbers: Column, width: Column | int) -> Column:
-    """Hashes of all windows of ``width`` words, in order of their places, from the words' numbers."""
-    width = F.lit(width) if isinstance(width, int) else width
-    places = F.when(F.size(numbers) >= width, F.sequence(F.lit(1), F.size(numbers) - width + 1)).otherwise(
-        F.array().cast("array<int>"))
-    return F.transform(places, lambda i: F.xxhash64(F.slice(numbers, i, width)))
+def window_places(numbers: Column, width: Column) -> Column:
+    """A row for each window of ``width`` words: where it begins, from 0."""
+    return F.explode(F.when(F.size(numbers) >= width, F.sequence(F.lit(0), F.size(numbers) - width)))
+
+
+def window_hash(numbers: Column, place: Column, width: Column) -> Column:
+    """The hash of one window from the words' numbers; taken row by row, not in a list of all windows."""
+    return F.xxhash64(F.slice(numbers, place + 1, width))
 
 
 def item_windows(items: DataFrame, window: int) -> DataFrame:
@@ -114,7 +120,8 @@ def item_windows(items: DataFrame, window: int) -> DataFrame:
         sized = words.where(F.size("words") > 0).withColumn("width", F.least(F.size("words"), F.lit(window)))
         made = sized.select(
             F.lit(reading).alias("reading"), "item_key", "width", "words", (F.size("words") - F.col("width") + 1).alias("total"),
-            F.posexplode(windows_of(word_hashes(F.col("words")), F.col("width"))).alias("item_pos", "hash"))
+            window_places(F.col("words"), F.col("width")).alias("item_pos")
+        ).withColumn("hash", window_hash(word_hashes(F.col("words")), F.col("item_pos"), F.col("width")))
         if reading == ANYWHERE:
             plain = F.size(F.filter(F.slice("words", F.col("item_pos") + 1, F.col("width")), lambda w: ~w.rlike(f"^[{NAME}-{UNIT}]")))
             made = made.where((F.col("width") == window) & (2 * plain >= window))
@@ -128,21 +135,34 @@ def _kind(word: Column) -> Column:
     return F.when(word.rlike(f"^[{NAME}-{UNIT}]"), F.substring(word, 1, 1)).otherwise(word)
 
 
+def _bound(value: Column, then) -> Column:
+    """``then(value)`` with the value computed once, however often ``then`` uses it."""
+    return F.element_at(F.transform(F.array(value), then), 1)
+
+
 def _consistent_places() -> Column:
     """Places of an alignment whose windows hold no token that breaks the exchange of values."""
     at = lambda j: F.struct(
         j.alias("j"), F.element_at("item_words", j + 1).alias("i"),
         F.try_element_at("doc_words", j + F.col("align") + 1).alias("d"))
+    # Each place covers the ``width`` tokens from it on.
     covered = F.filter(
-        F.sequence(F.lit(0), F.size("item_words") - 1),
-        lambda j: F.exists("places", lambda p: (p <= j) & (j < p + F.col("width"))))
-    facing = F.transform(covered, at)
-    slots = F.filter(facing, lambda x: x["i"].rlike(f"^[{NAME}-{UNIT}]"))
-    broken = F.filter(slots, lambda x: F.exists(slots, lambda y: (x["i"] == y["i"]) != (x["d"] == y["d"])))
-    # Guards against equal hashes of different windows.
-    other = F.filter(facing, lambda x: ~F.coalesce(_kind(x["i"]) == _kind(x["d"]), F.lit(False)))
-    bad = F.transform(F.concat(broken, other), lambda x: x["j"])
-    return F.filter("places", lambda p: ~F.exists(bad, lambda j: (p <= j) & (j < p + F.col("width"))))
+        F.array_distinct(F.flatten(F.transform("places", lambda p: F.sequence(p, p + F.col("width") - 1)))),
+        lambda j: j < F.size("item_words"))
+
+    def sound(facing: Column) -> Column:
+        slots = F.filter(facing, lambda x: x["i"].rlike(f"^[{NAME}-{UNIT}]"))
+        # A pair of values that stands for itself alone breaks nothing, so different pairs are compared only.
+        pairs = F.array_distinct(F.transform(slots, lambda x: F.struct(x["i"].alias("i"), x["d"].alias("d"))))
+        clash = _bound(pairs, lambda given: F.filter(given, lambda x: F.exists(given, lambda y: (x["i"] == y["i"]) != (x["d"] == y["d"]))))
+        # Guards against equal hashes of different windows.
+        other = F.filter(facing, lambda x: ~F.coalesce(_kind(x["i"]) == _kind(x["d"]), F.lit(False)))
+        broken = _bound(clash, lambda wrong: F.filter(slots, lambda x: F.exists(wrong, lambda y: (x["i"] == y["i"]) & x["d"].eqNullSafe(y["d"]))))
+        return _bound(
+            F.transform(F.concat(broken, other), lambda x: x["j"]),
+            lambda bad: F.filter("places", lambda p: ~F.exists(bad, lambda j: (p <= j) & (j < p + F.col("width")))))
+
+    return _bound(F.transform(covered, at), sound)
 
 
 def find_leaks(
@@ -163,8 +183,11 @@ def find_leaks(
     each = read.select("doc_id", "text_key", F.explode(F.array(*[
         F.struct(F.lit(r).alias("reading"), F.lit(w).alias("width"), F.col(f"numbers_{r}").alias("numbers")) for r, w in kinds])).alias("k"))
     spread = each.select("doc_id", "text_key", "k.*").select(
-        "doc_id", "text_key", "reading", "width", F.posexplode(windows_of(F.col("numbers"), F.col("width"))).alias("pos", "hash"))
-    hits = spread.join(lookup, ["hash", "reading", "width"]).select(
+        "*", window_places(F.col("numbers"), F.col("width")).alias("pos")
+    ).withColumn("hash", window_hash(F.col("numbers"), F.col("pos"), F.col("width"))).drop("numbers")
+    # One number as the key is looked up faster than three columns; reading and width are compared where it hits.
+    hits = spread.withColumnsRenamed({"reading": "own_reading", "width": "own_width"}).join(
+        lookup, (spread["hash"] == lookup["hash"]) & (F.col("own_reading") - F.col("reading") == 0) & (F.col("own_width") - F.col("width") == 0)).select(
         "reading", "doc_id", "text_key", "item_key", "width", "item_pos", (F.col("pos") - F.col("item_pos")).alias("align"))
     need = known.select("reading", "item_key", F.least("total", F.lit(min_windows)).alias("need")).distinct()
     aligned = materialize(
