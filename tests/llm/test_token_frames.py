@@ -39,6 +39,18 @@ def test_ids_of_random_texts(both, text):
     same(both, text)
 
 
+def test_words_cost_their_merges_only():
+    """A new word goes to the model alone, not through the whole library again; ids are the same."""
+    whole = Tokenizer.from_file(PATH)
+
+    class Model:
+        model = whole.model  # no encode()
+
+    words = token_frames.WordCache(Model())
+    for word in ("word", " naïve", "¼", "\x85", " \x1c\x7f", "ſ", "a" * 3000, " $$$", "\n\n", "'ll"):
+        assert np.frombuffer(words[word], "<u4").tolist() == whole.encode(word, add_special_tokens=False).ids
+
+
 def test_round_trip(spark, both, tmp_path):
     rows = [(i, CASES[i % len(CASES)] * (1 + i % 3)) for i in range(200)] + [(5, "again"), (5, "again"), (7, None), (None, "no id")]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)

@@ -55,18 +55,29 @@ _WORD = re.compile(
 _WIDE = re.compile("[^\x00-ſ]")
 
 
+def _byte_letters() -> str:
+    """The letter by which the byte-level pre-tokeniser writes each byte."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = iter(range(256, 512))
+    return "".join(chr(b if b in shown else next(hidden)) for b in range(256))
+
+
+_LETTERS = _byte_letters()
+
+
 class WordCache(dict):
-    """Ids of a word as bytes, found by the library when first asked for."""
+    """Ids of a word as bytes, found by the library's model when first asked for."""
 
     def __init__(self, tokenizer):
         super().__init__()
-        self.tokenizer = tokenizer
+        self.model = tokenizer.model
 
     def __missing__(self, word: str) -> bytes:
         if len(self) >= CACHE:
             self.clear()
-        ids = np.array(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
-        self[word] = ids
+        # The word is cut already, so only the merges are left to do.
+        found = self.model.tokenize(word.encode().decode("latin-1").translate(_LETTERS))
+        self[word] = ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
         return ids
 
 
