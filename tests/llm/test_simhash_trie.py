@@ -205,6 +205,21 @@ def test_all_pairs_of_a_brute_force_count(spark, rounds):
     assert linked_nodes(spark, sets, rounds) == want
 
 
+def test_tables_that_grow_with_the_texts_are_not_sent_whole(spark, monkeypatch):
+    """Every join by token or node has a bound of its own, and beyond it gives the same components."""
+    draw = np.random.default_rng(9)
+    sets = {n: set(draw.choice(300, 30, replace=False).tolist()) for n in range(20)}
+    sets |= {20 + n: (s | {1_000 + n}) - {min(s)} for n, s in sets.items()} | {40 + n: {*range(2_000, 2_030), 3_000 + n} for n in range(20)}
+    want = linked_nodes(spark, sets, 2)
+    assert len(set(want.values())) >= 10
+    bounds, joined = [], st.salted_join
+    monkeypatch.setattr(st, "BROADCAST_BYTES", -1)
+    monkeypatch.setattr(st, "salted_join", lambda facts, keyed, on, how="inner", spread=(), broadcast_bytes=None, counts=None: (
+        bounds.append(broadcast_bytes) or joined(facts, keyed, on, how, spread, broadcast_bytes, counts)))
+    assert linked_nodes(spark, sets, 2) == want
+    assert len(bounds) >= 8 and set(bounds) == {-1}
+
+
 def slow_groups(ids, pairs):
     parent = {i: i for i in ids}
 

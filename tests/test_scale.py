@@ -106,3 +106,22 @@ def test_salted_join_reads_facts_once_when_the_keys_are_few(spark):
     keyed = spark.read.parquet("/root/testdata/sf0.001/customer.parquet").select(F.col("c_custkey").alias("o_custkey"), "c_name")
     plan = scale.salted_join(facts, keyed, "o_custkey")._jdf.queryExecution().executedPlan().toString()
     assert plan.count("orders.parquet") == 1 and "BroadcastHashJoin" in plan
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_join_with_a_lower_bound_and_known_counts(spark, rows, how):
+    """A table over the caller's bound is not broadcast, and given counts find the hot key without a look at the facts."""
+    facts = spark.range(4_000).select(F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(0).alias("k"), "id")
+    keyed = spark.range(0, 4_000, 2).select(F.col("id").alias("k"), (F.col("id") * 7).alias("v"))
+    counts = spark.createDataFrame([(0, 2_667), (6, 1)], "k long, _n long")
+    got = scale.salted_join(facts, keyed, "k", how, ["id"], 1_000, counts)
+    assert rows(got) == rows(facts.join(keyed, "k", how))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = scale.salted_join(facts, keyed, "k", how, ["id"], 1_000, counts)._jdf.queryExecution().executedPlan().toString()
+        # Only the hot keys are sent, once for each side.
+        assert plan.count("BroadcastExchange") <= 2 and "SortMergeJoin" in plan
+        assert "SortMergeJoin" not in scale.salted_join(facts, keyed, "k", how, ["id"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

@@ -46,7 +46,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.scale import salted_join
-from .shared import components, forget, fresh, materialize
+from .shared import collect_garbage, components, forget, fresh, materialize
 
 SHINGLE, BUDGET, SEED = 4, 4, 42
 # For one document of each group: words of a shingle, and similarity.
@@ -54,6 +54,8 @@ KEEP_SHINGLE, KEEP_JACCARD = 5, 0.8
 # Bins of shingles whose frequencies order them, and comparisons of single pairs before all others.
 SKETCH_BITS, ROUNDS = 18, 2
 PART_PAIRS = 200
+# Tables of shingles or nodes up to this size are broadcast, larger ones are joined by a shuffle: they grow with the texts, and the driver holds them.
+BROADCAST_BYTES = 8 << 20
 GROUP_ROWS = 20_000
 # Pairs of nodes with at most so many pairs of fingerprints are compared outright.
 LEAF, STEP = 64, 1 << 21
@@ -426,10 +428,18 @@ def shared_places(nodes: DataFrame, jaccard: float) -> DataFrame:
     smallest size among them: in a large family most members have too many shingles of their own before the first shared one.
     """
     places = nodes.select(F.posexplode("tokens").alias("place", "token"), "node", "size")
-    shared = materialize(places.groupBy("token").agg(F.count("*").alias("n"), F.min("size").alias("least")).where("n > 1").drop("n"), "shared")
+    shared = materialize(places.groupBy("token").agg(F.count("*").alias("_n"), F.min("size").alias("least")).where("_n > 1"), "shared")
+    collect_garbage(nodes.sparkSession)
     other = F.greatest(F.col("least"), F.ceil(F.col("size") * F.lit(jaccard) - 1e-9))
-    fits = salted_join(places, shared, "token", spread=["node"]).where(F.col("size") - F.col("place") >= _need(F.col("size"), other, jaccard))
-    return materialize(fits.select("token", "node", "size", "place"), "places")
+    fits = _by_token(places, shared.drop("_n"), "inner", shared).where(F.col("size") - F.col("place") >= _need(F.col("size"), other, jaccard))
+    found = materialize(fits.select("token", "node", "size", "place"), "places")
+    forget(shared)
+    return found
+
+
+def _by_token(rows: DataFrame, keyed: DataFrame, how: str, counts: DataFrame) -> DataFrame:
+    """``salted_join`` by token; ``counts`` has the number of a token's rows in ``_n``."""
+    return salted_join(rows, keyed, "token", how, ["node"], BROADCAST_BYTES, counts.select("token", "_n"))
 
 
 def _open(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
@@ -439,8 +449,11 @@ def _open(rows: DataFrame, linked: DataFrame | None) -> DataFrame:
         placed = own.withColumn("component", F.col("node"))
     else:
         placed = own.join(linked, F.col("node") == F.col("member"), "left").select(*own.columns, F.coalesce("component", "node").alias("component"))
-    several = placed.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("token")
-    return materialize(salted_join(placed, materialize(several, "several"), "token", "left_semi", ["node"]), "open")
+    several = materialize(placed.groupBy("token").agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.count("*").alias("_n")).where("lo <> hi").select("token", "_n"), "several")
+    found = materialize(_by_token(placed, several.select("token"), "left_semi", several), "open")
+    forget(several)
+    return found
 
 
 def _likely(pairs: DataFrame, nodes: DataFrame, jaccard: float) -> DataFrame:
@@ -467,6 +480,7 @@ def walked_pairs(nodes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], ja
     sets = materialize(sets_of(ends), "sets")
     found = materialize(_exact(pairs, sets, jaccard), "links")
     forget(sets, pairs, ends)
+    collect_garbage(nodes.sparkSession)
     return found
 
 
@@ -492,26 +506,28 @@ def link_sets(
         left = _open(left, linked)
         if k < rounds:
             turn = F.xxhash64("node", F.lit(k))
-            lead = left.groupBy("token").agg(F.min_by(F.struct("node", "size", "place", "component"), F.struct(turn, "node")).alias("l")).select(
-                "token", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size", "place", "component")])
-            met = salted_join(left, materialize(lead, "lead"), "token", spread=["node"]).where(fits)
+            lead = materialize(left.groupBy("token").agg(
+                F.min_by(F.struct("node", "size", "place", "component"), F.struct(turn, "node")).alias("l"), F.count("*").alias("_n")).select(
+                "token", "_n", *[F.col(f"l.{c}").alias(f"l_{c}") for c in ("node", "size", "place", "component")]), "lead")
+            met = _by_token(left, lead.drop("_n"), "inner", lead).where(fits)
             met = met.groupBy("node", "size").agg(
                 F.min_by(F.struct("l_node", "l_size"), F.struct(F.xxhash64("l_node", F.lit(k)), "l_node")).alias("l")).select(
                 "node", "size", "l.l_node", "l.l_size")
         else:
             # Everything outside a token's largest component meets all others.
-            largest = left.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
-                F.max_by("component", F.struct("n", "component")).alias("main"))
-            rest = salted_join(left, materialize(largest, "largest"), "token", spread=["node"]).where("component <> main").select("token", *named)
+            largest = materialize(left.groupBy("token", "component").agg(F.count("*").alias("n")).groupBy("token").agg(
+                F.max_by("component", F.struct("n", "component")).alias("main"), F.sum("n").alias("_n")), "largest")
+            rest = _by_token(left, largest.drop("_n"), "inner", largest).where("component <> main").select("token", *named)
             met = left.join(materialize(rest, "rest"), "token").where(fits)
         one, other = F.struct(F.col("node").alias("n"), F.col("size").alias("s")), F.struct(F.col("l_node").alias("n"), F.col("l_size").alias("s"))
         pairs = materialize(met.select(F.least(one, other).alias("x"), F.greatest(one, other).alias("y")).select(
             F.col("x.n").alias("a"), F.col("y.n").alias("b"), F.col("x.s").alias("a_size"), F.col("y.s").alias("b_size")).distinct(), "pairs")
         # Only the first shingles of the nodes of these pairs travel to them.
-        pairs = materialize(_likely(pairs, salted_join(nodes, _ends(pairs), "node", "left_semi"), jaccard), "likely")
+        pairs = materialize(_likely(pairs, salted_join(nodes, _ends(pairs), "node", "left_semi", broadcast_bytes=BROADCAST_BYTES), jaccard), "likely")
         sets = materialize(sets_of(_ends(pairs)), "sets")
         found = materialize(_exact(pairs, sets, jaccard), "links")
         forget(sets, pairs)
+        collect_garbage(nodes.sparkSession)
         if edges is not None and found.isEmpty():
             continue
         edges = found if edges is None else materialize(edges.unionByName(found).distinct(), "edges")
@@ -523,6 +539,10 @@ def _placed(docs: DataFrame, shingle: int, jaccard: float) -> DataFrame:
     """(doc_id, text_key, component) for every row of ``docs``; text_key is the hash of the text."""
     made = materialize(prefixes(docs, shingle, jaccard, frequencies(docs, shingle)), "prefixes")
     nodes = materialize(made.groupBy("node").agg(F.first("size").alias("size"), F.first("tokens").alias("tokens"), F.first("print").alias("print")), "nodes")
+    # The shingles stay with the nodes alone.
+    whole, made = made, materialize(made.select("doc_id", "text_key", "node"), "keys")
+    forget(whole)
+    collect_garbage(docs.sparkSession)
     rows = shared_places(nodes, jaccard)
 
     def sets_of(ends: DataFrame) -> DataFrame:

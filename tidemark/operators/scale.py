@@ -65,20 +65,23 @@ def measured_bytes(df: DataFrame) -> int:
 
 def salted_join(
     facts: DataFrame, keyed: DataFrame, on: str | Sequence[str], how: str = "inner",
-    spread: Sequence[str] = (),
+    spread: Sequence[str] = (), broadcast_bytes: int | None = None, counts: DataFrame | None = None,
 ) -> DataFrame:
     """Join many rows to a table with one row per key when a few keys dominate.
 
-    A keyed table of up to ``BROADCAST_BYTES`` is broadcast, and the facts are read once. Otherwise
+    A keyed table of up to ``BROADCAST_BYTES`` is broadcast, and the facts are read once; ``broadcast_bytes``
+    lowers that bound, as the driver holds such a table several times over while it is sent. Otherwise
     hot keys are found by a pre-aggregated count. Their facts are spread over ``SALTS`` parts by a
     hash of the ``spread`` columns and their keyed rows (at most 1,000, see ``HOT_SHARE``) are
     repeated once per part. Everything else joins as usual. Exact for any distribution; ``how`` is
-    inner, left, left_semi or left_anti.
+    inner, left, left_semi or left_anti. ``counts``, if given, is a stored table of the keys with the number of
+    their facts in ``_n``, which saves the count.
     """
     keys = [on] if isinstance(on, str) else list(on)
-    if measured_bytes(keyed) <= BROADCAST_BYTES:
+    if measured_bytes(keyed) <= min(BROADCAST_BYTES, BROADCAST_BYTES if broadcast_bytes is None else broadcast_bytes):
         return facts.join(F.broadcast(keyed), keys, how)
-    counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
+    if counts is None:
+        counts = facts.groupBy(*keys).agg(F.count("*").alias("_n"))
     total = counts.agg(F.sum("_n").alias("_n")).scalar()
     hot = counts.where(F.col("_n") > total * F.lit(HOT_SHARE)).select(*keys, F.lit(True).alias("_hot"))
     hot = F.broadcast(hot)
