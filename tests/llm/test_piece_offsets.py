@@ -86,3 +86,17 @@ def test_tables(spark):
     both = piece_offsets.encode(df, PATH, decoded="back")
     assert both.columns == ["doc_id", "text", "ids", "starts", "ends", "back"]
     assert sorted(r["back"] for r in both.collect()) == sorted(t or "" for _, t, _ in rows)
+
+
+def test_new_segments_of_a_text_are_merged_by_one_call(ours, theirs, monkeypatch):
+    calls, merge = [], ours.merger.encode
+    monkeypatch.setattr(ours, "merger", type("Merger", (), {
+        "encode": staticmethod(lambda given, **options: calls.append(given) or merge(given, **options))}))
+    monkeypatch.setattr(piece_offsets, "CACHE", 50)
+    ours.forget()
+    texts = [" ".join(f"w{k * n}q" for n in range(40)) for k in range(1, 6)]
+    for text in [*texts, " ".join(texts), *texts]:
+        calls.clear()
+        check(ours, theirs, text)
+        assert len(calls) <= 1
+    ours.forget()

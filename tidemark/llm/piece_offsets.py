@@ -4,12 +4,12 @@ A text is first normalised: the longest prefix the model's compiled character ma
 by its image, other characters are copied, spaces become U+2581, and a dummy prefix is put in
 front. While doing so the place in the original bytes is recorded for every normalised byte. The
 normalised text is then cut before every run of U+2581 (no piece of such a model crosses that
-boundary, which is checked when the model is loaded), every different segment is merged into pieces
-once per task, and each piece's normalised bytes are projected to a span of original bytes.
+boundary, which is checked when the model is loaded), the segments of a text that are new are merged into
+pieces in one call, and each piece's normalised bytes are projected to a span of original bytes.
 
 Texts without any character that the map or the white-space rules touch take a shorter way: there a
-space is the only symbol whose length changes, so piece lengths in original bytes are a property
-of the segment and are kept with it.
+space is the only symbol whose length changes, so its length in original bytes is a property of
+the piece.
 
 Decoding is the reverse: byte pieces are collected and read as UTF-8, invalid bytes become U+FFFD,
 control pieces give nothing, and the dummy prefix is taken off.
@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,7 +36,7 @@ from pyspark.sql import types as T
 from .shared import fresh
 
 SPACE = "▁"
-CACHE = 60_000
+CACHE = 200_000
 OUTPUTS = ("ids", "starts", "ends")
 
 
@@ -96,7 +97,7 @@ class Model:
         spec.precompiled_charsmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces = b"", False, False
         self.merger = sentencepiece.SentencePieceProcessor(model_proto=model.SerializeToString())
         self.end = self.merger.eos_id()
-        self.surface, self.kind, self.length = [], [], []
+        self.surface, self.kind, self.length, plain = [], [], [], []
         crosses = False
         for p in model.pieces:
             raw = p.piece.encode()
@@ -109,13 +110,15 @@ class Model:
                 crosses = crosses or SPACE in p.piece.lstrip(SPACE)
             self.kind.append(p.type)
             self.length.append(1 if p.type == 6 else len(raw))
+            # Original bytes of the piece if every U+2581 stands for one space.
+            plain.append(self.length[-1] - 2 * self.surface[-1].count(b" ") if p.type == 1 else self.length[-1])
+        self.plain_length = np.array(plain, np.int32)
         if not model.trainer_spec.byte_fallback:
             raise ValueError("models without byte fallback are not supported")
         self.segment = re.compile(".*" if crosses else f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+", re.DOTALL)
         # The same cut on a text whose spaces are not yet escaped.
         self.raw_segment = re.compile(r".+" if crosses else " +[^ ]*|[^ ]+", re.DOTALL)
         self.ids: dict[str, bytes] = {}
-        self.spans: dict[str, bytes] = {}
 
     def normalise(self, text: bytes) -> tuple[bytes, np.ndarray]:
         """Normalised bytes, and for each of them (and the end) its place in ``text``.
@@ -167,21 +170,16 @@ class Model:
         places = places[:len(out)] + [at]
         return bytes(out), np.array(places, np.int64)
 
-    def _learn(self, segment: str, key: str) -> None:
-        ids = self.merger.encode(segment)
-        if len(self.ids) >= CACHE:
-            self.ids.clear()
-            self.spans.clear()
-        self.ids[key] = np.array(ids, "<i4").tobytes()
-        # Original bytes of each piece if every U+2581 stands for one space.
-        self.spans[key] = np.array(
-            [self.length[i] - 2 * self.surface[i].count(b" ") if self.kind[i] == 1 else self.length[i] for i in ids],
-            "<i4").tobytes()
+    def _learn(self, segments: list[str]) -> None:
+        """Merge segments, with spaces not yet escaped, by one call of the library."""
+        found = self.merger.encode([s.replace(" ", SPACE) for s in segments], num_threads=1)
+        flat = np.fromiter(chain.from_iterable(found), "<i4").tobytes()
+        ends = [4 * k for k in accumulate(map(len, found))]
+        self.ids.update(zip(segments, [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)], strict=True))
 
     def forget(self) -> None:
         """Give back the memory of the cache between tasks."""
         self.ids.clear()
-        self.spans.clear()
 
     def is_plain(self, text: str) -> bool:
         if self.squeeze or not self.dummy or self.plain_only_ascii and not text.isascii():
@@ -196,21 +194,18 @@ class Model:
         if not self.is_plain(text):
             return self._encode_mapped(text)
         segments = self.raw_segment.findall(" " + text)
-        try:
-            ids = b"".join(map(self.ids.__getitem__, segments))
-            spans = b"".join(map(self.spans.__getitem__, segments))
-        except KeyError:
-            found, lengths = [], []
-            for s in segments:
-                if s not in self.ids:
-                    self._learn(s.replace(" ", SPACE), s)
-                found.append(self.ids[s])
-                lengths.append(self.spans[s])
-            ids, spans = b"".join(found), b"".join(lengths)
-        ends = np.cumsum(np.frombuffer(spans, "<i4"), dtype=np.int32)
-        starts = ends - np.frombuffer(spans, "<i4")
+        new = set(segments).difference(self.ids)
+        if new:
+            if len(self.ids) + len(new) > CACHE:
+                self.ids.clear()
+                new = set(segments)
+            self._learn(list(new))
+        ids = np.frombuffer(b"".join(map(self.ids.__getitem__, segments)), "<i4")
+        lengths = self.plain_length[ids]
+        ends = np.cumsum(lengths, dtype=np.int32)
+        starts = ends - lengths
         # The dummy prefix takes no byte of the text.
-        return np.frombuffer(ids, "<i4"), np.maximum(starts - 1, 0), ends - 1
+        return ids, np.maximum(starts - 1, 0), ends - 1
 
     def _encode_mapped(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         normal, places = self.normalise(text.encode())
@@ -221,9 +216,9 @@ class Model:
         return np.array(ids, np.int32), places[cuts[:-1]].astype(np.int32), places[cuts[1:]].astype(np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
-        surface = self.surface
-        raw = b"".join([surface[i] for i in ids.tolist()])
-        first = next((i for i in ids.tolist() if self.kind[i] != 3), None) if self.dummy else None
+        given = ids.tolist()
+        raw = b"".join(map(self.surface.__getitem__, given))
+        first = next((i for i in given if self.kind[i] != 3), None) if self.dummy else None
         if first is not None and self.kind[first] == 1 and raw.startswith(b" "):
             raw = raw[1:]
         try:
