@@ -199,3 +199,20 @@ def test_relative_targets(spark):
     links = url_alias.page_links(spark.createDataFrame(rows, "url string, html string")).collect()
     urls = {"http:" + w if w.startswith("//") else "http://h.net" + w for w in want.values() if w}
     assert {r["b"] for r in links} == urls | {"http://bare.net/x"}
+
+
+def test_all_readings_share_the_looks_at_a_text(spark, monkeypatch):
+    plans, store = {}, template_leaks.materialize
+
+    def kept(df, label):
+        plans[label] = df._jdf.queryExecution().optimizedPlan().toString()
+        return store(df, label)
+
+    monkeypatch.setattr(template_leaks, "materialize", kept)
+    items = spark.createDataFrame([(1, "How many apples does Anna have if she buys 3 bags of 12 apples each day?")], "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, "First.  How many apples does Bob have if she buys 5 bags of 20 apples each day?"), (2, None), (3, "no such thing")],
+        "doc_id long, text string")
+    assert [r["doc_id"] for r in template_leaks.find_leaks(docs, items).collect()] == [1]
+    assert plans["aligned"].count(template_leaks.BLANKS) == 1
+    assert plans["aligned"].count(f", {template_leaks.DIGIT})") == 1

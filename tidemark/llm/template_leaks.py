@@ -70,27 +70,36 @@ def _clean(text: Column) -> Column:
     return F.when(text.rlike(MARKS), F.regexp_replace(text, MARKS, " ")).otherwise(text)
 
 
-def _marked(text: Column, name: str, number: str, unit: str, reading: int) -> Column:
+def _looks(clean: Column) -> tuple[Column, Column, Column]:
+    """What the readings need of a clean text: itself, with normal white space, and whether it has a digit."""
+    return clean, F.regexp_replace(clean, BLANKS, " "), clean.rlike(DIGIT)
+
+
+def _marked(looks: tuple[Column, Column, Column], name: str, number: str, unit: str, reading: int) -> Column:
+    text, spaced, digits = looks
     if reading == INSIDE:
         t = F.lower(F.regexp_replace(text, NAME_RUN, f"$1 {name} "))
     else:
-        t = F.regexp_replace(text, BLANKS, " ")
+        t = spaced
         t = F.lower(F.regexp_replace(t, CAPITALS, f"$1 {name} ") if reading == ANYWHERE else t)
     numbered = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
     numbered = F.regexp_replace(numbered, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
     # Most texts have no digit, which one look tells for every reading.
-    return F.when(text.rlike(DIGIT), numbered).otherwise(t)
+    return F.when(digits, numbered).otherwise(t)
+
+
+def _template(looks: tuple[Column, Column, Column], reading: int) -> Column:
+    return F.array_remove(F.split(_marked(looks, NAME, NUMBER, UNIT, reading), GAP), "")
 
 
 def template_tokens(text: Column, reading: int = INSIDE) -> Column:
     """Words and placeholders of a text; an empty list for null."""
-    marked = _marked(_clean(text), NAME, NUMBER, UNIT, reading)
-    return F.array_remove(F.split(marked, GAP), "")
+    return _template(_looks(_clean(text)), reading)
 
 
 def valued_tokens(text: Column, reading: int = INSIDE) -> Column:
     """The same list with each placeholder followed by the value it stands for."""
-    marked = _marked(_clean(text), f"{NAME}$2{CLOSE}", f"{NUMBER}$1{CLOSE}", f"{UNIT}$2{CLOSE}", reading)
+    marked = _marked(_looks(_clean(text)), f"{NAME}$2{CLOSE}", f"{NUMBER}$1{CLOSE}", f"{UNIT}$2{CLOSE}", reading)
     return F.regexp_extract_all(marked, F.lit(VALUED), F.lit(0))
 
 
@@ -178,8 +187,12 @@ def find_leaks(
     keyed = docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text")
     kinds = kinds or [(INSIDE, window)]
     # Each text is read once in each way; its words then give the windows of every width.
-    read = keyed.select("doc_id", "text_key", *[
-        word_hashes(template_tokens(F.col("text"), r)).alias(f"numbers_{r}") for r in sorted({r for r, _ in kinds})])
+    # Columns of their own, as Spark would look again for each reading.
+    looks = ("clean", "spaced", "digits")
+    looked = keyed.select("doc_id", "text_key", _clean(F.col("text")).alias("clean")).select(
+        "doc_id", "text_key", *(c.alias(n) for c, n in zip(_looks(F.col("clean")), looks, strict=True)))
+    read = looked.select("doc_id", "text_key", *[
+        word_hashes(_template(tuple(map(F.col, looks)), r)).alias(f"numbers_{r}") for r in sorted({r for r, _ in kinds})])
     each = read.select("doc_id", "text_key", F.explode(F.array(*[
         F.struct(F.lit(r).alias("reading"), F.lit(w).alias("width"), F.col(f"numbers_{r}").alias("numbers")) for r, w in kinds])).alias("k"))
     spread = each.select("doc_id", "text_key", "k.*").select(
