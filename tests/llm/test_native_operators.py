@@ -216,3 +216,26 @@ def test_all_readings_share_the_looks_at_a_text(spark, monkeypatch):
     assert [r["doc_id"] for r in template_leaks.find_leaks(docs, items).collect()] == [1]
     assert plans["aligned"].count(template_leaks.BLANKS) == 1
     assert plans["aligned"].count(f", {template_leaks.DIGIT})") == 1
+
+
+def test_long_runs_fit_the_stack_of_a_task(spark):
+    """Runs of names and of numbers far beyond what one stack frame for each would allow; an item after each."""
+    names, numbers = "Alpha " * 20_000, "1" + ",22" * 20_000
+    texts = [f"we saw {names}and then {ITEMS[5][1]}", f"we saw {numbers} and then {ITEMS[5][1]}", f"{names}{numbers} km", ITEMS[5][1]]
+    got = leaks(spark, texts)
+    assert got == {(0, 5): (7, 7), (1, 5): (7, 7), (3, 5): (7, 7)}
+    words = spark.createDataFrame([(texts[2],)], "text string").select(
+        *(F.size(template_leaks.template_tokens(F.col("text"), r)) for r in template_leaks.READINGS)).first()
+    # The number and its unit come last. Inside sentences the first name of the text is a word.
+    assert tuple(words) == (4, 20_002, 3)
+
+
+def test_kept_runs_match_what_the_patterns_match(spark):
+    draw, t = np.random.default_rng(5), template_leaks
+    parts = ["Alpha ", "Beta", "GammaX ", "Delta9", "A ", "a", "so ", " ", "  ", "\n", ",", ".", "kg", " kg ", "%", "5", "12 ", "1.5", "3,4 ", "7.", "1,2,3 km ", "\u0662", "\u00c9a "]
+    rows = [("".join(draw.choice(parts, draw.integers(1, 15))),) for _ in range(5_000)]
+    pairs = [(t.NAME_RUN, t.NAMES_KEPT), (t.CAPITALS, t.CAPITALS_KEPT), (t.NUMBER_UNIT, t.UNIT_KEPT), (t.NUMBER_ONLY, t.NUMBER_KEPT)]
+    same = [F.regexp_replace("text", a, "<$1|$2>") == F.regexp_replace("text", b, "<$1|$2>") for a, b in pairs]
+    found = [F.sum(F.col("text").rlike(a).cast("int")) for a, _ in pairs]
+    got = spark.createDataFrame(rows, "text string").select(*(F.min(s) for s in same), *found).first()
+    assert all(got[:4]) and min(got[4:]) > 500

@@ -63,6 +63,16 @@ WINDOW, MIN_WINDOWS = 8, 4
 CAPITALS = r"(^|[^\p{L}\p{Nd}])(?:\p{Lu}\p{Ll}+ )*(\p{Lu}\p{Ll}+)(?![\p{L}\p{Nd}])"
 BLANKS = r"[\s\p{Z}]+"
 READINGS = INSIDE, LITERAL, ANYWHERE = 0, 1, 2
+# What Spark runs in place of the patterns above; they find the same. Java goes one call deeper for each repeat of a group
+# that may be given back, and a run of some 2,000 names or numbers overflows the stack of its task, which ends the executor.
+# No run is ever matched in part, as nothing that may follow one also continues it, so its repeats are kept (``*+``).
+NAMES_KEPT = NAME_RUN.replace(")*", ")*+")
+NUMBER_KEPT = NUMBER_ONLY.replace(")*", ")*+")
+# A number is tried from its first digit only, else a list of numbers without a unit is read again from each of them.
+UNIT_KEPT = NUMBER_UNIT.replace(NUMBER_TEXT, r"\p{Nd}(?<!\p{Nd}[.,]?\p{Nd})\p{Nd}*+(?:[.,]\p{Nd}++)*+")
+# Names before the last are taken while a whole name follows.
+CAPITALS_KEPT = (
+    r"(^|[^\p{L}\p{Nd}])(?:\p{Lu}\p{Ll}++ (?=\p{Lu}\p{Ll}++(?![\p{L}\p{Nd}])))*+(\p{Lu}\p{Ll}++)(?![\p{L}\p{Nd}])")
 
 
 def _clean(text: Column) -> Column:
@@ -78,12 +88,12 @@ def _looks(clean: Column) -> tuple[Column, Column, Column]:
 def _marked(looks: tuple[Column, Column, Column], name: str, number: str, unit: str, reading: int) -> Column:
     text, spaced, digits = looks
     if reading == INSIDE:
-        t = F.lower(F.regexp_replace(text, NAME_RUN, f"$1 {name} "))
+        t = F.lower(F.regexp_replace(text, NAMES_KEPT, f"$1 {name} "))
     else:
         t = spaced
-        t = F.lower(F.regexp_replace(t, CAPITALS, f"$1 {name} ") if reading == ANYWHERE else t)
-    numbered = F.regexp_replace(t, NUMBER_UNIT, f" {number} {unit} $3")
-    numbered = F.regexp_replace(numbered, NUMBER_ONLY, f"$1 {number.replace('$1', '$2')} ")
+        t = F.lower(F.regexp_replace(t, CAPITALS_KEPT, f"$1 {name} ") if reading == ANYWHERE else t)
+    numbered = F.regexp_replace(t, UNIT_KEPT, f" {number} {unit} $3")
+    numbered = F.regexp_replace(numbered, NUMBER_KEPT, f"$1 {number.replace('$1', '$2')} ")
     # Most texts have no digit, which one look tells for every reading.
     return F.when(digits, numbered).otherwise(t)
 
